@@ -8,39 +8,46 @@ from pyspark.sql import functions as F
 from respira.plans.series import null_safe_join
 from respira.plans.sizing import is_small
 
-_ACCURACY = 100_000
-
-
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], small: bool | None = None
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    probs: dict[str, float],
+    small: bool | None = None,
+    accuracy: int = 100_000,
 ) -> DataFrame:
     """One row per group with ``n`` (non-null count) and one column per entry of ``probs``.
 
     Small inputs use Spark's ``percentile``, which keeps a count per distinct value in memory. Otherwise a sketch
     brackets each wanted rank, one pass counts what lies below the bracket and only the values inside it (about
-    4/accuracy of the rows) are ordered, so no task holds a whole group.
+    8/accuracy of the rows; all of a group with fewer than ``accuracy`` rows) are ordered, so no task holds a whole
+    large group.
     """
     names, qs = list(probs), list(probs.values())
     if small if small is not None else is_small(df):
         arr = F.percentile(value, F.array(*map(F.lit, qs)))
         out = df.groupBy(*keys).agg(F.count(value).alias("n"), arr.alias("_q"))
         return out.select(*keys, "n", *[F.col("_q")[i].alias(o) for i, o in enumerate(names)])
-    d = 1.5 / _ACCURACY
+    d = 4.0 / accuracy
     marks = [b for q in qs for b in (max(q - d, 0.0), min(q + d, 1.0))]
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
     sketch = v.groupBy(*keys).agg(
         F.count("_v").alias("n"),
-        F.percentile_approx("_v", F.array(*map(F.lit, marks)), F.lit(_ACCURACY)).alias("_m"),
+        F.percentile_approx("_v", F.array(*map(F.lit, marks)), F.lit(accuracy)).alias("_m"),
     )
+    few = F.col("n") < accuracy
+    limits = {f"_lo{i}": F.when(few, -float("inf")).otherwise(F.col("_m")[2 * i]) for i in range(len(qs))}
+    limits |= {f"_hi{i}": F.when(few, float("inf")).otherwise(F.col("_m")[2 * i + 1]) for i in range(len(qs))}
+    sketch = sketch.withColumns(limits).drop("_m")
     j = null_safe_join(v, sketch, keys, "inner")
     brackets = F.array(
         *[
-            F.struct(F.lit(i).alias("i"), F.col("_m")[2 * i].alias("lo"), F.col("_m")[2 * i + 1].alias("hi"))
+            F.struct(F.lit(i).alias("i"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi"))
             for i in range(len(qs))
         ]
     )
     below = j.groupBy(*keys).agg(
-        *[F.sum((F.col("_v") < F.col("_m")[2 * i]).cast("bigint")).alias(f"_b{i}") for i in range(len(qs))]
+        *[F.sum((F.col("_v") < F.col(f"_lo{i}")).cast("bigint")).alias(f"_b{i}") for i in range(len(qs))]
     )
     hits = F.filter(brackets, lambda b: (F.col("_v") >= b["lo"]) & (F.col("_v") <= b["hi"]))
     inside = (
@@ -48,7 +55,7 @@ def exact_quantiles(
         .groupBy(*keys, "_i", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    base = null_safe_join(sketch.drop("_m"), below, keys, "inner")
+    base = null_safe_join(sketch.select(*keys, "n"), below, keys, "inner")
     w = Window.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = null_safe_join(inside.withColumn("_cum", F.sum("_c").over(w)), base, keys, "inner")
     picks = []

@@ -45,14 +45,14 @@ def _cut_table(df: DataFrame, keys: list[str], order: str, rows: int) -> DataFra
     if hot.isEmpty():
         return None
     n_grid = 1 << _GRID_BITS
-    grid = [i / n_grid for i in range(1, n_grid)]
+    grid = ",".join(f"{i / n_grid}D" for i in range(1, n_grid))
     step = F.greatest(F.lit(1), F.floor(F.lit(rows) * n_grid / F.col("_n")).cast("int"))
     cuts = (
         null_safe_join(df.select(*keys, order), hot, keys, "inner")
         .groupBy(*keys)
         .agg(
             F.max("_n").alias("_n"),
-            F.percentile_approx(order, F.array(*map(F.lit, grid)), F.lit(10 * n_grid)).alias("_all"),
+            F.expr(f"percentile_approx({order}, array({grid}), {10 * n_grid})").alias("_all"),
         )
         .withColumn("_cuts", F.array_distinct(F.filter("_all", lambda _, i: (i + 1) % step == 0)))
         .select(*keys, "_cuts")

@@ -15,7 +15,7 @@ TARGET_ROWS = 2_000_000
 def source_bytes(df: DataFrame) -> int:
     """Bytes of the tables a plan reads, from Catalyst's leaf statistics (no job is run)."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def is_small(df: DataFrame) -> bool:

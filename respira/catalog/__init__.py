@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["qc"]
+MODULES = ["time_joins", "cycle_fits", "grades"]
 
 
 def load() -> dict[str, tuple]:

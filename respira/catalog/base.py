@@ -40,13 +40,21 @@ READINGS = """readings AS (
 
 
 def r(c: str | Column, digits: int = 6) -> Column:
-    """Comparable number: rounded, negative zero removed."""
+    """Comparable number: rounded, without negative zero.
+
+    The nudge moves exact rounding ties, common for means of decimals, off the boundary, so that two engines summing in
+    different orders round alike.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col, digits) + F.lit(0.0)
+    return F.round(col + F.lit(_nudge(digits)), digits) + F.lit(0.0)
 
 
 def sr(expr: str, digits: int = 6) -> str:
-    return f"round({expr}, {digits}) + 0.0"
+    return f"round(({expr}) + {_nudge(digits):.12g}, {digits}) + 0.0"
+
+
+def _nudge(digits: int) -> float:
+    return float(f"1.23e-{digits + 2}")
 
 
 def registry():

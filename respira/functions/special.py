@@ -55,14 +55,15 @@ def t_two_sided(t: np.ndarray, dof: np.ndarray) -> np.ndarray:
     return np.where(ok, incomplete_beta(n / 2, np.full_like(n, 0.5), x), np.nan)
 
 
-@F.pandas_udf("double")
-def _p_udf(t: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series(t_two_sided(t.to_numpy(dtype=float), dof.to_numpy(dtype=float)))
-
-
 def correlation_p_value(r: Column, n: Column) -> Column:
     """Two-sided p-value of a correlation (or simple regression) coefficient from ``n`` pairs."""
     dof = (n - 2).cast("double")
     t = F.when(F.abs(r) >= 1, F.lit(float("inf"))).otherwise(F.abs(r) * F.sqrt(dof / (1 - r * r)))
-    p = _p_udf(F.when(dof > 0, t), dof)
+
+    # Made here and not at import: tasks import this module too and have no session.
+    @F.pandas_udf("double")
+    def tail(t: pd.Series, dof: pd.Series) -> pd.Series:
+        return pd.Series(t_two_sided(t.to_numpy(dtype=float), dof.to_numpy(dtype=float)))
+
+    p = tail(F.when(dof > 0, t), dof)
     return F.when(r.isNotNull() & (dof > 0), p)

@@ -278,6 +278,35 @@ def theil_sen_by_group(df: DataFrame, by: list[str], t: str, y: str) -> DataFram
     return _map_cycles(g, schema, lambda a, b: dict(zip(schema.names, kernels.theil_sen(a, b), strict=True)))
 
 
+def linear_fit(df: DataFrame, by: list[str], t: str, y: str) -> DataFrame:
+    """Straight-line fit per group: slope, intercept, r2 (0 for flat values), rmse, rss and corrected criterion.
+
+    The residual sum is taken in a second pass over the residuals, which keeps its digits for near-perfect fits.
+    """
+    g = df.filter(F.col(t).isNotNull() & F.col(y).isNotNull()).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.regr_slope(y, t).alias("slope"),
+        F.regr_intercept(y, t).alias("intercept"),
+        (F.var_pop(y) * F.count(F.lit(1))).alias("_ss"),
+    )
+    d = null_safe_join(df, g, by)
+    res = F.col(y) - (F.col("slope") * F.col(t) + F.col("intercept"))
+    rss = d.groupBy(*by).agg(F.sum(res * res).alias("rss"))
+    out = null_safe_join(g.filter("slope IS NOT NULL"), rss, by)
+    n = F.col("n").cast("double")
+    crit = n * F.ln(F.greatest(F.col("rss"), F.lit(1e-12)) / n) + 4 + F.try_divide(F.lit(12.0), n - 3)
+    return out.select(
+        *by,
+        "n",
+        "slope",
+        "intercept",
+        F.when(F.col("_ss") > 0, 1 - F.col("rss") / F.col("_ss")).otherwise(0.0).alias("r2"),
+        F.sqrt(F.col("rss") / n).alias("rmse"),
+        "rss",
+        F.when(n > 3, crit).alias("aicc"),
+    )
+
+
 def quadratic_gain(df: DataFrame, by: list[str], t: str, y: str) -> DataFrame:
     """Criterion of line and parabola per group and their difference, from power sums of centred time.
 

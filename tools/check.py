@@ -25,7 +25,7 @@ def canonical(df: pd.DataFrame) -> list[tuple]:
     df = df[sorted(df.columns)]
 
     def cell(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return "~"
         if hasattr(v, "item") and not isinstance(v, pd.Timestamp):
             v = v.item() if getattr(v, "ndim", 0) == 0 else v.tolist()

@@ -80,7 +80,7 @@ def grade_sql(hard: bool) -> str:
     level = "greatest(0, " + ", ".join(f"CASE WHEN {c} THEN {lv} ELSE 0 END" for c, lv, _ in checks) + ")"
     reasons = ", ".join(f"CASE WHEN {c} THEN {t} END" for c, _, t in checks)
     return f"""gr AS (SELECT *, {level} AS model_qc, CAST(least(raw_flag, 2) AS INT) AS rw,
-   array_to_string(list_filter([{reasons}, CASE WHEN raw_flag > 0 THEN 'sensor_flag_' || CAST(least(raw_flag, 2) AS INT) END], x -> x IS NOT NULL), ';') AS qc_reason
+   array_to_string(list_filter([{reasons}, CASE WHEN raw_flag > 0 THEN 'sensor_flag_' || CAST(least(raw_flag, 2) AS INT) END], lambda x: x IS NOT NULL), ';') AS qc_reason
   FROM (SELECT *, {BCOUNT} AS bc FROM cy)), gd AS (SELECT *, greatest(model_qc, rw) AS flux_qc FROM gr)"""
 
 
@@ -111,7 +111,7 @@ WPL_SQL = """wp AS (SELECT *, [CASE WHEN wpl_valid_fraction IS NULL THEN 'wpl_mi
     "dilution_grade_overrides",
     f"""WITH {CYC_SQL}, {WPL_SQL} SELECT {IDS}, wpl_qc, greatest(m, wpl_qc) AS model_qc, greatest(m, wpl_qc) AS flux_qc,
  array_to_string(list_filter(list_concat(CASE WHEN old = '' THEN [] ELSE ['low_r2', 'h2o_out_of_range'] END,
-  CASE WHEN old <> '' THEN list_filter(rs, x -> x IS NOT NULL AND x <> 'h2o_out_of_range') ELSE rs END), x -> x IS NOT NULL), ';') AS qc_reason FROM wp""",
+  CASE WHEN old <> '' THEN list_filter(rs, lambda x: x IS NOT NULL AND x <> 'h2o_out_of_range') ELSE rs END), lambda x: x IS NOT NULL), ';') AS qc_reason FROM wp""",
 )
 def dilution_grade_overrides(spark, sf):
     first = F.col("l_linenumber") == 1
@@ -163,7 +163,7 @@ H_SQL = f"""hh AS (SELECT {IDS}, night, {', '.join(f'{e} AS {c}' for c, e in H.i
     "h2o_cycle_grade",
     f"""WITH {CYC_SQL}, {H_SQL} SELECT {IDS}, CASE WHEN mild AND strict THEN 2 WHEN mild THEN 1 ELSE 0 END AS h2o_qc,
  CASE WHEN mild AND strict THEN 'C' WHEN mild THEN 'B' ELSE 'A' END AS h2o_qc_label,
- len(list_filter([{', '.join(f'CASE WHEN {c} THEN 1 END' for c, _ in MILD)}], x -> x IS NOT NULL)) AS n_reasons FROM hm""",
+ len(list_filter([{', '.join(f'CASE WHEN {c} THEN 1 END' for c, _ in MILD)}], lambda x: x IS NOT NULL)) AS n_reasons FROM hm""",
 )
 def h2o_cycle_grade(spark, sf):
     d = cyc(spark, sf).withColumns({c: F.expr(e) for c, e in H.items()})
@@ -177,9 +177,9 @@ FLUX = "(101325.0 / (8.314 * (coalesce(mean_temp, 25.0) + 273.15)))"
 
 @query(
     "absolute_flux_conversion",
-    f"""WITH {CYC_SQL}, x AS (SELECT *, l_shipdate + INTERVAL 9200 DAY AS at FROM cy)
-SELECT {IDS}, {sr(f"flux_slope * {FLUX} * CASE WHEN at < TIMESTAMP '2025-07-01' THEN 2.0 ELSE 6.0 END")} AS co2_flux,
- {sr(f"CASE WHEN l_tax > 0 THEN l_tax * {FLUX} * CASE WHEN at < TIMESTAMP '2025-07-01' THEN 2.0 ELSE 6.0 END END")} AS h2o_flux FROM x""",
+    f"""WITH {CYC_SQL}, x AS (SELECT *, l_shipdate + INTERVAL 9200 DAY AS fdate FROM cy)
+SELECT {IDS}, {sr(f"flux_slope * {FLUX} * CASE WHEN fdate < TIMESTAMP '2025-07-01' THEN 2.0 ELSE 6.0 END")} AS co2_flux,
+ {sr(f"CASE WHEN l_tax > 0 THEN l_tax * {FLUX} * CASE WHEN fdate < TIMESTAMP '2025-07-01' THEN 2.0 ELSE 6.0 END END")} AS h2o_flux FROM x""",
 )
 def absolute_flux_conversion(spark, sf):
     d = cyc(spark, sf).withColumn("at", F.expr("l_shipdate + INTERVAL 9200 DAYS"))

@@ -123,11 +123,3 @@ WINDOW_SETTINGS = {
     "min_score_for_export": 0.55,
 }
 
-ANOMALY_WEIGHTS = {
-    "ml_if_score": 0.15,
-    "ml_mcd_dist": 0.15,
-    "lof_score": 0.20,
-    "tif_score": 0.15,
-    "stl_residual": 0.20,
-    "rolling_zscore": 0.15,
-}

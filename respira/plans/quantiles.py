@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from respira.plans.series import null_safe_join
@@ -72,3 +72,15 @@ def exact_quantiles(
         lo, hi = F.col(f"_l{i}"), F.col(f"_h{i}")
         cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(o))
     return found.select(*keys, "n", *cols)
+
+
+def exact_medians(df: DataFrame, keys: list[str], cols: dict[str, Column], small: bool | None = None) -> DataFrame:
+    """Medians of several expressions per group; groups where all values of one are null still appear."""
+    small = is_small(df) if small is None else small
+    if small:
+        return df.groupBy(*keys).agg(*[F.percentile(c, F.lit(0.5)).alias(o) for o, c in cols.items()])
+    out = df.select(*keys).distinct()
+    for o, c in cols.items():
+        med = exact_quantiles(df.select(*keys, c.alias("_m")), keys, "_m", {o: 0.5}, small=False).drop("n")
+        out = null_safe_join(out, med, keys)
+    return out

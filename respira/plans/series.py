@@ -70,6 +70,22 @@ def _position(cuts: Column, x: Column) -> Column:
     )
 
 
+def number_rows(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """1-based position of every row in the order given.
+
+    Beyond small inputs the sorted rows are stored, so that partition numbers stay put, and only one count per partition
+    is summed up.
+    """
+    if is_small(df):
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    d = cut_lineage(df.orderBy(*order)).withColumn("_id", F.monotonically_increasing_id())
+    d = d.withColumn("_pid", F.shiftright("_id", 33)).withColumn("_pos", F.col("_id").bitwiseAND((1 << 33) - 1))
+    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return d.join(counts, "_pid").withColumn(out, F.col("_off") + F.col("_pos") + 1).drop("_id", "_pid", "_pos", "_off")
+
+
 class Series:
     """Rows of ``df`` grouped by ``keys`` and ordered by ``order`` (first entry numeric, rest break ties)."""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["time_joins", "cycle_fits", "grades", "series_stats", "anomalies"]
+MODULES = ["day_windows"]
 
 
 def load() -> dict[str, tuple]:

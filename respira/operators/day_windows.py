@@ -69,6 +69,10 @@ def drift_severity(
     return daily.select(*by, "drift_severity", *zs)
 
 
+def _rounded(c: Column, digits: int | None) -> Column:
+    return c if digits is None else F.bround(c, digits)
+
+
 def _tier(x: Column, good: float, ok: float, high: bool, unknown: float) -> Column:
     first, second = (x >= good, x >= ok) if high else (x <= good, x <= ok)
     return F.when(x.isNull(), unknown).when(first, 1.0).when(second, 0.5).otherwise(0.0)
@@ -81,8 +85,9 @@ def score_cycles(
     drift: DataFrame | None = None,
     regime: DataFrame | None = None,
     cfg: dict = TH.WINDOW_SETTINGS,
+    digits: int | None = 4,
 ) -> DataFrame:
-    """``cycle_confidence`` and its parts per cycle.
+    """``cycle_confidence`` and its parts per cycle, rounded half-even to ``digits`` (``None``: not rounded).
 
     Columns used where present: ``co2_r2, co2_nrmse, co2_snr, co2_outlier_frac, slope_diff_pct, delta_aicc,
     sensor_co2_qc_mean, sensor_h2o_qc_mean, closure_confidence, anomaly_ensemble_score``. Without regime scores their
@@ -120,11 +125,12 @@ def score_cycles(
         cross = F.lit(None).cast("double")
         base = sum(w[k] for k in parts)
         conf = sum((w[k] * v for k, v in parts.items()), F.lit(0.0)) * ((base + w["cross_chamber"]) / base)
-    out = {f"score_{k}": F.bround(v, 4) for k, v in parts.items()}
-    out["score_cross_chamber"] = F.bround(cross, 4)
-    out["score_closure"] = F.bround(F.coalesce(clip(col("closure_confidence"), 0.0, 1.0), F.lit(0.5)), 4)
-    out["score_anomaly"] = F.bround(F.coalesce(clip(1 - col("anomaly_ensemble_score"), 0.0, 1.0), F.lit(0.5)), 4)
-    out["cycle_confidence"] = F.bround(conf, 4)
+    out = {f"score_{k}": v for k, v in parts.items()}
+    out["score_cross_chamber"] = cross
+    out["score_closure"] = F.coalesce(clip(col("closure_confidence"), 0.0, 1.0), F.lit(0.5))
+    out["score_anomaly"] = F.coalesce(clip(1 - col("anomaly_ensemble_score"), 0.0, 1.0), F.lit(0.5))
+    out["cycle_confidence"] = conf
+    out = {k: _rounded(v, digits) for k, v in out.items()}
     return d.withColumns(out).drop("date", "_sev", "_reg")
 
 
@@ -183,7 +189,11 @@ def _greedy_starts(n_days: Column, flags: Column, need: int, span: int) -> Colum
 
 
 def select_windows(
-    daily: DataFrame, chamber: str, drift: DataFrame | None = None, cfg: dict = TH.WINDOW_SETTINGS
+    daily: DataFrame,
+    chamber: str,
+    drift: DataFrame | None = None,
+    cfg: dict = TH.WINDOW_SETTINGS,
+    digits: int | None = 4,
 ) -> DataFrame:
     """Scored windows of consecutive data days, best first; windows may overlap by the flexibility buffer.
 
@@ -237,7 +247,7 @@ def select_windows(
         "end_date",
         "n_days",
         "n_cycles",
-        *[F.bround(v, 4).alias(k) for k, v in named.items()],
+        *[_rounded(F.col(v), digits).alias(k) for k, v in named.items()],
         (F.col("_score") >= cfg["min_score_for_export"]).alias("qualifies_for_export"),
     ).orderBy(F.desc("window_score"), "window_id")
 

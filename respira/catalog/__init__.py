@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["day_windows"]
+MODULES = ["science"]
 
 
 def load() -> dict[str, tuple]:

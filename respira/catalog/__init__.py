@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["science"]
+MODULES = ["overviews"]
 
 
 def load() -> dict[str, tuple]:

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["overviews"]
+MODULES = [
+    "qc",
+    "time_joins",
+    "cycle_fits",
+    "grades",
+    "series_stats",
+    "anomalies",
+    "day_windows",
+    "science",
+    "overviews",
+    "files",
+]
 
 
 def load() -> dict[str, tuple]:

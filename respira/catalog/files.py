@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from respira.catalog.base import READINGS, r, readings, registry, sr, table
+from respira.plans.sizing import source_bytes
 from respira.session import checkpoint_dir
 from respira.sources import logger, sinks, tables
 
@@ -54,19 +55,21 @@ def write_logger_files(spark, sf: str, folder: str, only: str | None = None) ->
                 F.concat_ws(",", stamp, F.col("event_id").cast("string"), F.lit("777.5"), aux).alias("value"),
             )
             parts.append((again, ("update_240101", "chamber_1_new", names)))
-    for rows, names in parts:
-        head = rows.select("day").distinct()
+    # A day becomes more files as the table grows, each with its own preamble.
+    salts = 1 + source_bytes(d) // (128 << 20)
+    for rows, (top, sub, names) in parts:
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("k"), F.lit(salts)))
+        head = rows.select("day", "part").distinct()
         pre = F.array(
             *[
                 F.struct(F.lit(0).alias("o"), F.lit(str(i)).alias("k"), F.lit(t).alias("value"))
-                for i, t in enumerate(('"TOA5","STATION","CR1000X"', names[2], '"TS","RN","x"', '"","","Smp"'))
+                for i, t in enumerate(('"TOA5","STATION","CR1000X"', names, '"TS","RN","x"', '"","","Smp"'))
             ]
         )
-        head = head.select("day", F.explode(pre).alias("p")).select("day", "p.*")
+        head = head.select("day", "part", F.explode(pre).alias("p")).select("day", "part", "p.*")
         # Directory names must be plain folder names, so every part goes under its own path.
-        top, sub = names[0]
-        both = rows.unionByName(head).repartition("day").sortWithinPartitions("day", "o", "k")
-        both.select("day", "value").write.partitionBy("day").text(f"{folder}/{top}/{sub}")
+        both = rows.unionByName(head).repartition("day", "part").sortWithinPartitions("day", "part", "o", "k")
+        both.select("day", "part", "value").write.partitionBy("day", "part").text(f"{folder}/{top}/{sub}")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from respira.catalog.base import r, registry, sr, table
 from respira.functions import thresholds as T
 from respira.operators import day_windows as dw
+from respira.plans.sizing import cut_lineage
 
 QUERIES, query = registry()
 CFG = {**T.WINDOW_SETTINGS, "confidence_good": 0.60, "min_good_fraction": 0.45, "min_cycle_coverage": 0.40}
@@ -71,7 +72,7 @@ SCORE = f"""pt AS (SELECT cyc.*, ({_t('co2_r2', 0.9, 0.7, '>=', 0.0)} + {_t('co2
 
 def scored(spark, sf, regime=None):
     d = cyc(spark, sf)
-    drift = dw.drift_severity(d, "chamber", "ts")
+    drift = cut_lineage(dw.drift_severity(d, "chamber", "ts"))
     return dw.score_cycles(d, "chamber", "ts", drift, regime, CFG, digits=None), drift
 
 
@@ -135,7 +136,9 @@ RW = f"WITH RECURSIVE {BASE}, {DRIFT}, {SCORE}, {DAILY}, {WIN}"
 
 def windows(spark, sf):
     d, drift = scored(spark, sf)
-    return d, drift, dw.select_windows(dw.daily_statistics(d, "chamber", "ts", cfg=CFG), "chamber", drift, CFG, digits=None)
+    # One row per chamber and day: stored, since selection, scoring and export all read it.
+    daily = cut_lineage(dw.daily_statistics(d, "chamber", "ts", cfg=CFG))
+    return d, drift, dw.select_windows(daily, "chamber", drift, CFG, digits=None)
 
 
 WNUM = {

@@ -86,13 +86,13 @@ def grade_sql(hard: bool) -> str:
 
 @query("co2_cycle_grade", f"WITH {CYC_SQL}, {grade_sql(False)} SELECT {IDS}, model_qc, flux_qc, qc_reason FROM gd")
 def co2_cycle_grade(spark, sf):
-    d = cyc(spark, sf)
-    return d.withColumns(grading.co2_grade(F.col("night"), F.col("raw_flag"))).select(*ID, "model_qc", "flux_qc", "qc_reason")
+    d = grading.co2_grade(cyc(spark, sf), F.col("night"), F.col("raw_flag"))
+    return d.select(*ID, "model_qc", "flux_qc", "qc_reason")
 
 
 @query("co2_cycle_grade_hard_limits", f"WITH {CYC_SQL}, {grade_sql(True)} SELECT {IDS}, model_qc, flux_qc, qc_reason FROM gd")
 def co2_cycle_grade_hard_limits(spark, sf):
-    d = cyc(spark, sf).withColumns(grading.co2_grade(F.col("night"), F.col("raw_flag"), hard_limits=True))
+    d = grading.co2_grade(cyc(spark, sf), F.col("night"), F.col("raw_flag"), hard_limits=True)
     return d.select(*ID, "model_qc", "flux_qc", "qc_reason")
 
 
@@ -122,7 +122,7 @@ def dilution_grade_overrides(spark, sf):
             "flux_qc": F.when(first, 1).otherwise(0),
         }
     )
-    d = d.withColumns(grading.dilution_overrides())
+    d = grading.dilution_overrides(d)
     return d.select(*ID, "wpl_qc", "model_qc", "flux_qc", "qc_reason")
 
 
@@ -167,7 +167,7 @@ H_SQL = f"""hh AS (SELECT {IDS}, night, {', '.join(f'{e} AS {c}' for c, e in H.i
 )
 def h2o_cycle_grade(spark, sf):
     d = cyc(spark, sf).withColumns({c: F.expr(e) for c, e in H.items()})
-    d = d.withColumns(grading.h2o_grade(F.col("night")))
+    d = grading.h2o_grade(d, F.col("night"))
     n = F.when(F.col("h2o_qc_reason") == "", 0).otherwise(F.size(F.split("h2o_qc_reason", ";")))
     return d.select(*ID, "h2o_qc", "h2o_qc_label", n.cast("bigint").alias("n_reasons"))
 

@@ -1,101 +1,123 @@
 """Cycle grades: 0 good, 1 moderate, 2 bad, each with the reasons that led to it.
 
-A grade is an ordered list of checks ``(condition, level, reason)``; unknown conditions count as not met. Day and night
-limits are chosen per row, so a frame with both is graded in one projection.
+A grade is an ordered list of checks. Every check is first one small integer column, its level; worst level, number of
+moderate findings and reasons are then read off those columns, so no condition is evaluated twice. Unknown conditions
+count as not met. Day and night limits are chosen per row, so a frame with both is graded in one pass.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from respira.functions import thresholds as T
-from respira.functions.numeric import ratio, true
 
-Check = tuple[Column, int, Column]
+# A check: condition for level 2 and its reason, condition for level 1 and its reason (either may be missing).
+Check = tuple[Column | None, Column | None, Column | None, Column | None]
 
 
 def _limits(day: dict, night: dict | None, is_night: Column | None):
     def limit(key: str) -> Column:
         if night is None or is_night is None or night.get(key) == day.get(key):
             return F.lit(day[key])
-        return F.when(true(is_night), F.lit(night[key])).otherwise(F.lit(day[key]))
+        return F.when(is_night, F.lit(night[key])).otherwise(F.lit(day[key]))
 
     return limit
 
 
-def _worst(checks: list[Check]) -> Column:
-    return F.greatest(F.lit(0), *[F.when(true(c), lv).otherwise(0) for c, lv, _ in checks])
+def _bad(cond: Column, reason: str) -> Check:
+    return cond, F.lit(reason), None, None
 
 
-def _reasons(checks: list[Check]) -> Column:
-    return F.array_compact(F.array(*[F.when(true(c), r) for c, _, r in checks]))
+def _both(bad: Column, bad_reason: str, fair: Column, fair_reason: str) -> Check:
+    return bad, F.lit(bad_reason), fair, F.lit(fair_reason)
 
 
-def _two_sided(x: Column, bad: Column, fair: Column, bad_reason: str, fair_reason: str) -> list[Check]:
-    return [(bad, 2, F.lit(bad_reason)), (~true(bad) & fair, 1, F.lit(fair_reason))]
+def _levels(df: DataFrame, checks: list[Check], prefix: str) -> tuple[DataFrame, list[str]]:
+    """Add the level of every check as a column."""
+    cols = {}
+    for i, (bad, _, fair, _) in enumerate(checks):
+        level = F.when(bad, 2) if bad is not None else None
+        if fair is not None:
+            level = level.when(fair, 1) if level is not None else F.when(fair, 1)
+        cols[f"{prefix}{i}"] = level.otherwise(0)
+    return df.withColumns(cols), list(cols)
+
+
+def _worst(levels: list[str]) -> Column:
+    return F.greatest(F.lit(0), *levels)
+
+
+def _reasons(checks: list[Check], levels: list[str]) -> list[Column]:
+    out = []
+    for (bad, why_bad, fair, why_fair), c in zip(checks, levels, strict=True):
+        text = F.when(F.col(c) == 2, why_bad) if bad is not None else None
+        if fair is not None:
+            text = text.when(F.col(c) == 1, why_fair) if text is not None else F.when(F.col(c) == 1, why_fair)
+        out.append(text)
+    return out
 
 
 def co2_grade(
+    df: DataFrame,
     is_night: Column | None = None,
     raw_flag: Column | None = None,
     day: dict = T.CO2_DAY,
     night: dict | None = T.CO2_NIGHT,
     snr: str = "snr",
     hard_limits: bool = False,
-) -> dict[str, Column]:
-    """Columns ``model_qc``, ``flux_qc`` (with the sensor flag) and ``qc_reason`` for a table of CO2 cycles."""
+) -> DataFrame:
+    """Add ``model_qc``, ``flux_qc`` (with the sensor flag) and ``qc_reason`` to a table of CO2 cycles."""
     lim = _limits(day, night, is_night)
     c = F.col
     mono, slope, dur = c("monotonicity"), c("flux_slope"), c("duration_sec")
-    signal = F.abs(slope) * dur
-    guard = lim("signal_ppm_guard")
+    signal, guard = F.abs(slope) * dur, lim("signal_ppm_guard")
     mono_b = F.when(
         (signal > 0) & (signal < guard), F.greatest(F.lit(0.30), lim("monotonic_B") * (signal / guard))
     ).otherwise(lim("monotonic_B"))
-    checks: list[Check] = [
-        (c("n_points_used") < lim("min_points"), 2, F.lit("too_few_points")),
-        (dur < lim("min_duration_sec"), 2, F.lit("short_duration")),
-    ]
     r2, nrmse, s = c("r2"), c("nrmse"), c(snr)
-    checks += _two_sided(r2, r2.isNull() | (r2 < lim("r2_B")), r2 < lim("r2_A"), "low_r2", "r2_moderate")
-    checks += _two_sided(
-        nrmse, nrmse.isNull() | (nrmse > lim("nrmse_B")), nrmse > lim("nrmse_A"), "high_nrmse", "nrmse_moderate"
-    )
-    checks += _two_sided(s, s.isNull() | (s < lim("snr_B")), s < lim("snr_A"), "low_snr", "snr_moderate")
-    checks += _two_sided(mono, mono < mono_b, mono < lim("monotonic_A"), "non_monotonic", "monotonic_moderate")
     out, curve, diff = c("outlier_frac"), c("delta_aicc"), c("slope_diff_pct")
-    checks += _two_sided(out, out > lim("outlier_B"), out > lim("outlier_A"), "many_outliers", "some_outliers")
-    checks.append((curve <= lim("curvature_aicc"), 1, F.lit("curvature")))
+    checks: list[Check] = [
+        _bad(c("n_points_used") < lim("min_points"), "too_few_points"),
+        _bad(dur < lim("min_duration_sec"), "short_duration"),
+        _both(r2.isNull() | (r2 < lim("r2_B")), "low_r2", r2 < lim("r2_A"), "r2_moderate"),
+        _both(nrmse.isNull() | (nrmse > lim("nrmse_B")), "high_nrmse", nrmse > lim("nrmse_A"), "nrmse_moderate"),
+        _both(s.isNull() | (s < lim("snr_B")), "low_snr", s < lim("snr_A"), "snr_moderate"),
+        _both(mono < mono_b, "non_monotonic", mono < lim("monotonic_A"), "monotonic_moderate"),
+        _both(out > lim("outlier_B"), "many_outliers", out > lim("outlier_A"), "some_outliers"),
+        (None, None, curve <= lim("curvature_aicc"), F.lit("curvature")),
+    ]
     if "curvature_aicc_C" in day:
-        checks.append((curve <= lim("curvature_aicc_C"), 2, F.lit("strong_curvature")))
-    checks += _two_sided(
-        diff, diff > lim("slope_diff_B"), diff > lim("slope_diff_A"), "slope_disagreement", "slope_disagreement"
-    )
+        checks.append(_bad(curve <= lim("curvature_aicc_C"), "strong_curvature"))
+    checks.append(_both(diff > lim("slope_diff_B"), "slope_disagreement", diff > lim("slope_diff_A"), "slope_disagreement"))
+    d, levels = _levels(df, checks, "_a")
+    raw = F.coalesce(raw_flag, F.lit(0)) if raw_flag is not None else F.lit(0)
+    d = d.withColumn("_raw", F.least(raw.cast("int"), F.lit(2)))
+    more: list[Check] = []
     if "b_count_C" in day:
-        moderate = reduce(lambda a, b: a + b, [true(k).cast("int") for k, lv, _ in checks if lv == 1])
-        reason = F.concat(F.lit("many_moderate_issues:"), moderate.cast("string"))
-        checks.append((moderate >= lim("b_count_C"), 2, reason))
+        moderate = reduce(lambda a, b: a + b, [(c(k) == 1).cast("int") for k in levels])
+        d = d.withColumn("_mod", moderate)
+        reason = F.concat(F.lit("many_moderate_issues:"), c("_mod").cast("string"))
+        more.append((c("_mod") >= lim("b_count_C"), reason, None, None))
     if hard_limits:
-        checks += [
-            (F.abs(slope) > T.HARD_LIMITS["max_abs_slope"], 2, F.lit("extreme_slope")),
-            (F.abs(c("flux_absolute")) > T.HARD_LIMITS["max_abs_flux"], 2, F.lit("extreme_flux")),
-            (c("co2_range") > T.HARD_LIMITS["max_co2_range"], 1, F.lit("large_co2_range")),
+        more += [
+            _bad(F.abs(slope) > T.HARD_LIMITS["max_abs_slope"], "extreme_slope"),
+            _bad(F.abs(c("flux_absolute")) > T.HARD_LIMITS["max_abs_flux"], "extreme_flux"),
+            (None, None, c("co2_range") > T.HARD_LIMITS["max_co2_range"], F.lit("large_co2_range")),
         ]
-    model = _worst(checks)
-    raw = F.least(F.coalesce(raw_flag if raw_flag is not None else F.lit(0), F.lit(0)).cast("int"), F.lit(2))
-    sensor: Check = (raw > 0, 0, F.concat(F.lit("sensor_flag_"), raw.cast("string")))
-    return {
-        "model_qc": model,
-        "flux_qc": F.greatest(model, raw),
-        "qc_reason": F.array_join(_reasons([*checks, sensor]), ";"),
-    }
-
-
-def h2o_grade(is_night: Column | None = None, day: dict = T.H2O_DAY, night: dict = T.H2O_NIGHT) -> dict[str, Column]:
-    """Columns ``h2o_qc``, ``h2o_qc_label``, ``h2o_qc_reason``; strict limits count only once a mild one is broken."""
+    d, extra = _levels(d, more, "_b")
+    why = _reasons([*checks, *more], [*levels, *extra])
+    why.append(F.when(c("_raw") > 0, F.concat(F.lit("sensor_flag_"), c("_raw").cast("string"))))
+    d = d.withColumns({"model_qc": _worst([*levels, *extra]), "qc_reason": F.concat_ws(";", *why)})
+    return d.withColumn("flux_qc", F.greatest("model_qc", "_raw")).drop("_raw", "_mod", *levels, *extra)
+
+
+def h2o_grade(
+    df: DataFrame, is_night: Column | None = None, day: dict = T.H2O_DAY, night: dict = T.H2O_NIGHT
+) -> DataFrame:
+    """Add ``h2o_qc, h2o_qc_label, h2o_qc_reason``; strict limits count only once a mild one is broken."""
     lim = _limits(day, night, is_night)
     c = F.col
     r2, nrmse, snr = c("h2o_r2"), c("h2o_nrmse"), c("h2o_snr")
@@ -106,57 +128,61 @@ def h2o_grade(is_night: Column | None = None, day: dict = T.H2O_DAY, night: dict
         return F.concat(F.lit(f"{label}="), number, F.lit(op), lim(key).cast("string"))
 
     mild: list[Check] = [
-        (r2 < lim("r2_A"), 1, text("R2", r2, 2, "<", "r2_A")),
-        (nrmse > lim("nrmse_A"), 1, text("NRMSE", nrmse, 2, ">", "nrmse_A")),
-        (snr < lim("snr_A"), 1, text("SNR", snr, 1, "<", "snr_A")),
-        (out > lim("outlier_A"), 1, text("Outliers", out, 2, ">", "outlier_A")),
-        (mono < lim("monotonic_A"), 1, text("Monotonic", mono, 2, "<", "monotonic_A")),
+        (None, None, r2 < lim("r2_A"), text("R2", r2, 2, "<", "r2_A")),
+        (None, None, nrmse > lim("nrmse_A"), text("NRMSE", nrmse, 2, ">", "nrmse_A")),
+        (None, None, snr < lim("snr_A"), text("SNR", snr, 1, "<", "snr_A")),
+        (None, None, out > lim("outlier_A"), text("Outliers", out, 2, ">", "outlier_A")),
+        (None, None, mono < lim("monotonic_A"), text("Monotonic", mono, 2, "<", "monotonic_A")),
     ]
     part = rng / lim("signal_mmol_guard")
     weak = (rng > 0) & (part < 1)
-    nrmse_b = F.when(
-        weak, F.least(F.lit(0.50), lim("nrmse_B") / F.greatest(part, F.lit(0.3)))
-    ).otherwise(lim("nrmse_B"))
+    nrmse_b = F.when(weak, F.least(F.lit(0.50), lim("nrmse_B") / F.greatest(part, F.lit(0.3)))).otherwise(lim("nrmse_B"))
     mono_b = F.when(weak, F.greatest(F.lit(0.25), lim("monotonic_B") * part)).otherwise(lim("monotonic_B"))
-    strict = (
-        true(r2 < lim("r2_B"))
-        | true(nrmse > nrmse_b)
-        | true(snr < lim("snr_B"))
-        | true(out > lim("outlier_B"))
-        | true(mono < mono_b)
-    )
-    tier = F.when((_worst(mild) == 1) & strict, 2).otherwise(_worst(mild))
-    labels = F.array(F.lit("A"), F.lit("B"), F.lit("C"))
-    return {
-        "h2o_qc": tier,
-        "h2o_qc_label": F.element_at(labels, tier + 1),
-        "h2o_qc_reason": F.array_join(_reasons(mild), ";"),
-    }
-
-
-def dilution_overrides(reason: str = "qc_reason", limits: dict = T.WPL_LIMITS, h2o_max: float = 60.0):
-    """``wpl_qc`` and the raised ``model_qc``, ``flux_qc`` and ``qc_reason`` from per-cycle dilution metrics."""
+    strict: list[Check] = [
+        _bad(r2 < lim("r2_B"), ""),
+        _bad(nrmse > nrmse_b, ""),
+        _bad(snr < lim("snr_B"), ""),
+        _bad(out > lim("outlier_B"), ""),
+        _bad(mono < mono_b, ""),
+    ]
+    d, levels = _levels(df, mild, "_a")
+    d, hard = _levels(d, strict, "_b")
+    tier = F.when(_worst(levels) == 0, 0).otherwise(F.greatest(F.lit(1), _worst(hard)))
+    d = d.withColumns({"h2o_qc": tier, "h2o_qc_reason": F.concat_ws(";", *_reasons(mild, levels))})
+    labels = F.when(c("h2o_qc") == 0, "A").when(c("h2o_qc") == 1, "B").otherwise("C")
+    return d.withColumn("h2o_qc_label", labels).drop(*levels, *hard)
+
+
+def dilution_overrides(
+    df: DataFrame, reason: str = "qc_reason", limits: dict = T.WPL_LIMITS, h2o_max: float = 60.0
+) -> DataFrame:
+    """Add ``wpl_qc`` and raise ``model_qc``, ``flux_qc`` and the reasons from per-cycle dilution metrics."""
     c = F.col
     valid, p95 = c("wpl_valid_fraction"), c("wpl_abs_rel_change_p95")
-    low = valid < limits["valid_frac_B"]
-    large = p95 > limits["rel_change_p95_B"]
     checks: list[Check] = [
-        (valid.isNull(), 2, F.lit("wpl_missing_fraction")),
-        (low, 2, F.lit("wpl_low_valid_fraction")),
-        (~true(low) & (valid < limits["valid_frac_A"]), 1, F.lit("wpl_valid_fraction_moderate")),
-        (large, 2, F.lit("wpl_large_adjustment")),
-        (~true(large) & (p95 > limits["rel_change_p95_A"]), 1, F.lit("wpl_adjustment_moderate")),
-        (c("wpl_factor_max") > limits["factor_max_B"], 2, F.lit("wpl_factor_high")),
-        (c("h2o_max") > h2o_max, 2, F.lit("h2o_out_of_range")),
+        _bad(valid.isNull(), "wpl_missing_fraction"),
+        _both(
+            valid < limits["valid_frac_B"], "wpl_low_valid_fraction",
+            valid < limits["valid_frac_A"], "wpl_valid_fraction_moderate",
+        ),
+        _both(
+            p95 > limits["rel_change_p95_B"], "wpl_large_adjustment",
+            p95 > limits["rel_change_p95_A"], "wpl_adjustment_moderate",
+        ),
+        _bad(c("wpl_factor_max") > limits["factor_max_B"], "wpl_factor_high"),
+        _bad(c("h2o_max") > h2o_max, "h2o_out_of_range"),
     ]
-    wpl = _worst(checks)
+    d, levels = _levels(df, checks, "_a")
+    d = d.withColumn("wpl_qc", _worst(levels))
     old = F.filter(F.transform(F.split(F.coalesce(c(reason), F.lit("")), ";"), F.trim), lambda r: r != "")
-    return {
-        "wpl_qc": wpl,
-        "model_qc": F.greatest(c("model_qc"), wpl),
-        "flux_qc": F.greatest(c("flux_qc"), wpl),
-        reason: F.array_join(F.array_distinct(F.concat(old, _reasons(checks))), ";"),
-    }
+    new = F.array_compact(F.array(*_reasons(checks, levels)))
+    return d.withColumns(
+        {
+            "model_qc": F.greatest(c("model_qc"), c("wpl_qc")),
+            "flux_qc": F.greatest(c("flux_qc"), c("wpl_qc")),
+            reason: F.array_join(F.array_distinct(F.concat(old, new)), ";"),
+        }
+    ).drop(*levels)
 
 
 def status_in_range(x: Column, lo: float, hi: float) -> Column:
@@ -171,6 +197,3 @@ def status_in_range(x: Column, lo: float, hi: float) -> Column:
 
 def status_at_least(x: Column, threshold: float) -> Column:
     return F.when(x.isNull(), "N/A").when(x >= threshold, "PASS").otherwise("BORDERLINE")
-
-
-__all__ = ["co2_grade", "h2o_grade", "dilution_overrides", "status_in_range", "status_at_least", "ratio"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from respira.functions.numeric import true
 from respira.operators.drift import centred, full_frame
 from respira.operators.integrate import HOUR_US, attach_nearest_hour, interpolate, time_grid
-from respira.plans.quantiles import exact_quantiles
+from respira.plans.quantiles import exact_medians, exact_quantiles
 from respira.plans.series import Series, micros, null_safe_join
 from respira.plans.sizing import cut_lineage
 
@@ -125,10 +125,8 @@ def ensemble_score(
 def impute_features(df: DataFrame, features: list[str], train: Column) -> tuple[DataFrame, list[str]]:
     """Replace unknown features by the median of the training rows; adds ``_train``."""
     d = df.withColumn("_train", true(train)).withColumn("_all", F.lit(1))
-    base = d.filter("_train")
-    for f in features:
-        med = exact_quantiles(base, ["_all"], f, {f"_md_{f}": 0.5}).drop("n")
-        d = d.join(med, "_all", "left")
+    med = exact_medians(d.filter("_train"), ["_all"], {f"_md_{f}": F.col(f) for f in features})
+    d = d.join(med, "_all", "left")
     cols = {f"_x_{f}": F.coalesce(F.col(f).cast("double"), F.col(f"_md_{f}")) for f in features}
     return d.withColumns(cols).drop("_all", *[f"_md_{f}" for f in features]), list(cols)
 

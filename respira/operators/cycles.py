@@ -172,6 +172,12 @@ def _points(value: str, tie: str | None) -> list[Column]:
     return [F.transform(pts, lambda p: p["_us"]).alias("_ts"), F.transform(pts, lambda p: p[value]).alias("_ys")]
 
 
+def _spread(df: DataFrame, by: list[str]) -> DataFrame:
+    """Fix the partition count of the coming grouping: kernels cost far more than their bytes suggest, and adaptive
+    coalescing would put small data into one task. The grouping reuses this shuffle."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def _map_cycles(grouped: DataFrame, schema: T.StructType, fn: Callable) -> DataFrame:
     """Apply ``fn(t, y) -> dict | None`` to the arrays of every cycle, whole Arrow batches at a time."""
     rest = [f for f in grouped.schema.fields if f.name not in ("_ts", "_ys")]
@@ -212,7 +218,7 @@ def evaluate_cycles(
     known = df.filter(F.col(value).isNotNull() & F.col(ts).isNotNull())
     d = add_cycles(known, keys, ts, cfg["gap_sec"], tie)
     d = d.withColumn("_us", micros(ts)).withColumn(value, F.col(value).cast("double"))
-    g = d.groupBy(*keys, "cycle_id").agg(
+    g = _spread(d, [*keys, "cycle_id"]).groupBy(*keys, "cycle_id").agg(
         F.min(ts).alias("flux_date"),
         F.max(ts).alias("cycle_end"),
         ((F.max("_us") - F.min("_us")) / SECOND).alias("cycle_duration_sec"),
@@ -250,7 +256,7 @@ def evaluate_h2o_cycles(
         night = (h < 6) | (h >= 18)
     known = F.when(F.col(value).isNotNull(), F.struct("_us", *([tie] if tie else []), value))
     pts = F.array_sort(F.collect_list(known))
-    g = d.groupBy(*keys, "cycle_id").agg(
+    g = _spread(d, [*keys, "cycle_id"]).groupBy(*keys, "cycle_id").agg(
         F.min(ts).alias("flux_date"),
         night.alias("is_nighttime"),
         F.transform(pts, lambda p: p["_us"]).alias("_ts"),
@@ -270,7 +276,7 @@ def theil_sen_by_group(df: DataFrame, by: list[str], t: str, y: str) -> DataFram
     )
     d = df.filter(F.col(t).isNotNull() & F.col(y).isNotNull())
     pts = F.array_sort(F.collect_list(F.struct(F.col(t).alias("_us"), F.col(y).cast("double").alias("_y"))))
-    g = d.groupBy(*by).agg(
+    g = _spread(d, by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_points"),
         F.transform(pts, lambda p: p["_us"]).alias("_ts"),
         F.transform(pts, lambda p: p["_y"]).alias("_ys"),

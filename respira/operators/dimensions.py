@@ -1,80 +1,44 @@
 """Slowly changing measurements (tree volume, leaf counts, regimes) looked up at the time of a cycle.
 
-Measurements are turned into disjoint time spans and listed by the days they cover, so a lookup is an equi-join on
-(key, day) with at most one surviving match; the size of the listing depends on the calendar, not on the cycles.
+Cycles and measurements are put on one time line per key and each cycle takes its neighbours, so a lookup costs one
+shuffle of both tables whatever the gaps between measurements are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from respira.functions.units import absolute_flux, floor_area, leaf_area
 from respira.plans.series import micros
+from respira.plans.timejoin import neighbours
 
 DAY_US = 86_400_000_000
 
 
-def _by_day(spans: DataFrame) -> DataFrame:
-    lo, hi = F.floor(F.col("_lo") / DAY_US), F.floor(F.col("_hi") / DAY_US)
-    return spans.withColumn("_day", F.explode(F.sequence(lo, hi)))
-
-
-def _lookup(rows: DataFrame, spans: DataFrame, key: str, dim_key: str, at: Column, cols: list[str]) -> DataFrame:
-    """Left join rows to the span with ``_lo <= at <= _hi``; spans of a key must not overlap."""
-    s = _by_day(spans).withColumnRenamed(dim_key, "_key")
-    r = rows.withColumn("_at", at)
-    cond = (
-        (r[key] == s["_key"])
-        & (F.floor(r["_at"] / DAY_US) == s["_day"])
-        & (r["_at"] >= s["_lo"])
-        & (r["_at"] <= s["_hi"])
-    )
-    extra = [c for c in s.columns if c not in cols and c not in rows.columns]
-    return r.join(s, cond, "left").drop(*extra, "_at")
-
-
 def nearest_measurement(
     rows: DataFrame, dim: DataFrame, key: str, ts: str, dim_key: str, dim_date: str, cols: list[str], max_days: int = 30
 ) -> DataFrame:
     """Columns of the measurement nearest in time, at most ``max_days`` away; the earlier one on ties."""
-    d = dim.dropDuplicates([dim_key, dim_date]).withColumn("_m", micros(dim_date))
-    w = Window.partitionBy(dim_key).orderBy("_m")
+    d = dim.select(F.col(dim_key).alias(key), micros(dim_date).alias("_m"), *cols).dropDuplicates([key, "_m"])
+    j = neighbours(rows.withColumn("_us", micros(ts)), d, [key], "_us", "_m", cols)
+    back, ahead = F.col("_us") - F.col("_prev._m"), F.col("_next._m") - F.col("_us")
     reach = max_days * DAY_US
-    before, after = F.lag("_m").over(w), F.lead("_m").over(w)
-    # Midpoints split the time line: an exact midpoint belongs to the earlier measurement.
-    lo = F.greatest(F.col("_m") - reach, F.floor((before + F.col("_m")) / 2) + 1)
-    hi = F.least(F.col("_m") + reach, F.floor((F.col("_m") + after) / 2))
-    spans = d.select(dim_key, *cols, lo.alias("_lo"), hi.alias("_hi")).filter("_lo <= _hi")
-    return _lookup(rows, spans, key, dim_key, micros(ts), cols)
+    pick = F.when((back <= reach) & (ahead.isNull() | (back <= ahead)), F.col("_prev")).when(ahead <= reach, F.col("_next"))
+    return j.withColumn("_pick", pick).withColumns({c: F.col("_pick")[c] for c in cols}).drop("_us", "_prev", "_next", "_pick")
 
 
 def interpolated_measurement(
     rows: DataFrame, dim: DataFrame, key: str, ts: str, dim_key: str, dim_date: str, value: str, out: str
 ) -> DataFrame:
     """Value at the time of the row, linear between measurements; none before the first, the last one after it."""
-    known = dim.filter(F.col(value).isNotNull()).groupBy(dim_key, micros(dim_date).alias("_lo")).agg(
-        F.first(value).alias("_v0")
-    )
-    w = Window.partitionBy(dim_key).orderBy("_lo")
-    known = known.withColumn("_next", F.lead("_lo").over(w)).withColumn("_v1", F.lead("_v0").over(w))
-    inner = known.filter("_next IS NOT NULL").select(
-        dim_key,
-        "_lo",
-        (F.col("_next") - 1).alias("_hi"),
-        F.col("_v0"),
-        F.col("_lo").alias("_from"),
-        ((F.col("_v1") - F.col("_v0")) / (F.col("_next") - F.col("_lo"))).alias("_rate"),
-    )
-    at = micros(ts)
-    d = _lookup(rows, inner, key, dim_key, at, ["_v0", "_from", "_rate"])
-    last = known.filter("_next IS NULL").select(
-        F.col(dim_key).alias("_key"), F.col("_lo").alias("_last"), F.col("_v0").alias("_lv")
+    known = dim.filter(F.col(value).isNotNull()).groupBy(F.col(dim_key).alias(key), micros(dim_date).alias("_m")).agg(
+        F.first(value).alias("_v")
     )
-    d = d.join(last, d[key] == last["_key"], "left")
-    mid = F.col("_v0") + F.col("_rate") * (at - F.col("_from"))
-    v = F.when(at >= F.col("_last"), F.col("_lv")).otherwise(mid)
-    return d.withColumn(out, v).drop("_v0", "_from", "_rate", "_key", "_last", "_lv")
+    j = neighbours(rows.withColumn("_us", micros(ts)), known, [key], "_us", "_m", ["_v"])
+    p, n = F.col("_prev"), F.col("_next")
+    mid = p["_v"] + (n["_v"] - p["_v"]) * F.try_divide(F.col("_us") - p["_m"], n["_m"] - p["_m"])
+    return j.withColumn(out, F.when(n.isNull(), p["_v"]).otherwise(mid)).drop("_us", "_prev", "_next")
 
 
 def correct_for_tree_volume(

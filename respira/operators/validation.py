@@ -67,9 +67,9 @@ def _box_fit(k: Column, n: Column, y: Column, yy: Column, u: Column, uu: Column,
     return F.when(inside, point(free_a, free_r)).otherwise(F.array_min(F.array(*edges)))
 
 
-def _fit_at(step: float, cfg: dict) -> Callable[[Column, Column], Column]:
+def _fit_at(cfg: dict) -> Callable[[Column, Column], Column]:
     def at(s: Column, i: Column) -> Column:
-        lk = F.col("_c") + (i - _GRID // 2) * step
+        lk = F.col("_c") + (i - _GRID // 2) * F.col("_w")
         fit = _box_fit(F.exp(lk), F.col("_n"), F.col("_sy"), F.col("_syy"), s["u"], s["uu"], s["uy"], cfg)
         return F.struct(fit["rss"].alias("rss"), lk.alias("lk"), fit["a"].alias("a"), fit["r"].alias("r"))
 
@@ -89,25 +89,23 @@ def light_response(cycles: DataFrame, chamber: str, flux: str, radiation: str, d
     gate = null_safe_join(all_chambers, q, [chamber]).withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
     gate = gate.select(chamber, "n", (F.col("_q3") - F.col("_q1")).alias("par_iqr"))
     fit_ok = (F.col("n") >= cfg["light_min_n"]) & (F.col("par_iqr") >= cfg["light_par_iqr_min"])
-    center = gate.filter(fit_ok).select(chamber, F.lit(-6.9).alias("_c"))
-    width = 6.9
+    center = gate.filter(fit_ok).select(chamber, F.lit(-6.9).alias("_c"), F.lit(6.9 / (_GRID // 2)).alias("_w"))
+    # Grid centre and step are columns, so all passes share one compiled aggregation.
     for _ in range(_PASSES):
-        step = 2 * width / (_GRID - 1)
         j = null_safe_join(d, center, [chamber], "inner")
-        ks = [F.exp(F.col("_c") + (i - _GRID // 2) * step) for i in range(_GRID)]
+        ks = [F.exp(F.col("_c") + (i - _GRID // 2) * F.col("_w")) for i in range(_GRID)]
         us = [k * F.col("_p") / (1 + k * F.col("_p")) for k in ks]
         sums = [F.struct(F.sum(u).alias("u"), F.sum(u * u).alias("uu"), F.sum(u * F.col("_y")).alias("uy")) for u in us]
-        g = j.groupBy(chamber, "_c").agg(
+        g = j.groupBy(chamber, "_c", "_w").agg(
             F.count(F.lit(1)).cast("double").alias("_n"),
             F.sum("_y").alias("_sy"),
             F.sum(F.col("_y") * F.col("_y")).alias("_syy"),
             F.array(*sums).alias("_s"),
         )
 
-        best = g.withColumn("_b", F.array_min(F.transform("_s", _fit_at(step, cfg))))
-        center = cut_lineage(best.select(chamber, F.col("_b.lk").alias("_c"), "_b", "_n", "_sy", "_syy"))
-        width = step
-        center, fitted = center.select(chamber, "_c"), center
+        best = g.withColumn("_b", F.array_min(F.transform("_s", _fit_at(cfg))))
+        fitted = cut_lineage(best.select(chamber, "_w", "_b", "_n", "_sy", "_syy"))
+        center = fitted.select(chamber, F.col("_b.lk").alias("_c"), (F.col("_w") / (_GRID // 2)).alias("_w"))
     a, r, k = F.col("_b.a"), F.col("_b.r"), F.exp("_b.lk")
     fitted = fitted.select(
         chamber, (k * a).alias("alpha"), a.alias("Amax"), r.alias("Rd"), F.col("_b.rss").alias("_rss"),

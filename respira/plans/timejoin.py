@@ -67,4 +67,20 @@ def asof_join(
     return out.select(*keys, "_row.*", *[F.col("_hit")[o].alias(o) for o in cols])
 
 
-__all__ = ["asof_join", "interval_join", "null_safe_join", "DAY_US"]
+def neighbours(
+    left: DataFrame, right: DataFrame, keys: list[str], at: str, right_at: str, cols: list[str], small: bool | None = None
+) -> DataFrame:
+    """Both neighbours in time: ``_prev`` is the latest right row at or before the left row, ``_next`` the first after it.
+
+    Each is a struct of ``right_at`` and ``cols``. One shuffle serves both directions.
+    """
+    pack = F.struct(right_at, *cols)
+    r = right.select(*keys, F.col(right_at).alias("_at"), F.lit(0).alias("_side"), pack.alias("_pack"))
+    l_cols = [c for c in left.columns if c not in keys]
+    lrow = left.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_side"), F.struct(*l_cols).alias("_row"))
+    s = Series.of(r.unionByName(lrow, allowMissingColumns=True), keys, ["_at", "_side"], small=small)
+    s = s.nearest_known({"_prev": "_pack"}).nearest_known({"_next": "_pack"}, forward=False)
+    return s.df.filter("_side = 1").select(*keys, "_row.*", "_prev", "_next")
+
+
+__all__ = ["asof_join", "interval_join", "neighbours", "null_safe_join", "DAY_US"]

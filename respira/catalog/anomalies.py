@@ -175,4 +175,4 @@ def isolation_forest_and_mcd_flags(spark, sf):
 def robust_covariance_distance(spark, sf):
     cols = ["r2", "nrmse", "snr", "co2_range"]
     d = features(spark, sf).withColumn("_train", F.col("flux_qc") <= 1)
-    return anomaly.mahalanobis_scores(d, cols, id_cols=("l_orderkey",)).select("l_orderkey", "ml_mcd_dist", "mcd_flag")
+    return anomaly.mahalanobis_scores(d, cols, max_fit_rows=None).select("l_orderkey", "ml_mcd_dist", "mcd_flag")

@@ -156,6 +156,22 @@ def _moments(rows: DataFrame, cols: list[str]) -> tuple[int, np.ndarray, np.ndar
     return int(row[0]), mean, cov
 
 
+def concentrate(x: np.ndarray, support: float = 0.75, max_steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
+    """Location and precision of a small sample by concentration steps, as :func:`robust_covariance` does on tables."""
+    mean, cov, last = x.mean(axis=0), np.cov(x.T, bias=True), np.inf
+    for _ in range(max_steps):
+        d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.pinv(cov), x - mean)
+        kept = x[d <= np.quantile(d, support)]
+        mean, cov = kept.mean(axis=0), np.cov(kept.T, bias=True)
+        det = float(np.linalg.slogdet(cov + 1e-12 * np.eye(len(mean)))[1])
+        if abs(last - det) < 1e-9:
+            break
+        last = det
+    d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.pinv(cov), x - mean)
+    scale = float(np.median(d)) / _chi2_median(len(mean))
+    return mean, np.linalg.pinv(cov * max(scale, 1e-12))
+
+
 def robust_covariance(
     rows: DataFrame, cols: list[str], support: float = 0.75, max_steps: int = 15
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -195,10 +211,12 @@ def mahalanobis_scores(
     The fit uses ``max_fit_rows`` training rows in a fixed hash order, as many as the method prescribes.
     """
     base = df.filter(train)
-    fit = base
     if max_fit_rows is not None:
         fit = base.orderBy(F.xxhash64(*(id_cols or cols))).limit(max_fit_rows)
-    mean, precision = robust_covariance(fit, cols, support)
+        # At most this many rows by definition of the method, whatever the size of the table.
+        mean, precision = concentrate(fit.select(*cols).toPandas().to_numpy(dtype=float), support)
+    else:
+        mean, precision = robust_covariance(base, cols, support)
     d = df.withColumn("ml_mcd_dist", F.sqrt(F.greatest(F.lit(0.0), _distance(cols, mean, precision))))
     cut = exact_quantiles(d.filter(train).withColumn("_all", F.lit(1)), ["_all"], "ml_mcd_dist", {"_cut": percentile})
     d = d.withColumn("_all", F.lit(1)).join(cut.drop("n"), "_all", "left")
@@ -207,5 +225,5 @@ def mahalanobis_scores(
 
 __all__ = [
     "rolling_zscore", "seasonal_residuals", "seasonal_residual_scores", "rank_share", "ensemble_score",
-    "impute_features", "robust_covariance", "mahalanobis_scores",
+    "impute_features", "concentrate", "robust_covariance", "mahalanobis_scores",
 ]

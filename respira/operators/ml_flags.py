@@ -62,6 +62,10 @@ def anomaly_flags(
     train = F.col(qc) <= max_qc if qc and qc in d.columns else F.lit(True)
     d, cols = impute_features(d, have, train)
     d = cut_lineage(d)
+    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if d.rdd.getNumPartitions() < parts:
+        # Scoring is heavy for its bytes; coalesced storage must not put it into a few tasks.
+        d = d.repartition(parts)
     n_train = d.filter("_train").count()
     if n_train < max(50, len(cols) + 1):
         raise ValueError(f"only {n_train} training rows")

@@ -37,21 +37,19 @@ SETTINGS = {
     "Rd_max": 15.0,
 }
 _GRID = 21
+# Saturating term of the response for grid offset o, and the sums the linear part needs.
+_LIGHT_TERM = "1 - 1 / (1 + exp(_c + ({o}) * _w) * _p)"
+_LIGHT_SUMS = "named_struct('u', sum({u}), 'uu', sum({u} * {u}), 'uy', sum({u} * _y))"
 _PASSES = 5
 
 
-def _box_fit(k: Column, n: Column, y: Column, yy: Column, u: Column, uu: Column, uy: Column, cfg: dict) -> Column:
-    """Best (rss, Amax, Rd) of ``y = Amax * u - Rd`` inside its box, from sums.
+def _box_fit(d: DataFrame, cfg: dict) -> DataFrame:
+    """Add ``_b``: the best (rss, lk, a, r) of ``y = a * u - r`` inside its box, from the sums in the row.
 
     The optimum of a quadratic over a box is the free one if inside, else the best point of an edge.
     """
-    a_max = F.least(F.lit(cfg["Amax_max"]), F.try_divide(F.lit(cfg["alpha_max"]), k))
-    r_max = F.lit(cfg["Rd_max"])
-    zero = F.lit(0.0)
-
-    def point(a: Column, r: Column) -> Column:
-        rss = yy - 2 * a * uy + 2 * r * y + a * a * uu - 2 * a * r * u + r * r * n
-        return F.struct(rss.alias("rss"), a.alias("a"), r.alias("r"))
+    n, y, yy, u, uu, uy = (F.col(c) for c in ("_n", "_sy", "_syy", "u", "uu", "uy"))
+    a_max, r_max, zero = F.col("_am"), F.lit(cfg["Rd_max"]), F.lit(0.0)
 
     def best_a(r: Column) -> Column:
         return F.least(F.greatest(F.coalesce(F.try_divide(uy + r * u, uu), zero), zero), a_max)
@@ -59,21 +57,20 @@ def _box_fit(k: Column, n: Column, y: Column, yy: Column, u: Column, uu: Column,
     def best_r(a: Column) -> Column:
         return F.least(F.greatest((a * u - y) / n, zero), r_max)
 
-    det = n * uu - u * u
-    free_a = F.try_divide(n * uy - u * y, det)
-    free_r = (free_a * u - y) / n
-    inside = (free_a >= 0) & (free_a <= a_max) & (free_r >= 0) & (free_r <= r_max)
-    edges = [point(best_a(b), b) for b in (zero, r_max)] + [point(b, best_r(b)) for b in (zero, a_max)]
-    return F.when(inside, point(free_a, free_r)).otherwise(F.array_min(F.array(*edges)))
-
+    d = d.withColumn("_am", F.least(F.lit(cfg["Amax_max"]), F.try_divide(F.lit(cfg["alpha_max"]), F.exp("lk"))))
+    d = d.withColumn("_fa", F.try_divide(n * uy - u * y, n * uu - u * u))
+    d = d.withColumn("_fr", (F.col("_fa") * u - y) / n)
+    spots = {"0": (best_a(zero), zero), "1": (best_a(r_max), r_max), "2": (zero, best_r(zero)), "3": (a_max, best_r(a_max))}
+    d = d.withColumns({f"_a{k}": a for k, (a, _) in spots.items()} | {f"_r{k}": r for k, (_, r) in spots.items()})
 
-def _fit_at(cfg: dict) -> Callable[[Column, Column], Column]:
-    def at(s: Column, i: Column) -> Column:
-        lk = F.col("_c") + (i - _GRID // 2) * F.col("_w")
-        fit = _box_fit(F.exp(lk), F.col("_n"), F.col("_sy"), F.col("_syy"), s["u"], s["uu"], s["uy"], cfg)
-        return F.struct(fit["rss"].alias("rss"), lk.alias("lk"), fit["a"].alias("a"), fit["r"].alias("r"))
+    def point(a: Column, r: Column) -> Column:
+        rss = yy - 2 * a * uy + 2 * r * y + a * a * uu - 2 * a * r * u + r * r * n
+        return F.struct(rss.alias("rss"), F.col("lk"), a.alias("a"), r.alias("r"))
 
-    return at
+    fa, fr = F.col("_fa"), F.col("_fr")
+    inside = (fa >= 0) & (fa <= a_max) & (fr >= 0) & (fr <= r_max)
+    edges = F.least(*[point(F.col(f"_a{k}"), F.col(f"_r{k}")) for k in spots])
+    return d.withColumn("_b", F.when(inside, point(fa, fr)).otherwise(edges))
 
 
 def light_response(cycles: DataFrame, chamber: str, flux: str, radiation: str, day: str, cfg: dict = SETTINGS) -> DataFrame:
@@ -93,17 +90,17 @@ def light_response(cycles: DataFrame, chamber: str, flux: str, radiation: str, d
     # Grid centre and step are columns, so all passes share one compiled aggregation.
     for _ in range(_PASSES):
         j = null_safe_join(d, center, [chamber], "inner")
-        ks = [F.exp(F.col("_c") + (i - _GRID // 2) * F.col("_w")) for i in range(_GRID)]
-        us = [k * F.col("_p") / (1 + k * F.col("_p")) for k in ks]
-        sums = [F.struct(F.sum(u).alias("u"), F.sum(u * u).alias("uu"), F.sum(u * F.col("_y")).alias("uy")) for u in us]
+        j = j.select("*", *[F.expr(_LIGHT_TERM.format(o=i - _GRID // 2)).alias(f"u{i}") for i in range(_GRID)])
+        sums = ", ".join(_LIGHT_SUMS.format(u=f"u{i}") for i in range(_GRID))
         g = j.groupBy(chamber, "_c", "_w").agg(
             F.count(F.lit(1)).cast("double").alias("_n"),
             F.sum("_y").alias("_sy"),
             F.sum(F.col("_y") * F.col("_y")).alias("_syy"),
-            F.array(*sums).alias("_s"),
+            F.expr(f"array({sums})").alias("_s"),
         )
-
-        best = g.withColumn("_b", F.array_min(F.transform("_s", _fit_at(cfg))))
+        spread = g.select(chamber, "_c", "_w", "_n", "_sy", "_syy", F.posexplode("_s").alias("_i", "_u"))
+        spread = spread.withColumn("lk", F.col("_c") + (F.col("_i") - _GRID // 2) * F.col("_w")).select("*", "_u.*")
+        best = _box_fit(spread, cfg).groupBy(chamber, "_w", "_n", "_sy", "_syy").agg(F.min("_b").alias("_b"))
         fitted = cut_lineage(best.select(chamber, "_w", "_b", "_n", "_sy", "_syy"))
         center = fitted.select(chamber, F.col("_b.lk").alias("_c"), (F.col("_w") / (_GRID // 2)).alias("_w"))
     a, r, k = F.col("_b.a"), F.col("_b.r"), F.exp("_b.lk")

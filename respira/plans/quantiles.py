@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from respira.plans.series import null_safe_join
-from respira.plans.sizing import is_small
+from respira.plans.sizing import is_small, store_if_costly
 
 def exact_quantiles(
     df: DataFrame,
@@ -30,7 +30,8 @@ def exact_quantiles(
         return out.select(*keys, "n", *[F.col("_q")[i].alias(o) for i, o in enumerate(names)])
     d = 4.0 / accuracy
     marks = [b for q in qs for b in (max(q - d, 0.0), min(q + d, 1.0))]
-    v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v IS NOT NULL")
+    v = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    v = store_if_costly(v)
     sketch = v.groupBy(*keys).agg(
         F.count("_v").alias("n"),
         F.percentile_approx("_v", F.array(*map(F.lit, marks)), F.lit(accuracy)).alias("_m"),
@@ -49,7 +50,7 @@ def exact_quantiles(
     below = j.groupBy(*keys).agg(
         *[F.sum((F.col("_v") < F.col(f"_lo{i}")).cast("bigint")).alias(f"_b{i}") for i in range(len(qs))]
     )
-    hits = F.filter(brackets, lambda b: (F.col("_v") >= b["lo"]) & (F.col("_v") <= b["hi"]))
+    hits = F.filter(brackets, lambda b: F.coalesce((F.col("_v") >= b["lo"]) & (F.col("_v") <= b["hi"]), F.lit(False)))
     inside = (
         j.select(*keys, "_v", F.explode(F.transform(hits, lambda b: b["i"])).alias("_i"))
         .groupBy(*keys, "_i", "_v")
@@ -65,7 +66,8 @@ def exact_quantiles(
             r = off - F.col(f"_b{i}")
             hit = (F.col("_i") == i) & (F.col("_cum") > r) & (F.col("_cum") - F.col("_c") <= r)
             picks.append(F.max(F.when(hit, F.col("_v"))).alias(f"_{side}{i}"))
-    found = null_safe_join(ranked.groupBy(*keys).agg(*picks), base, keys, "inner")
+    # From all groups, so that one without any value still gives a row, with nulls.
+    found = null_safe_join(base, ranked.groupBy(*keys).agg(*picks), keys)
     cols = []
     for i, (o, q) in enumerate(zip(names, qs, strict=True)):
         pos = F.lit(q) * (F.col("n") - 1)
@@ -79,8 +81,9 @@ def exact_medians(df: DataFrame, keys: list[str], cols: dict[str, Column], small
     small = is_small(df) if small is None else small
     if small:
         return df.groupBy(*keys).agg(*[F.percentile(c, F.lit(0.5)).alias(o) for o, c in cols.items()])
+    df = store_if_costly(df.select(*keys, *[c.alias(f"_in_{o}") for o, c in cols.items()]))
     out = df.select(*keys).distinct()
-    for o, c in cols.items():
-        med = exact_quantiles(df.select(*keys, c.alias("_m")), keys, "_m", {o: 0.5}, small=False).drop("n")
+    for o in cols:
+        med = exact_quantiles(df, keys, f"_in_{o}", {o: 0.5}, small=False).drop("n")
         out = null_safe_join(out, med, keys)
     return out

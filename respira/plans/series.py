@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from respira.plans.sizing import cut_lineage, is_small, target_rows
+from respira.plans.sizing import cut_lineage, is_small, store_if_costly, target_rows
 
 SEG = "_seg"
 _GRID_BITS = 12
@@ -52,9 +52,9 @@ def _cut_table(df: DataFrame, keys: list[str], order: str, rows: int) -> DataFra
         .groupBy(*keys)
         .agg(
             F.max("_n").alias("_n"),
-            F.expr(f"percentile_approx({order}, array({grid}), {10 * n_grid})").alias("_all"),
+            F.expr(f"percentile_approx({order}, array({grid}), {10 * n_grid})").alias("_grid"),
         )
-        .withColumn("_cuts", F.array_distinct(F.filter("_all", lambda _, i: (i + 1) % step == 0)))
+        .withColumn("_cuts", F.array_distinct(F.filter("_grid", lambda _, i: (i + 1) % step == 0)))
         .select(*keys, "_cuts")
     )
     return cut_lineage(cuts)
@@ -99,6 +99,7 @@ class Series:
             small = is_small(df)
         if small:
             return cls(df, keys, order, None, False)
+        df = store_if_costly(df)
         cuts = _cut_table(df, keys, order[0], target_rows(df))
         if cuts is None:
             return cls(df, keys, order, None, False)

@@ -12,10 +12,22 @@ TARGET_CONF = "respira.series.rows"
 TARGET_ROWS = 2_000_000
 
 
+# Input bytes behind stored results, by id of the stored RDD: a stored result keeps only a join-inflated estimate.
+_STORED: dict[int, int] = {}
+
+
+def _leaves(df: DataFrame) -> list:
+    found = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
+
+
 def source_bytes(df: DataFrame) -> int:
     """Bytes of the tables a plan reads, from Catalyst's leaf statistics (no job is run)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    total = 0
+    for leaf in _leaves(df):
+        stored = _STORED.get(leaf.rdd().id()) if leaf.getClass().getSimpleName() == "LogicalRDD" else None
+        total += stored if stored is not None else int(str(leaf.stats().sizeInBytes()))
+    return total
 
 
 def is_small(df: DataFrame) -> bool:
@@ -32,4 +44,21 @@ def target_rows(df: DataFrame) -> int:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors, unlike cached or local copies."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    size = source_bytes(df)
+    out = df.checkpoint(eager=True)
+    for leaf in _leaves(out):
+        if leaf.getClass().getSimpleName() == "LogicalRDD":
+            _STORED[leaf.rdd().id()] = size
+    return out
+
+
+_COSTLY = ("Join ", "Aggregate ", "Window ", "Sort ", "Generate ", "Repartition", "MapInPandas", "FlatMapGroups")
+
+
+def store_if_costly(df: DataFrame) -> DataFrame:
+    """Store a table that is about to be read several times, unless it is a plain scan that is cheaper to repeat.
+
+    Without this, operators that each read their input a few times would multiply each other's work when chained.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return cut_lineage(df) if any(word in plan for word in _COSTLY) else df

@@ -15,23 +15,14 @@ SF = "/root/testdata/sf0.001"
 ALL = load()
 CHECKED = [n for n, (_, sql) in ALL.items() if sql]
 SPLIT = [
-    "rule_flags_all_variables",
     "rate_of_change_flags",
     "persistence_flags",
     "gap_sessions",
-    "uniform_downsample",
     "grid_linear_interpolation",
     "sensor_flags_onto_cycles",
-    "interpolated_tree_volume",
-    "nearest_date_leaf_area_index",
     "rolling_drift_score",
     "cumulative_flux",
-    "mad_outlier_mask",
-    "binary_segmentation",
     "seasonal_residuals",
-    "rank_ensemble_score",
-    "window_selection",
-    "soil_gradient_anomaly",
 ]
 
 

@@ -45,7 +45,7 @@ def test_split_equals_plain(events, cut_series, name):
 
 @pytest.mark.parametrize("accuracy", [100_000, 60])
 def test_quantiles_match_percentile(events, cut_series, accuracy):
-    df = _base(events)
+    df = _base(events).withColumn("event_type", F.when(F.col("value").isNull(), F.lit("none")).otherwise(F.col("event_type")))
     probs = {"q1": 0.25, "q2": 0.5, "q95": 0.95, "lo": 0.0, "hi": 1.0}
     a = exact_quantiles(df, ["event_type"], "value", probs, small=True).toPandas()
     b = exact_quantiles(df, ["event_type"], "value", probs, accuracy=accuracy).toPandas()

@@ -6,6 +6,8 @@ from importlib import import_module
 
 # query -> module that holds it
 QUERIES = {
+    "op5_source_mixing": "source_mixing",
+    "op9_packing": "packing",
     "op10_quality_rules": "quality_rules",
 }
 

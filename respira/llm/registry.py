@@ -7,6 +7,7 @@ from importlib import import_module
 # query -> module that holds it
 QUERIES = {
     "op5_source_mixing": "source_mixing",
+    "op6_language_id": "language_id",
     "op9_packing": "packing",
     "op10_quality_rules": "quality_rules",
 }

@@ -18,7 +18,7 @@ from respira.plans.series import number_rows
 MAX_TIMES = 3
 BLOCK_ROWS = 2000
 #: Documents of a source's last block that are rounded together, besides the two that the flight leaves.
-LANDING = 10
+LANDING = 14
 SEED = 5
 _EPS = 1e-9
 

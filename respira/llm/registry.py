@@ -6,6 +6,7 @@ from importlib import import_module
 
 # query -> module that holds it
 QUERIES = {
+    "op1_license_scan": "license_scan",
     "op3_secret_scan": "secret_scan",
     "op5_source_mixing": "source_mixing",
     "op6_language_id": "language_id",

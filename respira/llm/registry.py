@@ -8,6 +8,7 @@ from importlib import import_module
 QUERIES = {
     "op1_license_scan": "license_scan",
     "op3_secret_scan": "secret_scan",
+    "op4_url_filter": "url_filter",
     "op5_source_mixing": "source_mixing",
     "op6_language_id": "language_id",
     "op9_packing": "packing",

@@ -7,6 +7,7 @@ from importlib import import_module
 # query -> module that holds it
 QUERIES = {
     "op1_license_scan": "license_scan",
+    "op2_minhash_dedup": "minhash_dedup",
     "op3_secret_scan": "secret_scan",
     "op4_url_filter": "url_filter",
     "op5_source_mixing": "source_mixing",

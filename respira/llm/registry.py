@@ -12,6 +12,7 @@ QUERIES = {
     "op4_url_filter": "url_filter",
     "op5_source_mixing": "source_mixing",
     "op6_language_id": "language_id",
+    "op7_vector_search": "vector_search",
     "op9_packing": "packing",
     "op10_quality_rules": "quality_rules",
 }

@@ -13,6 +13,7 @@ QUERIES = {
     "op5_source_mixing": "source_mixing",
     "op6_language_id": "language_id",
     "op7_vector_search": "vector_search",
+    "op8_quality_model": "quality_model",
     "op9_packing": "packing",
     "op10_quality_rules": "quality_rules",
 }

@@ -20,8 +20,11 @@ PART_ROWS = 2000
 MAX_DEPTH = 6
 NEIGHBOURS = 12
 HIDDEN = 128
-#: A query goes to its most probable partitions until their probabilities sum to this.
-REACH = 0.98
+#: A query goes to its most probable partitions until their probabilities sum to a reach: the least of these that finds
+#: ``RECALL`` of the neighbours of sample vectors which the classifier was not trained on.
+REACHES = (0.8, 0.9, 0.95, 0.97, 0.98, 0.985, 0.99, 0.995, 0.999, 1.0)
+RECALL = 0.945
+HELD_OUT = 0.15
 #: Vectors and queries that meet in one task at most, about.
 BLOCK = 4000
 K = 20
@@ -96,11 +99,38 @@ class Router:
         return self._softmax(np.maximum((x * self.scale) @ w[0] + w[1], 0) @ w[2] + w[3])
 
 
-def fit(x: np.ndarray, rows: int) -> tuple[Router, int]:
-    """Router over balanced parts of the sample ``x`` for a table of ``rows`` vectors."""
+def ordered(p: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Partitions of each row by probability, and how many of them to search."""
+    order = np.argsort(-p, axis=1, kind="stable")
+    total = np.cumsum(np.take_along_axis(p, order, 1), 1)
+    return order, np.minimum((total < reach).sum(1) + 1, p.shape[1]) if reach < 1 else np.full(len(p), p.shape[1])
+
+
+def calibrate(router: Router, x: np.ndarray, asked: np.ndarray) -> float:
+    """The least reach that finds ``RECALL`` of the asked vectors' neighbours among ``x``."""
+    p = router.probabilities(x)
+    home, k = p.argmax(1), min(K, len(x) - 1)
+    s = x[asked] @ x.T
+    s[np.arange(len(asked)), asked] = -np.inf
+    want = home[np.argpartition(-s, k - 1, axis=1)[:, :k]]
+    for reach in REACHES:
+        order, need = ordered(p[asked], reach)
+        place = np.argsort(order, axis=1)
+        if (np.take_along_axis(place, want, 1) < need[:, None]).mean() >= RECALL:
+            return reach
+    return 1.0
+
+
+def fit(x: np.ndarray, rows: int) -> tuple[Router, int, float]:
+    """Router over balanced parts of the sample ``x`` for a table of ``rows`` vectors, their number, and the reach."""
     depth = max(0, min(MAX_DEPTH, math.ceil(math.log2(max(rows, 1) / PART_ROWS)), int(math.log2(max(len(x), 1) / 64 + 1))))
     part = bisect(neighbour_graph(x, min(NEIGHBOURS, len(x) - 1)), depth) if depth else np.zeros(len(x), np.int64)
-    return Router(x, part, 1 << depth), 1 << depth
+    if not depth:
+        return Router(x, part, 1), 1, 1.0
+    asked = np.random.default_rng(SEED).permutation(len(x))[: int(HELD_OUT * len(x))]
+    train = np.setdiff1d(np.arange(len(x)), asked)
+    router = Router(x[train], part[train], 1 << depth)
+    return router, 1 << depth, calibrate(router, x, asked)
 
 
 def best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -131,7 +161,7 @@ def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query, by inner product in double precision.
 
     ``queries`` is a condition on the rows (column ``id``). Every vector is indexed under its most probable partition;
-    a query searches partitions until their probabilities reach ``REACH``, exactly, so what it misses lies elsewhere.
+    a query searches partitions, each exactly, until their probabilities sum to the reach that the sample calls for.
     Queries that found fewer than ``k`` search all partitions. Vectors and queries of a partition meet in blocks of
     about ``BLOCK``. Ties go to the smaller id. Vectors that are null, zero, of another length than most, or hold null
     or non-finite components take no part; a null id is never a query; repeated rows are candidates each; an empty table
@@ -149,18 +179,15 @@ def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str
     n = sizes["n"]
     d = d.filter(F.size("v") == sizes["s"])
     draw = F.pmod(row_key("id", "v"), F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30))
-    drawn = d.filter(draw | F.lit(n <= SAMPLE)).select("id", "v").toPandas().sort_values("id", kind="stable")
+    drawn = d.filter(draw | F.lit(n <= SAMPLE)).select("id", "v").toArrow().to_pandas().sort_values("id", kind="stable")
     if len(drawn) < 2:
-        drawn = d.limit(2).toPandas()
-    router, parts = fit(np.stack(drawn["v"].to_numpy()).astype(float), n)
+        drawn = d.limit(2).toArrow().to_pandas()
+    router, parts, reach = fit(np.stack(drawn["v"].to_numpy()).astype(float), n)
     shared = spark.sparkContext.broadcast(router)
 
     def route(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in it:
-            p = shared.value.probabilities(np.stack(s.to_numpy()).astype(float))
-            order = np.argsort(-p, axis=1, kind="stable")
-            total = np.cumsum(np.take_along_axis(p, order, 1), 1)
-            need = (total < REACH).sum(1) + 1
+            order, need = ordered(shared.value.probabilities(np.stack(s.to_numpy()).astype(float)), reach)
             yield pd.Series([o[:m].tolist() for o, m in zip(order, need, strict=True)])
 
     route.__annotations__ = {"it": Iterator[pd.Series], "return": Iterator[pd.Series]}

@@ -72,40 +72,57 @@ def write_logger_files(spark, sf: str, folder: str, only: str | None = None) ->
         both.select("day", "part", "value").write.partitionBy("day", "part").text(f"{folder}/{top}/{sub}")
 
 
-@query(
-    "logger_file_scan",
-    f"""WITH {READINGS} SELECT ts AS "TIMESTAMP", CAST(event_id AS DOUBLE) AS "RECORD", {sr('value')} AS "CO2_C2", CAST(aux AS DOUBLE) AS "RH_1_C2", CAST(aux AS DOUBLE) AS "Temp_1_C2" FROM readings WHERE sensor = 'view'""",
-)
+# Every line of the written files: all readings, and the repeated ones of the update folder.
+LINES = f"""{READINGS}, lines AS (SELECT *, 0 AS again FROM readings UNION ALL
+  SELECT event_id, ts, sensor, chamber, 777.5, aux, 1 FROM readings WHERE sensor = 'click' AND aux >= 50)"""
+
+
+def _of(sensor: str, expr: str, name: str) -> str:
+    return f"CASE WHEN sensor = '{sensor}' THEN {expr} END AS \"{name}\""
+
+
+NAMED = ", ".join([
+    _of("click", sr("value"), "CO2_C1"), _of("click", "CAST(aux AS DOUBLE)", "Temp_1_C1"), _of("view", sr("value"), "CO2_C2"),
+    _of("view", "CAST(aux AS DOUBLE)", "RH_1_C2"), _of("error", "CAST(aux AS DOUBLE)", "AirTC_Avg"),
+    _of("signup", sr("value"), "AirTC_Avg_Soil"),
+])
+STAMP = 'ts AS "TIMESTAMP", CAST(event_id AS DOUBLE) AS "RECORD"'
+
+
+def _named(d):
+    return d.select(
+        "TIMESTAMP", "RECORD", r("CO2_C1").alias("CO2_C1"), "Temp_1_C1", r("CO2_C2").alias("CO2_C2"), "RH_1_C2", "AirTC_Avg",
+        r("AirTC_Avg_Soil").alias("AirTC_Avg_Soil"),
+    )
+
+
+@query("logger_file_scan", f"WITH {LINES} SELECT {STAMP}, {NAMED} FROM lines")
 def logger_file_scan(spark, sf):
     folder = fresh_folder(spark)
-    write_logger_files(spark, sf, folder, "view")
-    d = logger.read_logger(spark, f"{folder}/main/Chamber2_logs")
-    return d.select("TIMESTAMP", "RECORD", r("CO2_C2").alias("CO2_C2"), "RH_1_C2", "Temp_1_C2")
+    write_logger_files(spark, sf, folder)
+    return _named(logger.read_logger(spark, folder))
 
 
 @query(
     "logger_range_scan",
-    f"""WITH {READINGS} SELECT ts AS "TIMESTAMP", CAST(event_id AS DOUBLE) AS "RECORD", CAST(aux AS DOUBLE) AS "AirTC_Avg" FROM readings WHERE sensor = 'error' AND ts BETWEEN TIMESTAMP '2024-01-04' AND TIMESTAMP '2024-01-20'""",
+    f"WITH {LINES} SELECT {STAMP}, {NAMED} FROM lines WHERE again = 0 AND ts BETWEEN TIMESTAMP '2024-01-04' AND TIMESTAMP '2024-01-20'",
 )
 def logger_range_scan(spark, sf):
     folder = fresh_folder(spark)
-    write_logger_files(spark, sf, folder, "error")
-    d = logger.read_logger(
-        spark, [f"{folder}/main/climate", f"{folder}/main/climate"], start="2024-01-04 00:00:00", end="2024-01-20 00:00:00"
-    )
-    return logger.first_per_time(d, []).select("TIMESTAMP", "RECORD", "AirTC_Avg")
+    write_logger_files(spark, sf, folder)
+    d = logger.read_logger(spark, [f"{folder}/main", folder], start="2024-01-04 00:00:00", end="2024-01-20 00:00:00")
+    return _named(logger.first_per_time(d, ["RECORD"]))
 
 
 @query(
     "later_source_wins",
-    f"""WITH {READINGS} SELECT ts AS "TIMESTAMP", CAST(event_id AS DOUBLE) AS "RECORD", {sr('CASE WHEN aux >= 50 THEN 777.5 ELSE value END')} AS "CO2_C1" FROM readings WHERE sensor = 'click'""",
+    f"""WITH {LINES} SELECT {STAMP}, {NAMED} FROM lines WHERE sensor <> 'purchase' AND (again = 1 OR NOT (sensor = 'click' AND aux >= 50))""",
 )
 def later_source_wins(spark, sf):
     folder = fresh_folder(spark)
-    write_logger_files(spark, sf, folder, "click")
-    main = logger.read_logger(spark, f"{folder}/main/chamber_1")
-    update = logger.read_logger(spark, f"{folder}/update_240101/chamber_1_new")
-    return logger.merge_sources([main, update], []).select("TIMESTAMP", "RECORD", r("CO2_C1").alias("CO2_C1"))
+    write_logger_files(spark, sf, folder)
+    main, update = (logger.read_logger(spark, f"{folder}/{top}") for top in ("main", "update_240101"))
+    return _named(logger.merge_sources([main, update], ["RECORD"]))
 
 
 @query(
@@ -204,12 +221,13 @@ def tree_size_table(spark, sf):
 
 @query(
     "leaf_count_table",
-    f"""WITH {SHEET} SELECT d AS date, code AS tree_code, c_custkey % 40 AS n_leaves, CAST(CASE WHEN code LIKE '%/1%' THEN 1 ELSE 2 END AS INT) AS chamber FROM sh WHERE d IS NOT NULL AND code IN ('2.2/EKA-1/1', '2.2/EKA-2/2', '2.2/EKA-3/3', '2.2/EKA-0/4', '2.2/EKA-1/5', '2.2/EKA-2/6')""",
+    f"""WITH {SHEET} SELECT d AS date, code AS tree_code, c_custkey % 40 AS n_leaves, CAST(CASE WHEN code LIKE '%/1%' THEN 1 ELSE 2 END AS INT) AS chamber FROM sh WHERE d IS NOT NULL""",
 )
 def leaf_count_table(spark, sf):
-    # Which nation a customer has is data, so every code a listed customer can have is mapped.
-    codes = {f"2.2/EKA-{k % 4}/{k}": (1 if f"2.2/EKA-{k % 4}/{k}".split("/")[2].startswith("1") else 2) for k in range(1, 7)}
-    return tables.normalise_leaf_counts(sheet(spark, sf), codes).select("date", "tree_code", "n_leaves", "chamber")
+    trees = sheet(spark, sf)
+    code = F.col("Kode pohon")
+    stands = trees.select(code.alias("tree_code"), F.when(code.like("%/1%"), 1).otherwise(2).alias("chamber")).distinct()
+    return tables.normalise_leaf_counts(trees, stands).select("date", "tree_code", "n_leaves", "chamber")
 
 
 @query("column_pruned_scan", f"WITH {READINGS} SELECT ts AS \"TIMESTAMP\", value AS \"CO2_C1\", aux AS \"Temp_1_C1\" FROM readings")

@@ -277,7 +277,7 @@ SELECT CAST(i AS BIGINT) AS k, {sr('gain', 3)} AS gain FROM k ORDER BY gain DESC
 )
 def segmented_chamber_bias(spark, sf):
     p = pairs(spark, sf).select(F.lit("bias").alias("pair"), micros("h").alias("us"), (F.col("c2") - F.col("c1")).alias("x"))
-    s = changepoints.prepare_signal(p, ["pair"], ["us"], "x", max_samples=10_000_000)
+    s = changepoints.prepare_signal(p, ["pair"], ["us"], "x")
     d = changepoints.binary_segmentation(s, ["pair"], n_breaks=1, min_size=12)
     return d.select("k", r("gain", 3).alias("gain"))
 

@@ -311,7 +311,7 @@ def audit(spark, sf):
    THEN 0 ELSE 1 END AS nw FROM bad),
  i AS (SELECT *, sum(nw) OVER (PARTITION BY sensor ORDER BY s, e, regime) AS isl FROM m)
 SELECT sensor, min(s) AS "start", max(e) AS "end", 2 AS flag,
- 'regimes ' || string_agg(CAST(regime AS VARCHAR), ',' ORDER BY s, e, regime) || '; avg agreement=' || printf('%.2f', round(avg(agreement), 2))
+ 'regimes ' || string_agg(CAST(regime AS VARCHAR), ',' ORDER BY s, e, regime) || '; avg agreement=' || printf('%.2f', round_even(avg(agreement), 2))
   || CASE WHEN bool_or(warn) THEN '; slope_warning=True' ELSE '' END AS reason,
  count(*) AS n_regimes, {sr('avg(agreement)')} AS avg_agreement
 FROM i GROUP BY sensor, isl""",

@@ -83,7 +83,7 @@ def cumulative_flux(spark, sf):
     return d.select("event_id", r("cumulative", 4).alias("cumulative"))
 
 
-def signal(spark, sf, max_samples=10_000):
+def signal(spark, sf, max_samples=None):
     d = readings(spark, sf).withColumn("us", micros("ts"))
     return cp.prepare_signal(d, ["sensor"], ["us", "event_id"], "value", max_samples=max_samples)
 

@@ -10,7 +10,7 @@ from respira.functions.numeric import true
 from respira.operators.drift import centred, full_frame
 from respira.operators.integrate import HOUR_US, attach_nearest_hour, interpolate, time_grid
 from respira.plans.quantiles import exact_medians, exact_quantiles
-from respira.plans.series import Series, micros, null_safe_join
+from respira.plans.series import Series, join_few, micros, null_safe_join
 from respira.plans.sizing import cut_lineage
 
 # Detector column and whether high values are the odd ones; None means both ends are.
@@ -52,14 +52,14 @@ def seasonal_residuals(
     s = interpolate(Series.of(grid, keys, ["hour_us"]), ["_x"], limit_us=max_gap_hours * HOUR_US)
     d = s.df.filter("_x IS NOT NULL")
     n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= 3 * period)
-    d = null_safe_join(d, n, keys, "inner")
+    d = join_few(d, n, keys, "inner")
     before, after = centred(period)
     d = Series.of(d, keys, ["hour_us"]).rows_frame(before, after, {"_t": lambda w: F.avg("_x").over(w)}).df
     d = d.withColumn("_detr", F.col("_x") - F.col("_t")).withColumn("_hod", (F.col("hour_us") / HOUR_US) % period)
     season = exact_quantiles(d, [*keys, "_hod"], "_detr", {"_season": 0.5}).drop("n")
     d = null_safe_join(d, season, [*keys, "_hod"]).withColumn("residual", F.col("_detr") - F.col("_season"))
     q = exact_quantiles(d, keys, "residual", {"_q1": 0.25, "_q3": 0.75}).filter("_q3 - _q1 >= 1e-9")
-    d = null_safe_join(d, q.drop("n"), keys, "inner")
+    d = join_few(d, q.drop("n"), keys, "inner")
     sigma = (F.col("_q3") - F.col("_q1")) / 1.3489
     return d.select(*keys, "hour_us", "residual", (F.col("residual") / sigma).alias("zscore"))
 
@@ -204,11 +204,11 @@ def _chi2_median(k: int) -> float:
 
 def mahalanobis_scores(
     df: DataFrame, cols: list[str], train: str = "_train", support: float = 0.75, percentile: float = 0.95,
-    max_fit_rows: int | None = 5000, id_cols: tuple[str, ...] = (),
+    max_fit_rows: int | None = None, id_cols: tuple[str, ...] = (),
 ) -> DataFrame:
     """``ml_mcd_dist`` for all rows and ``mcd_flag`` above the training percentile.
 
-    The fit uses ``max_fit_rows`` training rows in a fixed hash order, as many as the method prescribes.
+    The fit uses all training rows, or ``max_fit_rows`` of them in a fixed hash order where that is given.
     """
     base = df.filter(train)
     if max_fit_rows is not None:

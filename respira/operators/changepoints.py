@@ -1,6 +1,6 @@
 """Mean-shift change points of many series at once.
 
-A series is first thinned to at most ``max_samples`` rows or averaged per group. Segment costs come from prefix sums, so
+A series is taken whole (or averaged per group, or thinned where ``max_samples`` asks for it). Segment costs come from prefix sums, so
 binary segmentation evaluates every split of every segment of every series in one aggregation per round; only the small
 table of cuts passes between rounds.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from respira.plans.series import Series, _position, null_safe_join
+from respira.plans.series import Series, _position, join_few, null_safe_join
 from respira.plans.sizing import cut_lineage
 
 
@@ -24,7 +24,7 @@ def prepare_signal(
     value: str,
     flag: str | None = None,
     group: str | None = None,
-    max_samples: int = 10_000,
+    max_samples: int | None = None,
 ) -> DataFrame:
     """Signal rows ``keys, i, at, x, step`` with 0-based position ``i``: good rows only, averaged per ``group`` or thinned."""
     d = df.filter(F.col(value).isNotNull())
@@ -35,8 +35,13 @@ def prepare_signal(
         s = Series.of(d, keys, ["at", group]).row_number("_rn")
         return s.df.select(*keys, (F.col("_rn") - 1).alias("i"), "at", "x", F.lit(1).cast("bigint").alias("step"))
     s = Series.of(d, keys, order).row_number("_rn")
+    if max_samples is None:
+        return s.df.select(
+            *keys, (F.col("_rn") - 1).alias("i"), F.col(order[0]).alias("at"), F.col(value).cast("double").alias("x"),
+            F.lit(1).cast("bigint").alias("step"),
+        )
     n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    d = null_safe_join(s.df, n, keys).withColumn("step", F.greatest(F.lit(1), F.ceil(F.col("_n") / max_samples)))
+    d = join_few(s.df, n, keys).withColumn("step", F.greatest(F.lit(1), F.ceil(F.col("_n") / max_samples)))
     d = d.withColumn("_i", F.col("_rn") - 1).filter(F.col("_i") % F.col("step") == 0)
     return d.select(
         *keys, (F.col("_i") / F.col("step")).cast("bigint").alias("i"), F.col(order[0]).alias("at"),
@@ -51,7 +56,7 @@ def _min_size(signal_min: int) -> Column:
 def _with_sums(signal: DataFrame, keys: list[str]) -> DataFrame:
     """Prefix sums of the centred signal: ``s1`` and ``s2`` are sums over positions below ``i``."""
     mean = signal.groupBy(*keys).agg(F.avg("x").alias("_m"), F.count(F.lit(1)).alias("n"))
-    c = null_safe_join(signal, mean, keys).withColumn("_c", F.col("x") - F.col("_m"))
+    c = join_few(signal, mean, keys).withColumn("_c", F.col("x") - F.col("_m"))
     s = Series.of(c, keys, ["i"]).running_sum({"_s1": F.col("_c"), "_s2": F.col("_c") * F.col("_c")})
     return s.df.select(
         *keys, "i", "at", "x", "step", "n", (F.col("_s1") - F.col("_c")).alias("s1"),
@@ -68,7 +73,7 @@ def _split_gains(rows: DataFrame, ends: DataFrame, keys: list[str], min_size: in
 
     ``ends`` holds per series the sorted cuts ``(k, s1, s2)``, 0 and n included, so one aggregation scores all splits.
     """
-    d = null_safe_join(rows, ends.withColumn("_ks", F.transform("_cuts", lambda c: c["k"])), keys, "inner")
+    d = join_few(rows, ends.withColumn("_ks", F.transform("_cuts", lambda c: c["k"])), keys, "inner")
     pos = _position(F.col("_ks"), F.col("i"))
     d = d.withColumn("_p", pos).withColumn("_a", F.try_element_at("_cuts", F.col("_p")))
     d = d.withColumn("_b", F.try_element_at("_cuts", F.col("_p") + 1))
@@ -207,7 +212,7 @@ def optimal_partition(signal: DataFrame, keys: list[str], penalty: float = 10.0,
 def segment_table(signal: DataFrame, keys: list[str], breaks: DataFrame) -> DataFrame:
     """One row per segment: ``segment, start, end, n, mean, std`` (population) with the sums they came from."""
     cuts = breaks.groupBy(*keys).agg(F.array_sort(F.collect_set("k")).alias("_cuts"))
-    d = null_safe_join(signal, cuts, keys).withColumn("segment", _position(F.col("_cuts"), F.col("i")))
+    d = join_few(signal, cuts, keys).withColumn("segment", _position(F.col("_cuts"), F.col("i")))
     return d.groupBy(*keys, "segment").agg(
         F.min("i").alias("k"),
         F.min("at").alias("start"),

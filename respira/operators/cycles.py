@@ -17,7 +17,7 @@ from respira.functions.units import absolute_flux, dilution_columns, valid_h2o
 from respira.operators import kernels
 from respira.operators.sessions import add_cycles
 from respira.plans.quantiles import exact_quantiles
-from respira.plans.series import micros, null_safe_join
+from respira.plans.series import join_few, micros, null_safe_join
 
 SECOND = 1_000_000.0
 _CHAMBER = re.compile(r"^CO2_(C\d+)$")
@@ -357,9 +357,9 @@ def quadratic_gain(df: DataFrame, by: list[str], t: str, y: str) -> DataFrame:
 def mad_outliers(df: DataFrame, by: list[str], value: str, z: float = 3.5, out: str = "is_outlier") -> DataFrame:
     """True where the deviation from the group median exceeds ``z`` robust standard deviations."""
     med = exact_quantiles(df, by, value, {"_med": 0.5}).drop("n")
-    d = null_safe_join(df, med, by).withColumn("_dev", F.abs(F.col(value) - F.col("_med")))
+    d = join_few(df, med, by).withColumn("_dev", F.abs(F.col(value) - F.col("_med")))
     mad = exact_quantiles(d, by, "_dev", {"_mad": 0.5}).drop("n")
-    d = null_safe_join(d, mad, by)
+    d = join_few(d, mad, by)
     hit = (F.col("_mad") > 0) & (0.6745 * F.try_divide(F.col("_dev"), F.col("_mad")) > z)
     return d.withColumn(out, true(hit)).drop("_med", "_dev", "_mad")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from respira.functions.numeric import ratio, true
 from respira.operators.integrate import time_grid
-from respira.plans.series import Series, _position, micros, null_safe_join
+from respira.plans.series import Series, _position, join_few, micros, null_safe_join
 
 DAY_US = 86_400_000_000
 
@@ -39,7 +39,7 @@ def drift_scores(
     g = d.groupBy(*keys).agg(F.avg("_v").alias("_gm"), F.stddev_samp("_v").alias("_gs"))
     s = Series.of(d, keys, ["_us", tie] if tie else ["_us"])
     s = s.rows_frame(window - 1, 0, {"rolling_mean": full_frame(F.avg, "_v", window // 2)})
-    out = null_safe_join(s.df, g, keys)
+    out = join_few(s.df, g, keys)
     z = ratio(F.col("rolling_mean") - F.col("_gm"), F.col("_gs"))
     return out.withColumn("drift_score", z).drop("_us", "_v", "_gm", "_gs")
 
@@ -50,7 +50,7 @@ def assign_segments(df: DataFrame, keys: list[str], at: str, breakpoints: DataFr
     The breakpoints of a series travel as one sorted array, so rows are only joined by key.
     """
     cuts = breakpoints.groupBy(*keys).agg(F.array_sort(F.collect_set(bp_at)).alias("_cuts"))
-    return null_safe_join(df, cuts, keys).withColumn("segment", _position(F.col("_cuts"), F.col(at))).drop("_cuts")
+    return join_few(df, cuts, keys).withColumn("segment", _position(F.col("_cuts"), F.col(at))).drop("_cuts")
 
 
 def correct_offsets(

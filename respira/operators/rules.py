@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from respira.functions.numeric import any_of, numeric, true
 from respira.plans.quantiles import exact_quantiles
-from respira.plans.series import Series, micros, null_safe_join
+from respira.plans.series import Series, join_few, micros
 
 HOUR_US = 3_600_000_000
 
@@ -29,7 +29,7 @@ def iqr_flags(
     """
     k = F.col(factor) if isinstance(factor, str) else F.lit(factor)
     q = exact_quantiles(df, keys, value, {"_q1": 0.25, "_q3": 0.75}).filter("n >= 4 AND _q3 > _q1")
-    d = null_safe_join(df, q.drop("n"), keys)
+    d = join_few(df, q.drop("n"), keys)
     width = k * (F.col("_q3") - F.col("_q1"))
     hit = (F.col(value) < F.col("_q1") - width) | (F.col(value) > F.col("_q3") + width)
     return d.withColumn(out, true(hit).cast("int")).drop("_q1", "_q3")
@@ -47,7 +47,7 @@ def rate_of_change_flags(
     s = Series.of(df.withColumn("_us", micros(ts)), keys, order).previous({"_pv": value, "_pt": "_us"})
     d = s.df.withColumn("_dt", F.col("_us") - F.col("_pt"))
     usual = exact_quantiles(d, keys, "_dt", {"_med": 0.5}).drop("n")
-    d = null_safe_join(d, usual, keys)
+    d = join_few(d, usual, keys)
     near = F.coalesce(F.col("_dt") <= 3 * F.col("_med"), F.lit(True))
     jump = true(F.abs(F.col(value) - F.col("_pv")) > lim)
     return d.withColumn(out, (jump & near).cast("int")).drop("_us", "_pv", "_pt", "_dt", "_med")

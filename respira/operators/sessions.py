@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from respira.functions.numeric import true
 from respira.plans.quantiles import exact_quantiles
-from respira.plans.series import Series, micros, null_safe_join
+from respira.plans.series import Series, join_few, micros, null_safe_join
 
 SECOND = 1_000_000.0
 
@@ -84,6 +84,6 @@ def thin(df: DataFrame, keys: list[str], order: list[str], max_points: int) -> D
     """Every ceil(n / max_points)-th row of each series, starting with the first."""
     s = Series.of(df, keys, order).row_number("_rn")
     n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    d = null_safe_join(s.df, n, keys)
+    d = join_few(s.df, n, keys)
     step = F.greatest(F.lit(1), F.ceil(F.col("_n") / max_points))
     return d.filter((F.col("_rn") - 1) % step == 0).drop("_rn", "_n")

@@ -12,7 +12,7 @@ from respira.functions.grading import status_at_least, status_in_range
 from respira.functions.numeric import clip
 from respira.functions.special import correlation_p_value
 from respira.plans.quantiles import exact_quantiles
-from respira.plans.series import null_safe_join
+from respira.plans.series import join_few, null_safe_join
 from respira.plans.sizing import cut_lineage
 
 # Accepted ranges and the least data a test needs.
@@ -81,6 +81,7 @@ def light_response(cycles: DataFrame, chamber: str, flux: str, radiation: str, d
     """
     d = cycles.filter(F.col(day) & F.col(flux).isNotNull() & (F.col(radiation) >= 0))
     d = d.select(chamber, (F.col(radiation) * cfg["rad_to_par"]).alias("_p"), (-F.col(flux)).alias("_y"))
+    d = cut_lineage(d)  # read by the gate, every pass and the errors
     q = exact_quantiles(d, [chamber], "_p", {"_q1": 0.25, "_q3": 0.75})
     all_chambers = cycles.select(chamber).filter(F.col(chamber).isNotNull()).distinct()
     gate = null_safe_join(all_chambers, q, [chamber]).withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
@@ -89,7 +90,7 @@ def light_response(cycles: DataFrame, chamber: str, flux: str, radiation: str, d
     center = gate.filter(fit_ok).select(chamber, F.lit(-6.9).alias("_c"), F.lit(6.9 / (_GRID // 2)).alias("_w"))
     # Grid centre and step are columns, so all passes share one compiled aggregation.
     for _ in range(_PASSES):
-        j = null_safe_join(d, center, [chamber], "inner")
+        j = join_few(d, center, [chamber], "inner")
         j = j.select("*", *[F.expr(_LIGHT_TERM.format(o=i - _GRID // 2)).alias(f"u{i}") for i in range(_GRID)])
         sums = ", ".join(_LIGHT_SUMS.format(u=f"u{i}") for i in range(_GRID))
         g = j.groupBy(chamber, "_c", "_w").agg(
@@ -235,6 +236,8 @@ def chamber_agreement(
         F.corr(F.when(light, F.col("_x")), F.when(light, F.col("_y"))).alias("r_daytime"),
         F.corr(F.when(~light, F.col("_x")), F.when(~light, F.col("_y"))).alias("r_nighttime"),
     )
+    # From all groups, so that one without a complete hour still gives its line.
+    g = null_safe_join(cycles.select(*by).distinct(), g, by).fillna(0, ["n_day_pairs", "n_night_pairs"])
     enough = F.col("n_day_pairs") + F.col("n_night_pairs") >= cfg["chamber_min_pairs"]
     g = g.withColumn("r_daytime", F.when(enough & (F.col("n_day_pairs") > 10), F.col("r_daytime")))
     g = g.withColumn("r_nighttime", F.when(enough & (F.col("n_night_pairs") > 10), F.col("r_nighttime")))

@@ -5,9 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from respira.plans.series import null_safe_join
+from respira.plans.series import join_few, null_safe_join
 from respira.plans.sizing import is_small, store_if_costly
 
+def _known(c: Column) -> Column:
+    """Doubles, with NaN counted as missing on every path."""
+    d = c.cast("double")
+    return F.when(~F.isnan(d), d)
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: list[str],
@@ -24,6 +30,7 @@ def exact_quantiles(
     large group.
     """
     names, qs = list(probs), list(probs.values())
+    df = df.withColumn(value, _known(F.col(value)))
     if small if small is not None else is_small(df):
         arr = F.percentile(value, F.array(*map(F.lit, qs)))
         out = df.groupBy(*keys).agg(F.count(value).alias("n"), arr.alias("_q"))
@@ -40,7 +47,7 @@ def exact_quantiles(
     limits = {f"_lo{i}": F.when(few, -float("inf")).otherwise(F.col("_m")[2 * i]) for i in range(len(qs))}
     limits |= {f"_hi{i}": F.when(few, float("inf")).otherwise(F.col("_m")[2 * i + 1]) for i in range(len(qs))}
     sketch = sketch.withColumns(limits).drop("_m")
-    j = null_safe_join(v, sketch, keys, "inner")
+    j = join_few(v, sketch, keys, "inner")
     brackets = F.array(
         *[
             F.struct(F.lit(i).alias("i"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi"))
@@ -72,7 +79,7 @@ def exact_quantiles(
     for i, (o, q) in enumerate(zip(names, qs, strict=True)):
         pos = F.lit(q) * (F.col("n") - 1)
         lo, hi = F.col(f"_l{i}"), F.col(f"_h{i}")
-        cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(o))
+        cols.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (pos - F.floor(pos))).alias(o))  # equal infinities have no difference
     return found.select(*keys, "n", *cols)
 
 
@@ -80,7 +87,7 @@ def exact_medians(df: DataFrame, keys: list[str], cols: dict[str, Column], small
     """Medians of several expressions per group; groups where all values of one are null still appear."""
     small = is_small(df) if small is None else small
     if small:
-        return df.groupBy(*keys).agg(*[F.percentile(c, F.lit(0.5)).alias(o) for o, c in cols.items()])
+        return df.groupBy(*keys).agg(*[F.percentile(_known(c), F.lit(0.5)).alias(o) for o, c in cols.items()])
     df = store_if_costly(df.select(*keys, *[c.alias(f"_in_{o}") for o, c in cols.items()]))
     out = df.select(*keys).distinct()
     for o in cols:

@@ -19,6 +19,9 @@ from respira.plans.sizing import cut_lineage, is_small, store_if_costly, target_
 
 SEG = "_seg"
 _GRID_BITS = 12
+#: Rows of a table with one row per key up to which it is sent to every executor, and places of a key beyond that.
+FEW_ROWS = 100_000
+SALTS = 32
 
 
 def micros(ts: str | Column) -> Column:
@@ -35,34 +38,68 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(r, cond, how).drop(*tmp.values())
 
 
-def _cut_table(df: DataFrame, keys: list[str], order: str, rows: int) -> DataFrame | None:
-    """One row per long key with its cut points; ``None`` when no key is long.
+def join_few(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Equi-join of many rows to a table with one row per key, where keys may be few and hot.
 
-    Holds at most (all rows / rows) cuts in total, since only keys above ``rows`` get any.
+    The table is stored and its rows are counted: up to ``FEW_ROWS`` it goes to every executor, so the rows stay where
+    they are; beyond that each table row is copied to ``SALTS`` places and a key's rows spread over them.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
-    hot = cut_lineage(counts)
-    if hot.isEmpty():
-        return None
+    if is_small(rows):
+        return null_safe_join(rows, table, keys, how)
+    table = cut_lineage(table)
+    if table.limit(FEW_ROWS + 1).count() <= FEW_ROWS:
+        return null_safe_join(rows, F.broadcast(table), keys, how)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    return null_safe_join(salted, copies, [*keys, "_salt"], how).drop("_salt")
+
+
+def _grid_cuts(df: DataFrame, hot: DataFrame, keys: list[str], order: str, rows: int) -> DataFrame:
+    """Cut points of the groups in ``hot`` (with their counts ``_n``), at most the grid's size for each."""
     n_grid = 1 << _GRID_BITS
     grid = ",".join(f"{i / n_grid}D" for i in range(1, n_grid))
     step = F.greatest(F.lit(1), F.floor(F.lit(rows) * n_grid / F.col("_n")).cast("int"))
-    cuts = (
-        null_safe_join(df.select(*keys, order), hot, keys, "inner")
+    return (
+        null_safe_join(df, F.broadcast(hot), keys, "inner")
         .groupBy(*keys)
-        .agg(
-            F.max("_n").alias("_n"),
-            F.expr(f"percentile_approx({order}, array({grid}), {10 * n_grid})").alias("_grid"),
-        )
+        .agg(F.max("_n").alias("_n"), F.expr(f"percentile_approx({order}, array({grid}), {10 * n_grid})").alias("_grid"))
         .withColumn("_cuts", F.array_distinct(F.filter("_grid", lambda _, i: (i + 1) % step == 0)))
         .select(*keys, "_cuts")
     )
-    return cut_lineage(cuts)
+
+
+def _cut_table(df: DataFrame, keys: list[str], order: str, rows: int) -> DataFrame | None:
+    """One row per long key with its cut points; ``None`` when no key is long.
+
+    Holds at most (all rows / rows) cuts in total, since only keys above ``rows`` get any. A key of more than
+    ``rows`` times the grid's size is cut again inside its segments.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows)
+    hot = cut_lineage(counts)
+    if hot.isEmpty():
+        return None
+    slim = df.select(*keys, order)
+    cuts = cut_lineage(_grid_cuts(slim, hot, keys, order, rows))
+    again = hot.filter(F.col("_n") > 2 * rows * (1 << _GRID_BITS)).select(*keys)
+    while not again.isEmpty():
+        parts = null_safe_join(null_safe_join(slim, F.broadcast(again), keys, "inner"), F.broadcast(cuts), keys)
+        parts = parts.withColumn(SEG, _position(F.col("_cuts"), F.col(order))).select(*keys, SEG, order)
+        long = cut_lineage(parts.groupBy(*keys, SEG).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 2 * rows))
+        more = _grid_cuts(parts, long, [*keys, SEG], order, rows).groupBy(*keys).agg(F.flatten(F.collect_list("_cuts")).alias("_more"))
+        both = null_safe_join(cuts, more, keys)
+        merged = F.array_sort(F.array_union("_cuts", F.coalesce("_more", F.array().cast(cuts.schema["_cuts"].dataType))))
+        # A segment of one repeated time gains no cut; without a new cut nothing more can be split.
+        new = cut_lineage(both.select(*keys, merged.alias("_cuts"), (F.size(merged) > F.size("_cuts")).alias("_grew")))
+        cuts = new.drop("_grew")
+        again = long.filter(F.col("_n") > 2 * rows * (1 << _GRID_BITS)).select(*keys).distinct()
+        again = null_safe_join(again, new.filter("_grew").select(*keys), keys, "inner")
+    return cuts
 
 
 def _position(cuts: Column, x: Column) -> Column:
     """Number of cuts <= x, by binary search; 0 where there are no cuts."""
-    steps = F.array(*[F.lit(1 << k) for k in range(_GRID_BITS, -1, -1)])
+    bits = F.floor(F.log2(F.greatest(F.array_size(cuts), F.lit(1)))).cast("int")
+    steps = F.transform(F.sequence(bits, F.lit(0), F.lit(-1)), lambda k: F.call_function("shiftleft", F.lit(1), k))
     return F.when(cuts.isNull(), F.lit(0)).otherwise(
         F.aggregate(
             steps, F.lit(0), lambda lo, st: F.when(F.try_element_at(cuts, lo + st) <= x, lo + st).otherwise(lo)
@@ -104,7 +141,7 @@ class Series:
         if cuts is None:
             return cls(df, keys, order, None, False)
         seg = _position(F.col("_cuts"), F.col(order[0]))
-        cut = null_safe_join(df, cuts, keys).withColumn(SEG, seg).drop("_cuts")
+        cut = join_few(df, cuts, keys).withColumn(SEG, seg).drop("_cuts")
         return cls(cut, keys, order, cuts, True)
 
     @property
@@ -210,7 +247,7 @@ class Series:
         if not self.split:
             w = Window.partitionBy(*self.keys).orderBy(x).rangeBetween(-before, after)
             return self.with_columns({o: fn(w) for o, fn in cols.items()})
-        d = null_safe_join(self._df, self._cuts, self.keys)
+        d = join_few(self._df, self._cuts, self.keys)
         lo, hi = _position(F.col("_cuts"), F.col(x) - after), _position(F.col("_cuts"), F.col(x) + before)
         d = d.withColumn("_blk", F.explode(F.sequence(lo, hi))).drop("_cuts")
         w = Window.partitionBy(*self.keys, "_blk").orderBy(x).rangeBetween(-before, after)

@@ -32,11 +32,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a private one only where none is set (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; a private one only on a local master without one (tests)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not named and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = named or tempfile.mkdtemp(prefix="spark-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

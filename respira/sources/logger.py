@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from respira.functions.numeric import numeric
+from respira.plans.series import join_few
+from respira.plans.sizing import cut_lineage
 
 # How sensor folders are recognised, first match wins.
 SENSOR_PATTERNS = {
@@ -17,12 +19,13 @@ SENSOR_PATTERNS = {
     "climate": ["climate"],
     "soil_sensor": ["soil"],
 }
-MAX_LAYOUTS = 1000
 _NAMES_LINE = r'(^|,)"?TIMESTAMP"?(,|$)'
 
 
-def _parse_names(line: str) -> list[str]:
-    return [n.strip() for n in next(csv.reader([line]))]
+def _fields(line: Column, width: int) -> Column:
+    """The comma-separated fields of a line, missing ones null."""
+    parsed = F.from_csv(line, F.lit(", ".join(f"c{i} STRING" for i in range(width))))
+    return F.array(*[F.trim(parsed[f"c{i}"]) for i in range(width)])
 
 
 def read_logger(
@@ -36,10 +39,11 @@ def read_logger(
 ) -> DataFrame:
     """All logger files under ``path`` as one table: ``TIMESTAMP``, every column any file has (null elsewhere), ``_file``.
 
-    Files may have different layouts. The distinct names lines, one per layout, are the only thing that reaches the
-    driver; give ``names_line`` where all files share one and the extra pass over the text is not needed. Preamble lines
-    and lines without a valid time drop out by content, so files can be split anywhere. Both ends of the time range count,
-    and it applies only if both are given. Files without a TIMESTAMP column are skipped.
+    Files may have any number of layouts: a line's fields are found through its own file's names line, which travels
+    with it. Only the distinct column names reach the driver; give ``names_line`` where all files share one layout and
+    the extra pass over the text is not needed. Preamble lines and lines without a valid time drop out by content, so
+    files can be split anywhere. Both ends of the time range count, and it applies only if both are given. Files without
+    a TIMESTAMP column are skipped.
     """
     reader = spark.read.option("recursiveFileLookup", str(not flat).lower())
     if pattern:
@@ -48,27 +52,25 @@ def read_logger(
     if names_line is None:
         found = lines.filter(F.col("value").rlike(_NAMES_LINE))
         heads = found.groupBy("_file").agg(F.min("value").alias("_head"))
-        layouts = sorted(r[0] for r in heads.select("_head").distinct().limit(MAX_LAYOUTS + 1).collect())
-        if len(layouts) > MAX_LAYOUTS:
-            raise ValueError(f"more than {MAX_LAYOUTS} different file layouts")
-        if not layouts:
+        width = heads.agg(F.max(F.size(F.split("_head", ",")))).first()[0]
+        if width is None:
             return spark.createDataFrame([], "TIMESTAMP timestamp_ntz, _file string")
-        lines = lines.join(heads, "_file")
+        heads = cut_lineage(heads.select("_file", _fields(F.col("_head"), width).alias("_names")))
+        spots = heads.select(F.posexplode("_names").alias("i", "name")).filter("name <> ''")
+        columns = [r[0] for r in spots.groupBy("name").agg(F.min("i").alias("i")).orderBy("i", "name").collect()]
+        lines = join_few(lines, heads, ["_file"], "inner")
     else:
-        layouts = [names_line]
-        lines = lines.withColumn("_head", F.lit(names_line))
-    names = [_parse_names(h) for h in layouts]
-    width = max(map(len, names))
-    schema = ", ".join(f"c{i} STRING" for i in range(width))
-    d = lines.withColumn("_v", F.from_csv("value", F.lit(schema)))
+        names = _parse_names(names_line)
+        width, columns = len(names), list(dict.fromkeys(n for n in names if n))
+        lines = lines.withColumn("_names", F.array(*[F.lit(n) for n in names]))
+    d = lines.withColumn("_v", _fields(F.col("value"), width))
 
     def value(name: str) -> Column:
-        """The field under this name in whichever layout the line has."""
-        spots = [(h, n.index(name)) for h, n in zip(layouts, names, strict=True) if name in n]
-        picks = [F.when(F.col("_head") == h, F.col("_v")[f"c{i}"]) for h, i in spots]
-        return F.coalesce(*picks)
+        """The field under this name in the line's own layout."""
+        spot = F.array_position("_names", name)
+        return F.when(spot > 0, F.try_element_at("_v", spot.cast("int")))
 
-    columns = list(dict.fromkeys(c for n in names for c in n if c and c != "TIMESTAMP"))
+    columns = [c for c in columns if c != "TIMESTAMP"]
     out = d.select(
         F.try_to_timestamp(value("TIMESTAMP")).cast("timestamp_ntz").alias("TIMESTAMP"),
         *[numeric(value(c)).alias(c) for c in columns],

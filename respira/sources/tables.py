@@ -106,13 +106,18 @@ def normalise_tree_sizes(df: DataFrame) -> DataFrame:
     return d.filter(F.col("Tree ID").isNotNull() & F.col("Date").isNotNull())
 
 
-def normalise_leaf_counts(df: DataFrame, chambers: dict[str, int] | None = None) -> DataFrame:
-    """Leaf counts per chamber; trees that stand in no chamber drop out."""
+def normalise_leaf_counts(df: DataFrame, chambers: DataFrame | dict[str, int] | None = None) -> DataFrame:
+    """Leaf counts per chamber; trees that stand in no chamber drop out.
+
+    ``chambers`` says where trees stand: a table ``tree_code, chamber`` of any size, or a few pairs.
+    """
     code = F.col("Kode pohon")
-    chamber = F.lit(None).cast("int")
-    for tree, number in (chambers or TREE_CHAMBERS).items():
-        chamber = F.when(code == tree, number).otherwise(chamber)
-    d = df.select(
+    if not isinstance(chambers, DataFrame):
+        pairs = list((chambers or TREE_CHAMBERS).items())
+        chambers = df.sparkSession.createDataFrame(pairs, "tree_code string, chamber int")
+    d = df.join(chambers.select(F.col("tree_code").alias("_tree"), F.col("chamber").alias("_chamber")), code == F.col("_tree"))
+    chamber = F.col("_chamber").cast("int")
+    d = d.select(
         F.col("Tanggal").cast("date").alias("date"),
         code.alias("tree_code"),
         F.col("Total Pelepah").alias("n_leaves"),

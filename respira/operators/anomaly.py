@@ -22,6 +22,7 @@ DETECTORS = {
     "stl": ("stl_residual_zscore", None),
     "rz": ("rolling_zscore", None),
 }
+# Weight of each detector.
 ENSEMBLE_WEIGHTS = {"ml_if": 0.15, "ml_mcd": 0.15, "lof": 0.20, "tif": 0.15, "stl": 0.20, "rz": 0.15}
 
 
@@ -92,13 +93,16 @@ def rank_share(df: DataFrame, value: Column, out: str, high_is_odd: bool = True)
     d = d.join(med, "_all", "left").withColumn("_f", F.coalesce("_v", "_med") + F.lit(0.0))
     counts = d.filter("_f IS NOT NULL").groupBy("_all", "_f").agg(F.count(F.lit(1)).alias("_c"))
     ranks = Series.of(counts, ["_all"], ["_f"]).running_sum({"_cum": F.col("_c")}).df
-    ranks = ranks.select("_f", (F.col("_cum") - (F.col("_c") - 1) / 2.0).alias("_rank"))
+    ranks = ranks.select(F.col("_f").alias("_j"), F.lit(True).alias("_k"), (F.col("_cum") - (F.col("_c") - 1) / 2.0).alias("_rank"))
+    # Unknown rows meet no rank, so their join key only has to spread them.
+    spread = F.xxhash64(*df.columns).cast("double")
+    d = d.withColumn("_k", F.col("_v").isNotNull()).withColumn("_j", F.when(F.col("_k"), F.col("_f")).otherwise(spread))
     n = df.agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(1)).alias("_n1")).withColumn("_all", F.lit(1))
-    d = d.join(n, "_all").join(ranks, "_f", "left")
+    d = d.join(n, "_all").join(ranks, ["_j", "_k"], "left")
     share = (F.col("_rank") - 1) / F.col("_n1")
     share = share if high_is_odd else 1 - share
     return d.withColumn(out, F.when(F.col("_v").isNull(), 0.0).otherwise(share)).drop(
-        "_all", "_v", "_med", "_f", "_rank", "_n1"
+        "_all", "_v", "_med", "_f", "_rank", "_n1", "_j", "_k"
     )
 
 

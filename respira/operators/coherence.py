@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from respira.functions.numeric import true
 from respira.plans.quantiles import exact_quantiles
-from respira.plans.series import null_safe_join
+from respira.plans.series import Series, micros, null_safe_join
 
 # Fixed value: hours around sunrise and sunset when slopes may change sign.
 TRANSITION_HOURS = (6, 7, 8, 17, 18, 19)
@@ -25,11 +25,13 @@ def temporal_coherence(
     """Add ``temporal_coherence_flag`` and ``hourly_cv_flag``.
 
     A cycle is compared with the one before it in time, over all chambers. Only pairs within a day count, so days are
-    independent and run in parallel.
+    independent and run in parallel, and a day of very many cycles is cut like any long series.
     """
-    d = cycles.withColumn("_d", F.col(ts).cast("date")).withColumn("_h", F.hour(ts))
-    w = Window.partitionBy("_d").orderBy(ts, *tie)
-    d = d.withColumns({"_ps": F.lag(slope).over(w), "_ph": F.lag("_h").over(w), "_pq": F.lag(qc).over(w)})
+    d = cycles.withColumn("_d", F.col(ts).cast("date")).withColumn("_h", F.hour(ts)).withColumn("_us", micros(ts))
+    before = {"_ps": slope, "_ph": "_h", "_pq": qc}
+    known = Series.of(d.filter("_d IS NOT NULL"), ["_d"], ["_us", *tie]).previous(before).df
+    unknown = d.filter("_d IS NULL").withColumns({o: F.lit(None).cast(d.schema[c].dataType) for o, c in before.items()})
+    d = known.unionByName(unknown).drop("_us")
     cur, prev = F.col(slope), F.col("_ps")
     usable = (
         F.col("_d").isNotNull()

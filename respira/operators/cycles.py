@@ -17,7 +17,7 @@ from respira.functions.units import absolute_flux, dilution_columns, valid_h2o
 from respira.operators import kernels
 from respira.operators.sessions import add_cycles
 from respira.plans.quantiles import exact_quantiles
-from respira.plans.series import join_few, micros, null_safe_join
+from respira.plans.series import Series, join_few, micros, null_safe_join
 
 SECOND = 1_000_000.0
 _CHAMBER = re.compile(r"^CO2_(C\d+)$")
@@ -366,8 +366,7 @@ def mad_outliers(df: DataFrame, by: list[str], value: str, z: float = 3.5, out:
 
 def monotonic_share(df: DataFrame, by: list[str], order: list[str], value: str, eps: float = 0.5) -> DataFrame:
     """Share of steps above ``eps`` that go the way of the group's regression slope on ``order[0]``."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    d = df.withColumn("_step", F.col(value) - F.lag(value).over(w))
+    d = Series.of(df, by, order).previous({"_before": value}).df.withColumn("_step", F.col(value) - F.col("_before"))
     moved = F.abs("_step") > eps
     g = d.groupBy(*by).agg(
         F.count(value).alias("n_points"),

@@ -1,4 +1,4 @@
-"""Isolation forest: trees grown in parallel on seeded samples, scored as a broadcast-size node table.
+"""Isolation forest: trees grown in parallel on seeded samples, scored in slices of bounded size.
 
 Each tree sees at most ``max_samples`` rows, chosen by a hash of row and tree, so the data is read once and no tree
 depends on how rows are partitioned.
@@ -81,19 +81,44 @@ def fit_forest(
     return cut_lineage(draw.groupBy("tree").applyInPandas(build, _NODES)), size
 
 
+#: Nodes that are sent to every executor at once (40 bytes each).
+MOST_NODES = 1_000_000
+
+
+def _tree_slices(nodes: DataFrame) -> list[list[int]]:
+    """Trees in groups of at most ``MOST_NODES`` nodes, from one count a tree."""
+    out, held = [[]], 0
+    for tree, n in sorted(tuple(r) for r in nodes.groupBy("tree").count().collect()):
+        if out[-1] and held + n > MOST_NODES:
+            out.append([])
+            held = 0
+        out[-1].append(tree)
+        held += n
+    return out
+
+
 def score_forest(df: DataFrame, cols: list[str], nodes: DataFrame, size: int) -> DataFrame:
     """Add ``ml_if_score`` in [-1, 0]; lower is odder.
 
-    The node table is bounded by trees x sample size x 2 rows whatever the data size, and is shipped once.
+    Trees are sent in slices of bounded size; each slice adds its path lengths in one pass over the rows.
     """
-    table = nodes.orderBy("tree", "node").toPandas()
+    slices = _tree_slices(nodes)
+    n_trees = sum(map(len, slices))
+    norm = float(average_path(size)) or 1.0
+    d = df.withColumn("_paths", F.lit(0.0))
+    for trees in slices:
+        d = _add_paths(d, cols, nodes.filter(F.col("tree").between(min(trees), max(trees))))
+    score = -F.pow(F.lit(2.0), -(F.col("_paths") / max(n_trees, 1)) / norm)
+    return d.withColumn("ml_if_score", score).drop("_paths")
+
+
+def _add_paths(df: DataFrame, cols: list[str], nodes: DataFrame) -> DataFrame:
+    """Add to ``_paths`` each row's path length in every tree of a bounded node table."""
+    table = nodes.orderBy("tree", "node").toArrow().to_pandas()
     packed = []
     for _, t in table.groupby("tree"):
-        t = t.sort_values("node")
         packed.append(tuple(t[c].to_numpy() for c in ("feature", "split", "left", "right", "length")))
     shared = df.sparkSession.sparkContext.broadcast(packed)
-    norm = float(average_path(size)) or 1.0
-    names = df.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trees = shared.value
@@ -110,10 +135,9 @@ def score_forest(df: DataFrame, cols: list[str], nodes: DataFrame, size: int) ->
                     go_left = x[live, f] <= split[here]
                     at[live] = np.where(go_left, left[here], right[here])
                 total += length[at]
-            yield b[names].assign(ml_if_score=-(2.0 ** (-(total / max(len(trees), 1)) / norm)))
+            yield b.assign(_paths=b["_paths"] + total)
 
-    schema = T.StructType([*df.schema.fields, T.StructField("ml_if_score", T.DoubleType())])
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(run, df.schema)
 
 
 def flag_lowest(df: DataFrame, score: str, train: str, contamination: float = 0.05) -> DataFrame:

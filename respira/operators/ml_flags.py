@@ -68,7 +68,7 @@ def anomaly_flags(
         d = d.repartition(parts)
     n_train = d.filter("_train").count()
     if n_train < max(50, len(cols) + 1):
-        raise ValueError(f"only {n_train} training rows")
+        raise ValueError(f"too few rows to learn from: {n_train}")
     nodes, size = fit_forest(d.filter("_train"), cols, id_cols, trees, max_samples, seed)
     d = flag_lowest(score_forest(d, cols, nodes, size), "ml_if_score", "_train", contamination)
     d = mahalanobis_scores(d, cols, "_train", id_cols=tuple(id_cols))

@@ -83,9 +83,15 @@ def cumulative_flux(spark, sf):
     return d.select("event_id", r("cumulative", 4).alias("cumulative"))
 
 
-def signal(spark, sf, max_samples=None):
+def signal(spark, sf):
     d = readings(spark, sf).withColumn("us", micros("ts"))
-    return cp.prepare_signal(d, ["sensor"], ["us", "event_id"], "value", max_samples=max_samples)
+    return cp.prepare_signal(d, ["sensor"], ["us", "event_id"], "value")
+
+
+def daily_signal(spark, sf):
+    """Daily means of all readings."""
+    d = readings(spark, sf).withColumn("us", micros("ts")).withColumn("day", F.date_trunc("day", "ts"))
+    return cp.prepare_signal(d, ["sensor"], ["us"], "value", group="day")
 
 
 SIGNAL = f"""sig AS (SELECT sensor, row_number() OVER (PARTITION BY sensor ORDER BY ts, event_id) - 1 AS i, epoch_us(ts) AS us, value AS x,
@@ -107,7 +113,7 @@ BINSEG = f"""{SIGNAL}, seg0 AS (SELECT sensor, 0 AS lo, count(*) AS hi FROM sig
 UNION ALL SELECT sensor, CAST(k AS BIGINT), {sr('gain', 3)}, 2 FROM best2""",
 )
 def binary_segmentation(spark, sf):
-    d = cp.binary_segmentation(signal(spark, sf, 10_000_000), ["sensor"], n_breaks=2, min_size=20)
+    d = cp.binary_segmentation(signal(spark, sf), ["sensor"], n_breaks=2, min_size=20)
     return d.select("sensor", "k", r("gain", 3).alias("gain"), "round")
 
 
@@ -118,7 +124,7 @@ SEGS = """br AS (SELECT sensor, k FROM best1 UNION ALL SELECT sensor, k FROM bes
 
 
 def _breaks(spark, sf):
-    s = signal(spark, sf, 10_000_000)
+    s = signal(spark, sf)
     return s, cp.binary_segmentation(s, ["sensor"], n_breaks=2, min_size=20)
 
 
@@ -160,7 +166,7 @@ def major_breakpoints(spark, sf):
 
 @query("breakpoint_pruning")
 def breakpoint_pruning(spark, sf):
-    s = signal(spark, sf, 2_000)
+    s = signal(spark, sf)
     b = cp.binary_segmentation(s, ["sensor"], n_breaks=6, min_size=20)
     return cp.prune_breaks(cp.segment_table(s, ["sensor"], b), ["sensor"], 0.08)
 
@@ -172,7 +178,7 @@ def penalised_segmentation(spark, sf):
 
 @query("optimal_partition")
 def optimal_partition(spark, sf):
-    return cp.optimal_partition(signal(spark, sf, 2_000), ["sensor"], penalty=12_000.0, min_size=10)
+    return cp.optimal_partition(daily_signal(spark, sf), ["sensor"], penalty=5.0, min_size=3)
 
 
 @query(
@@ -185,7 +191,7 @@ def optimal_partition(spark, sf):
 SELECT sensor, CAST(k AS BIGINT) AS k, {sr('gain', 3)} AS gain FROM t WHERE gain = top AND gain > 10""",
 )
 def sliding_window_breaks(spark, sf):
-    d = cp.window_discrepancy(signal(spark, sf, 10_000_000), ["sensor"], 100, 10.0)
+    d = cp.window_discrepancy(signal(spark, sf), ["sensor"], 100, 10.0)
     return d.select("sensor", "k", r("gain", 3).alias("gain"))
 
 
@@ -195,6 +201,5 @@ def sliding_window_breaks(spark, sf):
 SELECT sensor, row_number() OVER (PARTITION BY sensor ORDER BY at_us, g) - 1 AS i, at_us, {sr('x')} AS x FROM g""",
 )
 def grouped_signal(spark, sf):
-    d = readings(spark, sf).withColumn("us", micros("ts")).withColumn("day", F.date_trunc("day", "ts"))
-    s = cp.prepare_signal(d, ["sensor"], ["us"], "value", group="day")
+    s = daily_signal(spark, sf)
     return s.select("sensor", "i", F.col("at").alias("at_us"), r("x").alias("x"))

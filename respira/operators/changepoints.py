@@ -197,7 +197,7 @@ def _pelt(x: np.ndarray, penalty: float, min_size: int) -> list[int]:
 
 
 def optimal_partition(signal: DataFrame, keys: list[str], penalty: float = 10.0, min_size: int = 2) -> DataFrame:
-    """Penalised optimum over all partitions; series run in parallel, each thinned to ``max_samples`` rows beforehand."""
+    """Penalised optimum over all partitions; series run in parallel, each a signal of one point a day or so."""
     fields = [signal.schema[k] for k in keys]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -196,7 +196,7 @@ class Dedup:
             slot = np.flatnonzero(total)
             yield pd.DataFrame({"slot": slot, "c": total[slot]})
 
-        c = texts.select("text").mapInPandas(count, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toPandas()
+        c = texts.select("text").mapInPandas(count, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow().to_pandas()
         freq = np.zeros(SLOTS, np.int32)
         freq[c["slot"]] = np.minimum(c["c"], 2**31 - 1)
         shared = texts.sparkSession.sparkContext.broadcast(freq)  # SLOTS * 4 bytes whatever the data

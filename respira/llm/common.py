@@ -14,6 +14,9 @@ from respira.session import checkpoint_dir
 #: Rows up to which a table of one or two numbers a row is sent to every executor (about 16 MB).
 BROADCAST_ROWS = 1_000_000
 
+#: Rows of an Arrow batch that holds whole texts.
+BATCH_ROWS = 1000
+
 _U = np.uint64
 
 
@@ -25,6 +28,15 @@ def store(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session sending texts to Python a thousand rows at a time: a batch of whole texts stays small."""
+    conf = df.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(name)) > BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a stored table has at most ``rows`` rows; counted, not estimated."""
     return df.limit(rows + 1).count() <= rows

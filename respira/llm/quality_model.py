@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from respira.llm.common import Words, chunks, lookup, mix, row_key, store
+from respira.llm.common import Words, bounded_batches, chunks, lookup, mix, row_key, store
 
 #: Word classes: 0 begins a text, 1 is every word outside the vocabulary.
 VOCABULARY = (1 << 16) - 2
@@ -183,8 +183,8 @@ def _send(frames, model: Model, shards: int, blocks: int) -> Iterator[pd.DataFra
             a, b = cut[k], cut[k + 1]
             if a < b:
                 u, n = np.unique(doc[a:b], return_counts=True)
-                out.append((k, int(row[u[0]]) % blocks, row[u].tobytes(), t[u].tobytes(), _blob(n), _blob(key[a:b])))
-        return pd.DataFrame(out, columns=["shard", "block", "docs", "trusted", "lengths", "keys"])
+                out.append((k, int(row[0]) % blocks, int(row[0]), row[u].tobytes(), t[u].tobytes(), _blob(n), _blob(key[a:b])))
+        return pd.DataFrame(out, columns=["shard", "block", "chunk", "docs", "trusted", "lengths", "keys"])
 
     for f in frames:
         for begin, part in chunks(f["text"], lower=True):
@@ -202,7 +202,7 @@ def _send(frames, model: Model, shards: int, blocks: int) -> Iterator[pd.DataFra
 
 
 def _answer(model: Model, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Summed gains of each document in a shard; trusted documents don't count their own bigrams."""
+    """Summed gains of each document in a shard, one row a chunk; trusted documents don't count their own bigrams."""
     out = []
     if len(left) and len(right):
         table = _unblob(right["keys"].iloc[0]).astype(np.int64)
@@ -217,8 +217,16 @@ def _answer(model: Model, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFra
             own = np.repeat(run, run) * np.frombuffer(r.trusted, bool)[doc]
             gain = np.bincount(doc, model.gain(key, np.maximum(c - own, 0)), len(docs))
             hit = gain != 0
-            out.append(pd.DataFrame({"key": docs[hit], "gain": gain[hit]}))
-    return pd.concat(out) if out else pd.DataFrame({"key": [], "gain": []}).astype({"key": "int64"})
+            out.append((r.chunk, docs[hit].tobytes(), gain[hit].tobytes()))
+    return pd.DataFrame(out, columns=["chunk", "docs", "gains"])
+
+
+def _sum_chunk(f: pd.DataFrame) -> pd.DataFrame:
+    """Gains of each document of a chunk over all shards."""
+    key = np.concatenate([np.frombuffer(b, np.int64) for b in f["docs"]])
+    gain = np.concatenate([np.frombuffer(b) for b in f["gains"]])
+    key, at = np.unique(key, return_inverse=True)
+    return pd.DataFrame({"key": key, "gain": np.bincount(at, gain, len(key))})
 
 
 def perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -229,11 +237,11 @@ def perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     Log perplexity is null without words, or without any trusted text.
     """
     ids = store(trusted.select(F.col("doc_id").alias("id"), F.lit(True).alias("trusted")).filter("id is not null").distinct())
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    d = bounded_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     d = lookup(d.withColumn("key", row_key("id", "text")), ids, "id").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
     spark, good = docs.sparkSession, d.filter("trusted").select("text")
     counts = store(good.mapInPandas(_word_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
-    top = counts.orderBy(F.desc("n"), "h").limit(VOCABULARY).select("h").toPandas()["h"].to_numpy(np.int64).view(_U)
+    top = counts.orderBy(F.desc("n"), "h").limit(VOCABULARY).select("h").toArrow().to_pandas()["h"].to_numpy(np.int64).view(_U)
     size = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     shards = max(1, -(-(size[0] or 0) // SHARD_ROWS))
     vocabulary = Vocabulary(top)
@@ -242,7 +250,7 @@ def perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     pairs = store(pairs.groupBy("shard").applyInPandas(_sum_shard, kind))
     names = ["c", "n1", "n2", "n3", "left"]
     words = pairs.mapInPandas(_per_word, "word long, " + ", ".join(f"{c} long" for c in names))
-    words = words.groupBy("word").agg(*[F.sum(c).alias(c) for c in names]).toPandas()  # a row a class at most
+    words = words.groupBy("word").agg(*[F.sum(c).alias(c) for c in names]).toArrow().to_pandas()  # a row a class at most
     shared = spark.sparkContext.broadcast(Model(vocabulary, words, size[1] - len(top)))
 
     def alone(it):
@@ -259,12 +267,13 @@ def perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     blocks = max(1, -(-(each.agg(F.sum("n")).first()[0] or 0) // (shards * BLOCK_ROWS)))
     sent = d.select("key", "text", "trusted").mapInPandas(
         lambda it: _send(it, shared.value, shards, blocks),
-        "shard long, block long, docs binary, trusted binary, lengths binary, keys binary",
+        "shard long, block long, chunk long, docs binary, trusted binary, lengths binary, keys binary",
     )
     table = pairs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     gains = sent.groupBy("shard", "block").cogroup(table.groupBy("shard", "block")).applyInPandas(
-        lambda a, b: _answer(shared.value, a, b), "key long, gain double"
+        lambda a, b: _answer(shared.value, a, b), "chunk long, docs binary, gains binary"
     )
+    gains = gains.groupBy("chunk").applyInPandas(_sum_chunk, "key long, gain double")
     gains = gains.groupBy("key").agg(F.sum("gain").alias("gain"))
     copies = each.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))  # equal rows were summed up together
     gains = gains.join(copies, "key").select("key", (F.col("gain") / F.col("copies")).alias("gain"))
@@ -283,7 +292,7 @@ def quality_model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     own; repeated rows each get their row; other columns are ignored.
     """
     p = store(perplexity(docs, trusted, id_col, text_col, lang_col))
-    slack = SPREAD / F.sqrt("n_words")
+    slack = SPREAD / F.sqrt(F.greatest("n_words", F.lit(1)))
     good = p.filter("trusted and log_perplexity is not null").withColumn("over", F.col("log_perplexity") - slack)
     limits = good.groupBy(row_key("lang").alias("_k")).agg((F.percentile_approx("over", QUANTILE, 10_000) + MARGIN).alias("limit"))
     p = lookup(p.withColumn("_k", row_key("lang")), store(limits), "_k")

@@ -3,7 +3,8 @@
 Only connected components are asked for, so a large group of similar texts never needs all its pairs:
 
 1. Documents with equal shingle sets become one node.
-2. Each node of a band's bucket is compared with the bucket's hub alone, a linear number of pairs.
+2. Each node of a band's bucket is compared with the bucket's hub alone, a linear number of pairs; the hub is the member
+   that shares its bands with most.
 3. What may still be missing are links between two non-hub nodes of one bucket that lie in different components. These
    nodes, and only these, go through a prefix filter, which is exact: two sets that are similar enough share one of
    their rarest shingles.
@@ -236,10 +237,15 @@ class Dedup:
         width = 4 * self.rows
         keys = F.array(*[F.xxhash64(F.expr(f"substring(sig, {1 + i * width}, {width})"), F.lit(i)) for i in range(self.bands)])
         bands = nodes.select("node", "n", F.explode(keys).alias("key"))
-        buckets = bands.groupBy("key").agg(
-            F.count(F.lit(1)).alias("size"), F.min_by(F.struct("node", "n"), F.xxhash64("node", "key")).alias("hub")
-        ).filter("size > 1")
-        members = bands.join(buckets, "key").filter("node <> hub.node")
+        sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        shared = store(bands.join(sizes, "key"))
+        # The hub is the member whose bands most nodes share: of edited copies that is the original, which they resemble
+        # more than each other.
+        degree = shared.groupBy("node").agg(F.sum("size").alias("degree"))
+        hubs = shared.join(degree, "node").groupBy("key").agg(
+            F.max_by(F.struct("node", "n"), F.struct("degree", F.xxhash64("node").alias("tie"))).alias("hub")
+        )
+        members = shared.join(hubs, "key").filter("node <> hub.node")
         members = store(members.select("key", "node", "n", "size", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n")))
         pairs = members.filter(self.fits(F.col("n"), F.col("hub_n"))).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         likely = self.prune(pairs.distinct())

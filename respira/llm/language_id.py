@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from respira.llm.common import store
+from respira.llm.common import bounded_batches, store
 
 #: The classifier is fitted on at most about this many labelled documents, drawn by a hash of their contents.
 MAX_TRAIN_DOCS = 20_000
@@ -62,32 +62,32 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class Model:
     """Log frequencies of words and n-grams in each language, add-one smoothed over the languages."""
 
-    def __init__(self, counts: pd.DataFrame, langs: list[str]):
-        self.langs = sorted(langs)
-        at = {x: i for i, x in enumerate(self.langs)}
-        self.words, self.grams = (self._table(counts[counts["kind"] == k], at, split) for k, split in (("w", False), ("g", True)))
-
-    def _table(self, c: pd.DataFrame, at: dict[str, int], by_length: bool) -> dict[str, np.ndarray]:
-        if not len(at) or not len(c):
-            return {}
-        items, row = np.unique(c["item"].to_numpy(str), return_inverse=True)
-        n = np.zeros((len(items), len(at)))
-        np.add.at(n, (row, c["lang"].map(at).to_numpy()), c["n"].to_numpy(float))
-        size = np.char.str_len(items) if by_length else np.zeros(len(items), int)
-        out = np.empty_like(n)
+    def __init__(self, counts: pd.DataFrame | None, langs: list[str]):
+        """``counts``: one row an item, its kind and its count in each of the sorted ``langs`` (null: none)."""
+        self.langs = langs
+        none = {}, np.zeros((0, len(langs)), np.float32)
+        self.words, self.word_rows = none if counts is None else self._table(counts[counts["kind"] == "w"], False)
+        self.grams, self.gram_rows = none if counts is None else self._table(counts[counts["kind"] == "g"], True)
+
+    @staticmethod
+    def _table(c: pd.DataFrame, by_length: bool) -> tuple[dict[str, int], np.ndarray]:
+        """Row number of each item, and the rows: log frequency in each language among items of its length."""
+        items, n = c["item"], c.iloc[:, 2:].fillna(0).to_numpy(float)
+        size = items.str.len().to_numpy() if by_length else np.zeros(len(items), int)
+        out = np.empty(n.shape, np.float32)
         for k in np.unique(size):
             m = size == k
             out[m] = np.log((n[m] + 0.5) / (n[m].sum(0) + 0.5 * m.sum()))
-        return dict(zip(items.tolist(), out.astype(np.float32), strict=True))
+        return dict(zip(items, range(len(items)), strict=True)), out
 
     def score(self, word: str) -> np.ndarray:
         """Log score by language; the longest n-grams that are known decide for an unseen word."""
-        if (s := self.words.get(word)) is not None:
-            return s
+        if (k := self.words.get(word)) is not None:
+            return self.word_rows[k]
         for step, k in enumerate(GRAM_LENGTHS):
             found = [g for g in map(self.grams.get, _grams(word, k)) if g is not None]
             if found:
-                s = np.mean(found, axis=0)
+                s = self.gram_rows[found].mean(0)
                 return ((s - s.max()) * BACKOFF ** (step + 1)).astype(np.float32)
         return np.zeros(len(self.langs), np.float32)
 
@@ -138,7 +138,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_d
     Rows without language or text are left out. The model on the driver has at most ``MAX_WORDS`` words and
     ``MAX_GRAMS`` n-grams.
     """
-    d = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null and text is not null")
+    d = bounded_batches(docs).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null and text is not null")
     n = d.count()
     key = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
     d = d.filter(key < int((1 << 30) * min(1.0, max_docs / max(n, 1))))
@@ -148,9 +148,11 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_d
     keep = [
         total.filter(F.col("kind") == k).orderBy(F.desc("all"), "item").limit(most) for k, most in (("w", MAX_WORDS), ("g", MAX_GRAMS))
     ]
-    counts = c.join(keep[0].union(keep[1]), ["kind", "item"]).select("lang", "kind", "item", "n").toPandas()
-    langs = [r[0] for r in c.select("lang").distinct().collect()]
-    return Model(counts, langs)
+    langs = sorted(r[0] for r in c.select("lang").distinct().collect())
+    if not langs:
+        return Model(None, [])
+    wide = c.join(keep[0].union(keep[1]), ["kind", "item"]).groupBy("kind", "item").pivot("lang", langs).agg(F.first("n"))
+    return Model(wide.toDF("kind", "item", *[f"n{i}" for i in range(len(langs))]).toArrow().to_pandas(), langs)
 
 
 def predictions(spark, model: Model):

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from respira.llm.common import bounded_batches
 from respira.llm.license_texts import BASE_PHRASES, TEMPLATES
 
 #: Words of the shortest match that takes part in a chain.
@@ -207,7 +208,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null and empty texts have no words, null starts and score 0; repeated rows each get their row; other columns are
     ignored.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.pandas_udf(_scanned, SCHEMA)(F.col(text_col)).alias("r"))
+    d = bounded_batches(docs).select(F.col(id_col).alias("doc_id"), F.pandas_udf(_scanned, SCHEMA)(F.col(text_col)).alias("r"))
     return d.select("doc_id", "r.*")
 
 

@@ -8,6 +8,7 @@ its share of a bin empty gives up a piece of exactly the next class's share firs
 from __future__ import annotations
 
 import functools
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from respira.llm.common import LOWER
+from respira.llm.common import LOWER, bounded_batches
 
 CAPACITY = 2048
 #: Share of a piece's place in its bin that may stay empty before the piece is cut.
@@ -26,7 +27,7 @@ MAX_WASTE = 0.02
 #: Pieces no longer than this are not cut further.
 SHORT = 32
 #: Words after which a worker's memo becomes the older of two generations (memory only, never results).
-MEMO = 350_000
+MEMO = 200_000
 END_ID = 1
 SCHEMA = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -44,7 +45,15 @@ class WordTokenizer:
         self.old: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
-        """Encode the words in one call, and part the ids by where each token begins."""
+        """Encode new words: those of small ASCII letters are one pre-token as they stand and go to the model itself; the
+        others are encoded in one call, and their ids parted by where each token begins."""
+        merge = self.tokenizer.model.tokenize
+        for w in words:
+            if w.isalpha() and w.islower():
+                self.memo[w] = array("I", [t.id for t in merge(w.decode())]).tobytes()
+        words = [w for w in words if w not in self.memo]
+        if not words:
+            return
         texts = [w.decode() for w in words]
         enc = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         begin = np.fromiter((a for a, _ in enc.offsets), np.int64, len(enc.offsets))
@@ -170,7 +179,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     """
     path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
     key = docs.schema[id_col].dataType.simpleString()
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    d = bounded_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return d.mapInPandas(lambda it: _pack(it, path, capacity), f"doc_id {key}, {SCHEMA}")
 
 

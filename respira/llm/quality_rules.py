@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from respira.llm.common import Words, chunks, grams, mix
+from respira.llm.common import Words, bounded_batches, chunks, grams, mix
 
 # Published limits on the share of characters inside repeated n-grams (by n) and lines.
 GRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -110,7 +110,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     share of characters inside repeated n-grams (all but the first copy) and repeated lines with the published limits.
     Null and empty texts have no words and fail; repeated rows each get their row; other columns are ignored.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.pandas_udf(_measured, SCHEMA)(F.col(text_col)).alias("m")).select("doc_id", "m.*")
+    d = bounded_batches(docs).select(F.col(id_col).alias("doc_id"), F.pandas_udf(_measured, SCHEMA)(F.col(text_col)).alias("m")).select("doc_id", "m.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     over = F.col("dup_line_share") > LINE_LIMIT
     for n, limit in GRAM_LIMITS.items():

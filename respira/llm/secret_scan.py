@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from respira.llm.common import fresh, row_key, small, store
+from respira.llm.common import bounded_batches, fresh, row_key, small, store
 
 # Patterns of the base kinds, in order. Length limits stand in the quantifier where that is the same.
 BASE = {
@@ -75,7 +75,7 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def _scanned(docs: DataFrame, id_col: str, text_col: str, owner: Column, repo: Column) -> tuple[DataFrame, DataFrame]:
     """Stored candidates of every row, and for every row key the verdicts on its candidates."""
-    d = docs.select(
+    d = bounded_batches(docs).select(
         F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("key"), owner.alias("owner"), repo.alias("repo"),
         _found_column(F.col(text_col)).alias("found"),
     )

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from respira.llm.common import row_key, store
@@ -134,7 +134,7 @@ def fit(x: np.ndarray, rows: int) -> tuple[Router, int, float]:
 
 
 def best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Each query's ``k`` rows of largest inner product, all ties at the last place included, not its own."""
+    """Each query's ``k`` rows of largest inner product, not its own: ``query_id``, ``below`` (scores negated), ``ids``."""
     out = []
     x, ids = np.stack(rows["v"].to_numpy()).astype(float), rows["id"].to_numpy()
     for a in range(0, len(queries), 256):
@@ -146,11 +146,12 @@ def best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
         near = 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
         i, j = np.nonzero((s >= (least - near)[:, None]) & (s > -np.inf))
         # The sum of exact products in one fixed order, so that equal vectors score the same wherever they lie.
-        score = (q[i] * x[j]).sum(1)
-        f = pd.DataFrame({"query_id": own[i], "vec_id": ids[j], "score": score})
-        f = f.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True], kind="stable")
-        out.append(f.groupby("query_id").head(k))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        f = pd.DataFrame({"i": i, "below": -(q[i] * x[j]).sum(1), "id": ids[j]})
+        f = f.sort_values(["i", "below", "id"], kind="stable").groupby("i").head(k)
+        cut = np.searchsorted(f["i"].to_numpy(), np.arange(1, len(s)))
+        parts = [np.split(f[c].to_numpy(), cut) for c in ("below", "id")]
+        out.append(pd.DataFrame({"query_id": own, "below": parts[0], "ids": parts[1]}))
+    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "below": [], "ids": []})
 
 
 def _blocks(n: str) -> Column:
@@ -163,13 +164,13 @@ def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str
     ``queries`` is a condition on the rows (column ``id``). Every vector is indexed under its most probable partition;
     a query searches partitions, each exactly, until their probabilities sum to the reach that the sample calls for.
     Queries that found fewer than ``k`` search all partitions. Vectors and queries of a partition meet in blocks of
-    about ``BLOCK``. Ties go to the smaller id. Vectors that are null, zero, of another length than most, or hold null
-    or non-finite components take no part; a null id is never a query; repeated rows are candidates each; an empty table
+    about ``BLOCK``. Ties go to the smaller id. Rows without an id, and vectors that are null, zero, of another length than
+    most, or hold null or non-finite components take no part; repeated rows are candidates each; an empty table
     gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
     v = F.transform(F.col(vector_col), lambda x: x.cast("float"))
-    d = vectors.select(F.col(id_col).alias("id"), v.alias("v")).filter("v is not null and size(v) > 0")
+    d = vectors.select(F.col(id_col).alias("id"), v.alias("v")).filter("id is not null and v is not null and size(v) > 0")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     d = d.filter(~F.coalesce(bad, F.lit(True)) & F.exists("v", lambda x: x != 0))
     sizes = d.groupBy(F.size("v").alias("s")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "s").first()
@@ -191,7 +192,7 @@ def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str
             yield pd.Series([o[:m].tolist() for o, m in zip(order, need, strict=True)])
 
     route.__annotations__ = {"it": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    ask = F.col("id").isNotNull() & queries
+    ask = queries
     d = store(d.withColumn("route", F.pandas_udf(route, "array<long>")("v")).withColumn("ask", F.coalesce(ask, F.lit(False))))
     every = F.array(*[F.lit(i).cast("long") for i in range(parts)])
     held = d.groupBy(F.col("route")[0].alias("part")).agg(F.count(F.lit(1)).alias("n")).select("part", _blocks("n").alias("blocks"))
@@ -209,7 +210,7 @@ def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str
 
         def both(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
             if not len(a) or not len(b):
-                return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"score": float})
+                return pd.DataFrame({"query_id": [], "below": [], "ids": []})
             return best(a, b, k)
 
         def side(f: DataFrame):
@@ -217,18 +218,20 @@ def nearest(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str
             return f.select(F.col("id").alias("id_"), F.col("v").alias("v_"), *keys).toDF("id", "v", *names).groupBy(*names)
 
         names = ["k_part", "k_block", "k_qblock"]
-        return side(q).cogroup(side(r)).applyInPandas(both, f"query_id {kind}, vec_id {kind}, score double")
+        return side(q).cogroup(side(r)).applyInPandas(both, f"query_id {kind}, below array<double>, ids array<{kind}>")
 
     ask_rows = d.filter("ask").dropDuplicates(["id"])
     first = store(search(ask_rows.select("id", "v", F.explode("route").alias("part"))))
-    few = ask_rows.join(first.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("n")), "id", "left")
+    few = ask_rows.join(first.groupBy(F.col("query_id").alias("id")).agg(F.sum(F.size("ids")).alias("n")), "id", "left")
     few = store(few.filter(F.coalesce("n", F.lit(0)) < min(k, n - 1)).select("id", "v"))
     if not few.isEmpty():
         again = search(few.select("id", "v", F.explode(every).alias("part")))
         first = first.join(few.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(again)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    out = first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return out.select("query_id", "rank", "vec_id", "score")
+    # A block answers with one row a query, so what is merged is a list for each block that the query searched.
+    near = F.flatten(F.collect_list(F.arrays_zip("below", "ids")))
+    out = first.groupBy("query_id").agg(F.slice(F.array_sort(near), 1, k).alias("near"))
+    out = out.select("query_id", F.posexplode("near").alias("at", "x"))
+    return out.select("query_id", (F.col("at") + 1).alias("rank"), F.col("x.ids").alias("vec_id"), (-F.col("x.below")).alias("score"))
 
 
 def op7_vector_search(spark, sf: str) -> DataFrame:

@@ -346,10 +346,10 @@ def test_vector_search(spark):
     x = rng.standard_normal((900, 8)).astype(np.float32)
     x[50:90] = x[50]
     rows = [(i, v.tolist(), 0, 1) for i, v in enumerate(x)]
-    rows += [(900, None, 0, 1), (901, [0.0] * 8, 0, 1), (902, [1.0, None] * 4, 0, 1), (903, [float("nan")] * 8, 0, 1), (904, [1.0], 0, 1), (7, x[7].tolist(), 0, 1)]
+    rows += [(900, None, 0, 1), (901, [0.0] * 8, 0, 1), (902, [1.0, None] * 4, 0, 1), (903, [float("nan")] * 8, 0, 1), (904, [1.0], 0, 1), (None, x[7].tolist(), 0, 1), (7, x[7].tolist(), 0, 1)]
     v = spark.createDataFrame(rows, "vec_id long, embedding array<float>, part int, id int")
     got = vector_search.nearest(v, F.col("id") % 20 == 0).toPandas()
-    base = [(r[0], np.array(r[1], float)) for r in rows if r[0] < 900]
+    base = [(r[0], np.array(r[1], float)) for r in rows if r[0] is not None and r[0] < 900]
     hits = 0
     for q, f in got.groupby("query_id"):
         s = sorted((-float((x[q].astype(float) * y).sum()), i) for i, y in base if i != q)[:20]

@@ -1,13 +1,15 @@
-"""Quality classifier: an interpolated modified Kneser-Ney bigram model of trusted text, with sharded count joins.
+"""Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text, with sharded tables.
 
-Words outside the ``VOCABULARY`` most frequent of the trusted text form one class, so a bigram is 32 bits. What only
-depends on a word (its back-off weight as a context, its continuation probability) is a table of bounded size that every
-worker has. Bigram counts are not bounded: they stay in shards by hash, and every document's bigrams travel there in
-compressed blocks, whose answer is one number a document.
+A log probability is a sum of values that each depend on one n-gram: ``log p1(w)``, the back-off weights of the contexts,
+and what a seen bigram or trigram adds to its lower order. So nothing of the model has to be in one place. N-grams lie
+in shards by the hash of their last two words, single words in shards by their own; a shard asks the owners of its contexts
+and words for their sums, and every document's n-grams travel to the shards in compressed blocks, whose answer is one
+number a document. Nothing is left out or merged: every word and n-gram of the trusted text has its own counts.
 """
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -18,13 +20,12 @@ from pyspark.sql import functions as F
 
 from respira.llm.common import Words, bounded_batches, chunks, lookup, mix, row_key, store
 
-#: Word classes: 0 begins a text, 1 is every word outside the vocabulary.
-VOCABULARY = (1 << 16) - 2
-BEGIN, OTHER = 0, 1
-#: Trusted bigrams of a shard, and bigrams of a block that meet a shard in one task, about.
-SHARD_ROWS = 4_000_000
-BLOCK_ROWS = 20_000_000
-#: Bigrams gathered before a worker sends them on.
+#: Words of the longest n-grams of the classifier.
+ORDER = 3
+#: Trusted n-grams of a shard, and n-grams of a block that meet a shard in one task, about.
+SHARD_ROWS = 2_000_000
+BLOCK_ROWS = 8_000_000
+#: N-grams gathered before a worker sends them on.
 SEND_ROWS = 1_000_000
 #: A document goes if its log perplexity lies above this quantile of trusted text in its language, by this margin.
 QUANTILE = 0.99
@@ -33,28 +34,28 @@ MARGIN = 0.4
 SPREAD = 6.0
 
 _U = np.uint64
+#: Stands before the first word of a text.
+BEGIN = _U(0)
 
 
-class Vocabulary:
-    """Class of each word hash."""
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of two hashes in order."""
+    with np.errstate(over="ignore"):
+        return mix(a * _U(0x9E3779B97F4A7C15) + mix(b + _U(0x632BE59BD9B4E019)))
 
-    def __init__(self, hashes: np.ndarray):
-        self.sorted = np.sort(hashes)
 
-    def classes(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.sorted):
-            return np.full(len(h), OTHER, np.int64)
-        at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == h, at + 2, OTHER)
-
-
-def _bigrams(part: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Context and word class of every word of the texts, and its text's number."""
-    w = Words(part)
-    word = vocabulary.classes(w.hash)
-    context = np.concatenate([[BEGIN], word[:-1]]) if len(word) else word
-    context[w.first[:-1][w.count > 0]] = BEGIN
-    return context, word, w.doc
+def _ngrams(part: list[bytes], order: int) -> tuple[np.ndarray, ...]:
+    """The words ``u, v, w`` that end at every word of the texts, its text's number, whether another word follows."""
+    t = Words(part)
+    w, some = t.hash, t.count > 0
+    first = t.first[:-1][some]
+    v = np.concatenate([[BEGIN], w[:-1]]).astype(_U)[: len(w)]
+    v[first] = BEGIN
+    u = np.concatenate([[BEGIN], v[:-1]]).astype(_U)[: len(w)] if order > 2 else np.full(len(w), BEGIN)
+    u[first] = BEGIN
+    more = np.ones(len(w), bool)
+    more[t.first[1:][some] - 1] = False
+    return u, v, w, t.doc, more
 
 
 def _blob(x: np.ndarray) -> bytes:
@@ -68,32 +69,64 @@ def _unblob(b: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(d).view("<u4").ravel(), dtype=np.uint32)
 
 
+def _numbers(x: np.ndarray) -> bytes:
+    return zlib.compress(np.asarray(x, np.float64).tobytes(), 1)
+
+
+def _unnumbers(b: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(b), np.float64)
+
+
+def _pack(*cols: np.ndarray) -> tuple[bytes, ...]:
+    """Word hashes as their distinct values and places among these."""
+    names, at = np.unique(np.concatenate(cols), return_inverse=True)
+    return names.tobytes(), *map(_blob, np.split(at, np.cumsum([len(c) for c in cols])[:-1]))
+
+
+def _unpack(names: bytes, *cols: bytes) -> list[np.ndarray]:
+    h = np.frombuffer(names, _U)
+    return [h[_unblob(c)] for c in cols]
+
+
 def _shard(key: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(key.astype(_U)) % _U(shards)).astype(np.int64)
+    return (mix(key) % _U(shards)).astype(np.int64)
 
 
-def _word_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        for _, part in chunks(f["text"], lower=True, most=1 << 23):
-            h, n = np.unique(Words(part).hash, return_counts=True)
-            yield pd.DataFrame({"h": h.view(np.int64), "n": n})
+def _starts(*sorted_: np.ndarray) -> np.ndarray:
+    """Where a new combination begins in columns sorted together."""
+    n = len(sorted_[0])
+    new = np.ones(n, bool)
+    if n:
+        new[1:] = np.any([c[1:] != c[:-1] for c in sorted_], axis=0)
+    return np.flatnonzero(new)
 
 
-def _pair_counts(frames, vocabulary: Vocabulary, shards: int) -> Iterator[pd.DataFrame]:
-    """Blocks of distinct bigrams with counts, by shard."""
+def _distinct(u, v, w, n=None) -> tuple[np.ndarray, ...]:
+    """Distinct n-grams with counts, sorted by the hash of their last two words, then by the first."""
+    n = np.ones(len(u), np.int64) if n is None else n.astype(np.int64)
+    low = _pair(v, w)
+    order = np.lexsort((u, low))
+    u, v, w, n, low = u[order], v[order], w[order], n[order], low[order]
+    at = _starts(low, u)
+    return u[at], v[at], w[at], np.add.reduceat(n, at) if len(at) else n, low[at]
+
+
+def _counts(frames, order: int, shards: int) -> Iterator[pd.DataFrame]:
+    """Blocks of distinct n-grams with counts, by shard."""
     held, size = [], 0
 
     def send():
-        key, n = np.unique(np.concatenate(held), return_counts=True)
-        s = _shard(key, shards)
-        rows = [(k, _blob(key[s == k]), _blob(n[s == k])) for k in np.unique(s).tolist()]
-        return pd.DataFrame(rows, columns=["shard", "keys", "counts"])
+        u, v, w, n, low = _distinct(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        s, rows = _shard(low, shards), []
+        for k in np.unique(s).tolist():
+            a = s == k
+            rows.append((k, pickle.dumps((*_pack(u[a], v[a], w[a]), _blob(n[a])))))
+        return pd.DataFrame(rows, columns=["shard", "data"])
 
     for f in frames:
         for _, part in chunks(f["text"], lower=True):
-            context, word, _ = _bigrams(part, vocabulary)
-            held.append((context << 16 | word).astype(np.uint32))
-            size += len(word)
+            held.append(_ngrams(part, order)[:3])
+            size += len(held[-1][0])
             if size >= SEND_ROWS:
                 yield send()
                 held, size = [], 0
@@ -101,99 +134,198 @@ def _pair_counts(frames, vocabulary: Vocabulary, shards: int) -> Iterator[pd.Dat
         yield send()
 
 
-def _sum_shard(f: pd.DataFrame) -> pd.DataFrame:
-    """One row a shard: its distinct bigrams with counts over all blocks."""
-    key = np.concatenate([_unblob(b) for b in f["keys"]])
-    n = np.concatenate([_unblob(b) for b in f["counts"]])
-    key, at = np.unique(key, return_inverse=True)
-    total = np.bincount(at, n).astype(np.int64)
-    return pd.DataFrame([(int(f["shard"].iloc[0]), _blob(key), _blob(np.minimum(total, 2**32 - 1)))], columns=["shard", "keys", "counts"])
+_TYPES = [f"{t}{k}" for t in ("top", "low") for k in (1, 2, 3, 4)] + ["bigrams"]
+
+
+def _merge(f: pd.DataFrame, order: int) -> pd.DataFrame:
+    """One row a shard: its distinct n-grams with counts over all blocks, and how many there are of each count."""
+    parts = []
+    for b in f["data"]:
+        *words, n = pickle.loads(b)
+        parts.append((*_unpack(*words), _unblob(n)))
+    t = Table(_distinct(*(np.concatenate(c) for c in zip(*parts, strict=True))), order)
+    data = pickle.dumps((*_pack(t.u, t.v, t.w), _blob(np.minimum(t.n, 2**32 - 1))))
+    kinds = [int((x == k).sum()) for x in (t.n, t.n_low) for k in (1, 2, 3, 4)]
+    return pd.DataFrame([(int(f["shard"].iloc[0]), data, *kinds, len(t.key))], columns=["shard", "data", *_TYPES])
+
+
+class Table:
+    """N-grams of a shard in order, and its bigrams: ``key`` with counts (of order 3: of distinct words before it)."""
+
+    def __init__(self, ngrams, order: int):
+        self.u, self.v, self.w, self.n, low = ngrams
+        self.at = _starts(low)
+        self.key = low[self.at]
+        self.bigram = np.repeat(np.arange(len(self.at)), np.diff(np.append(self.at, len(low))))
+        self.n_low = np.bincount(self.bigram, None if order > 2 else self.n, len(self.at)).astype(np.int64)
+        self.v_low, self.w_low = self.v[self.at], self.w[self.at]
+
+    @classmethod
+    def of(cls, data: bytes, order: int) -> Table:
+        *words, n = pickle.loads(data)
+        return cls(_distinct(*_unpack(*words), _unblob(n)), order)
+
+
+def _discounts(n1: float, n2: float, n3: float, n4: float) -> np.ndarray:
+    """Modified discounts for counts 1, 2 and 3 or more, kept inside their ranges where counts of counts are sparse."""
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    raw = [1 - 2 * y * n2 / max(n1, 1), 2 - 3 * y * n3 / max(n2, 1), 3 - 4 * y * n4 / max(n3, 1)]
+    return np.array([0.0, *(min(max(d, 0.1), k - 0.1) for k, d in enumerate(raw, 1))])
 
 
-def _per_word(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of a shard: count and classes of count of each context, contexts of each word, bigrams by count (word -1)."""
+def _ask(frames, order: int, shards: int, top: np.ndarray, low: np.ndarray) -> Iterator[pd.DataFrame]:
+    """A shard's sums of each context (count, discounted mass) and word (distinct contexts), to the key's owner."""
     for f in frames:
-        for b, c in zip(f["keys"], f["counts"], strict=True):
-            key, n = _unblob(b).astype(np.int64), _unblob(c).astype(np.int64)
-            h, w = key >> 16, key & 0xFFFF
-            cols = {"c": np.bincount(h, n, 1 << 16)} | {
-                f"n{k}": np.bincount(h[(n == k) if k < 3 else (n >= 3)], minlength=1 << 16) for k in (1, 2, 3)
-            }
-            cols["left"] = np.bincount(w, minlength=1 << 16)
-            t = pd.DataFrame(cols).astype("int64")
-            t.insert(0, "word", np.arange(1 << 16))
-            total = pd.DataFrame([(-1, *[int((n == k).sum()) for k in (1, 2, 3, 4)], 0)], columns=t.columns)
-            yield pd.concat([t[(t["c"] > 0) | (t["left"] > 0)], total])
+        for shard, data in zip(f["shard"], f["data"], strict=True):
+            t = Table.of(data, order)
+            key, at = np.unique(np.concatenate([t.v_low, t.w_low]), return_inverse=True)
+            v, w = np.split(at, 2)
+            sums = [(1, key, np.bincount(v, t.n_low, len(key)), np.bincount(v, low[np.minimum(t.n_low, 3)], len(key)), np.bincount(w, minlength=len(key)))]
+            if order > 2:
+                key, at = np.unique(_pair(t.u, t.v), return_inverse=True)
+                sums.append((2, key, np.bincount(at, t.n, len(key)), np.bincount(at, top[np.minimum(t.n, 3)], len(key)), np.zeros(len(key))))
+            out = []
+            for kind, key, *x in sums:
+                s = _shard(key, shards)
+                for k in np.unique(s).tolist():
+                    a = s == k
+                    out.append((k, kind, shard, pickle.dumps((key[a].tobytes(), *(_numbers(c[a]) for c in x)))))
+            yield pd.DataFrame(out, columns=["owner", "kind", "asker", "data"])
+
+
+def _tell(f: pd.DataFrame) -> pd.DataFrame:
+    """Sums over all askers: one row for the owner itself (kind 1 or 2), one for each asker (3 or 4)."""
+    parts = [(np.frombuffer(k, _U), *map(_unnumbers, x)) for k, *x in map(pickle.loads, f["data"])]
+    key, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    total = [np.bincount(at, np.concatenate([p[i] for p in parts]), len(key)) for i in (1, 2, 3)]
+    kind, begin = int(f["kind"].iloc[0]), np.isin(key, [BEGIN, _pair(np.array([BEGIN]), np.array([BEGIN]))[0]])
+    first = float(np.log(total[1][begin] / total[0][begin]).sum())
+
+    def row(to, kind, k, pick, words, first):
+        return to, kind, pickle.dumps((k.tobytes(), *(_numbers(c[pick]) for c in total))), words, first
+
+    out = [row(int(f["owner"].iloc[0]), kind, key, slice(None), int((total[2] > 0).sum()), first)]
+    cut = np.cumsum([0, *(len(p[0]) for p in parts)])
+    out += [row(s, kind + 2, p[0], at[a:b], 0, 0.0) for s, p, a, b in zip(f["asker"], parts, cut, cut[1:], strict=False)]
+    return pd.DataFrame(out, columns=["shard", "kind", "data", "words", "first"])
+
+
+def _find(keys: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each key among sorted keys, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    return at, keys[at] == key
 
 
 class Model:
-    """Everything of the model that depends on single words; sizes are those of the vocabulary."""
-
-    def __init__(self, vocabulary: Vocabulary, words: pd.DataFrame, other_types: int):
-        self.vocabulary = vocabulary
-        total = words[words["word"] == -1]
-        n1, n2, n3, n4 = (float(total[c].sum()) for c in ("c", "n1", "n2", "n3"))
-        y = n1 / (n1 + 2 * n2) if n1 else 0.5
-        # Modified discounts for counts 1, 2 and 3 or more, kept inside their ranges where counts of counts are sparse.
-        raw = [1 - 2 * y * n2 / max(n1, 1), 2 - 3 * y * n3 / max(n2, 1), 3 - 4 * y * n4 / max(n3, 1)]
-        self.discount = np.array([0.0, *(min(max(d, 0.1), k - 0.1) for k, d in enumerate(raw, 1))])
-        size = 1 << 16
-        of = {c: np.zeros(size) for c in ("c", "n1", "n2", "n3", "left")}
-        t = words[words["word"] >= 0]
-        for c in of:
-            of[c][t["word"]] = t[c]
-        self.count = of["c"]
-        #: Discounted mass of each context: what its seen bigrams leave to the lower order.
-        self.mass = sum(d * of[f"n{k}"] for k, d in zip((1, 2, 3), self.discount[1:], strict=True))
-        # The lower order: share of distinct contexts, evened out by half a context for each class.
-        p = (of["left"] + 0.5) / (of["left"].sum() + 0.5 * (len(vocabulary.sorted) + 2))
-        self.lower = p
-        #: A word outside the vocabulary also has to be picked among those the trusted text has of them.
-        self.pick = np.zeros(size)
-        self.pick[OTHER] = -np.log(max(1, other_types))
-
-    def base(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Log probability as if the bigram were unseen."""
-        seen = self.count[context] > 0
-        with np.errstate(divide="ignore", invalid="ignore"):
-            weight = np.where(seen, np.log(self.mass[context]) - np.log(self.count[context]), 0.0)
-        return weight + np.log(self.lower[word]) + self.pick[word]
-
-    def gain(self, key: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """What a bigram seen ``n`` times adds to ``base``; ``n`` may be 0."""
-        context, word = key >> 16, key & 0xFFFF
-        lower = self.lower[word]
-        kept = np.maximum(n - self.discount[np.minimum(n, 3)], 0)
-        return np.where(n > 0, np.log1p(kept / (self.mass[context] * lower + 1e-300)), 0.0)
-
-
-def _send(frames, model: Model, shards: int, blocks: int) -> Iterator[pd.DataFrame]:
-    """Blocks of documents' bigrams, by shard; bigrams whose context or word trusted text lacks are left out."""
+    """What one shard knows."""
+
+    def __init__(self, rows: pd.DataFrame, order: int, top: np.ndarray, low: np.ndarray, bigrams: int, words: int):
+        self.order, self.top, self.low = order, top, low
+        self.norm = bigrams + 0.5 * (words + 2)
+        told = {k: [pickle.loads(b) for b in g["data"]] for k, g in rows.groupby("kind")}
+
+        def sums(kind):
+            parts = [(np.frombuffer(k, _U), *map(_unnumbers, x)) for k, *x in told.get(kind, [])]
+            if not parts:
+                return [np.empty(0, _U), *[np.empty(0)] * 3]
+            cols = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            order = np.argsort(cols[0])
+            return [c[order] for c in cols]
+
+        def weight(total, mass):
+            return np.log(np.where(total > 0, mass, 1) / np.where(total > 0, total, 1))
+
+        self.words, total, mass, left = sums(1)
+        self.word_log, self.word_weight = np.log(self.p1(left)), weight(total, mass)
+        self.contexts, total, mass, _ = sums(2)
+        self.context_weight = weight(total, mass)
+        self.keys, self.n, self.rest = np.empty(0, _U), np.empty(0, np.int64), np.empty(0)
+        self.tops, self.n_top, self.rest_top = np.empty(0, _U), np.empty(0, np.int64), np.empty(0)
+        if 0 in told:
+            *packed, n = told[0][0]
+            t = Table(_distinct(*_unpack(*packed), _unblob(n)), order)
+            key, total, mass, left = sums(3)
+            v, w = np.searchsorted(key, t.v_low), np.searchsorted(key, t.w_low)
+            self.keys, self.n, self.rest = t.key, t.n_low, mass[v] * self.p1(left[w])
+            if order > 2:
+                p2 = (self.n - low[np.minimum(self.n, 3)] + self.rest) / total[v]
+                key, _, mass, _ = sums(4)
+                rest = mass[np.searchsorted(key, _pair(t.u, t.v))] * p2[t.bigram]
+                tops = _pair(t.u, t.key[t.bigram])
+                o = np.argsort(tops)
+                self.tops, self.n_top, self.rest_top = tops[o], t.n[o], rest[o]
+
+    def p1(self, left: np.ndarray) -> np.ndarray:
+        """Share of distinct contexts, evened out by half a context for each word (and for all unseen ones)."""
+        return (left + 0.5) / self.norm
+
+    def of_words(self, w: np.ndarray, more: np.ndarray) -> np.ndarray:
+        """Log probability of each word by itself, and its back-off weight where it is a context."""
+        at, ok = _find(self.words, w)
+        if not ok.any():
+            return np.full(len(w), np.log(self.p1(np.zeros(1)))[0])
+        return np.where(ok, self.word_log[at] + more * self.word_weight[at], np.log(self.p1(0.0)))
+
+    @staticmethod
+    def _gain(keys, n, rest, discount, key, own) -> np.ndarray:
+        at, ok = _find(keys, key)
+        if not ok.any():
+            return np.zeros(len(key))
+        left = np.where(ok, np.maximum(n[at] - own, 0), 0)
+        kept = np.maximum(left - discount[np.minimum(left, 3)], 0)
+        return np.where(left > 0, np.log1p(kept / (rest[at] + 1e-300)), 0.0)
+
+    def of_ngrams(self, doc, u, v, w, more, trusted) -> np.ndarray:
+        """What n-grams, sorted by text, last two words and first word, add to the words' own values."""
+        key = _pair(v, w)
+
+        def spread(starts):
+            run = np.diff(np.append(starts, len(key)))
+            return np.repeat(run, run)
+
+        runs, same = _starts(doc, key, u), _starts(doc, key)
+        own = spread(same)
+        if self.order > 2:  # a bigram counts once for each word before it
+            new = np.zeros(len(key), np.int64)
+            new[runs] = 1
+            own = np.repeat(np.add.reduceat(new, same), np.diff(np.append(same, len(key))))
+        out = self._gain(self.keys, self.n, self.rest, self.low, key, own * trusted)
+        if self.order > 2:
+            out += self._gain(self.tops, self.n_top, self.rest_top, self.top, _pair(u, key), spread(runs) * trusted)
+            at, ok = _find(self.contexts, key)
+            if ok.any():
+                out += np.where(ok & more, self.context_weight[at], 0.0)
+        return out
+
+
+def _send(frames, order: int, shards: int, blocks: int) -> Iterator[pd.DataFrame]:
+    """Blocks of documents' n-grams and words, by shard."""
     held, keys, trust, size = [], [], [], 0
 
     def send():
-        doc, key = np.concatenate([d for d, _ in held]), np.concatenate([k for _, k in held])
-        s = _shard(key, shards)
-        order = np.lexsort((key, doc, s))
-        s, doc, key = s[order], doc[order], key[order]
-        cut = np.searchsorted(s, np.arange(shards + 1))
-        out, row = [], np.array(keys, np.int64)
-        t = np.array(trust, bool)
-        for k in range(shards):
-            a, b = cut[k], cut[k + 1]
-            if a < b:
-                u, n = np.unique(doc[a:b], return_counts=True)
-                out.append((k, int(row[0]) % blocks, int(row[0]), row[u].tobytes(), t[u].tobytes(), _blob(n), _blob(key[a:b])))
-        return pd.DataFrame(out, columns=["shard", "block", "chunk", "docs", "trusted", "lengths", "keys"])
+        u, v, w, doc, more = (np.concatenate(c) for c in zip(*held, strict=True))
+        out, row, t = [], np.array(keys, np.int64), np.array(trust, bool)
+        low = _pair(v, w)
+        for kind, s, order_by in ((2, _shard(low, shards), (u, low, doc)), (1, _shard(w, shards), (w, doc))):
+            order = np.lexsort((*order_by, s))
+            cut = np.searchsorted(s[order], np.arange(shards + 1))
+            for k in np.flatnonzero(np.diff(cut)).tolist():
+                a = order[cut[k] : cut[k + 1]]
+                d, n = np.unique(doc[a], return_counts=True)
+                words = _pack(u[a], v[a], w[a]) if kind == 2 else _pack(w[a])
+                data = pickle.dumps((kind, row[d].tobytes(), t[d].tobytes(), _blob(n), np.packbits(more[a]).tobytes(), *words))
+                out.append((k, int(row[0]) % blocks, int(row[0]), data))
+        return pd.DataFrame(out, columns=["shard", "block", "chunk", "data"])
 
     for f in frames:
         for begin, part in chunks(f["text"], lower=True):
-            context, word, doc = _bigrams(part, model.vocabulary)
-            ok = model.count[context] > 0
-            held.append((doc[ok] + len(keys), (context[ok] << 16 | word[ok])))
+            u, v, w, doc, more = _ngrams(part, order)
+            held.append((u, v, w, doc + len(keys), more))
             keys += f["key"].iloc[begin : begin + len(part)].tolist()
             trust += f["trusted"].iloc[begin : begin + len(part)].tolist()
-            size += int(ok.sum())
+            size += len(w)
             if size >= SEND_ROWS:
                 yield send()
                 held, keys, trust, size = [], [], [], 0
@@ -201,23 +333,21 @@ def _send(frames, model: Model, shards: int, blocks: int) -> Iterator[pd.DataFra
         yield send()
 
 
-def _answer(model: Model, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Summed gains of each document in a shard, one row a chunk; trusted documents don't count their own bigrams."""
-    out = []
-    if len(left) and len(right):
-        table = _unblob(right["keys"].iloc[0]).astype(np.int64)
-        count = _unblob(right["counts"].iloc[0]).astype(np.int64)
-        for r in left.itertuples():
-            docs, n = np.frombuffer(r.docs, np.int64), _unblob(r.lengths)
-            key, doc = _unblob(r.keys).astype(np.int64), np.repeat(np.arange(len(docs)), n)
-            at = np.minimum(np.searchsorted(table, key), len(table) - 1)
-            c = np.where(table[at] == key, count[at], 0)
-            new = np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])
-            run = np.diff(np.append(np.flatnonzero(new), len(key)))
-            own = np.repeat(run, run) * np.frombuffer(r.trusted, bool)[doc]
-            gain = np.bincount(doc, model.gain(key, np.maximum(c - own, 0)), len(docs))
-            hit = gain != 0
-            out.append((r.chunk, docs[hit].tobytes(), gain[hit].tobytes()))
+def _answer(left: pd.DataFrame, right: pd.DataFrame, *model) -> pd.DataFrame:
+    """Summed values of each document in a shard, one row a chunk; trusted documents don't count their own n-grams."""
+    out, m = [], Model(right, *model)
+    for chunk, b in zip(left["chunk"], left["data"], strict=True):
+        kind, docs, trusted, lengths, more, *words = pickle.loads(b)
+        docs, words = np.frombuffer(docs, np.int64), _unpack(*words)
+        doc = np.repeat(np.arange(len(docs)), _unblob(lengths))
+        more = np.unpackbits(np.frombuffer(more, np.uint8), count=len(doc)).astype(bool)
+        if kind == 1:
+            gain = m.of_words(*words, more)
+        else:
+            gain = m.of_ngrams(doc, *words, more, np.frombuffer(trusted, bool)[doc])
+        gain = np.bincount(doc, gain, len(docs))
+        hit = gain != 0
+        out.append((chunk, docs[hit].tobytes(), gain[hit].tobytes()))
     return pd.DataFrame(out, columns=["chunk", "docs", "gains"])
 
 
@@ -229,57 +359,57 @@ def _sum_chunk(f: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": key, "gain": np.bincount(at, gain, len(key))})
 
 
-def perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def perplexity(
+    docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 2
+) -> DataFrame:
     """``doc_id, lang, n_words, trusted, log_perplexity`` of every document under a model of the trusted ones.
 
-    ``trusted`` has the ids (column ``doc_id``). All trusted text is counted and every word of every document scored, a
-    trusted document without its own bigrams' counts. Words are lower-cased in ASCII and parted by ASCII white space.
-    Log perplexity is null without words, or without any trusted text.
+    ``trusted`` has the ids (column ``doc_id``), ``order`` is 2 or 3. All trusted text is counted and every word of every
+    document scored, a trusted document without its own n-grams' counts (of its bigrams in order 3: without its distinct
+    words before them). Words are lower-cased in ASCII and parted by ASCII white space. Log perplexity is null without
+    words, or without any trusted text.
     """
     ids = store(trusted.select(F.col("doc_id").alias("id"), F.lit(True).alias("trusted")).filter("id is not null").distinct())
     d = bounded_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     d = lookup(d.withColumn("key", row_key("id", "text")), ids, "id").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    spark, good = docs.sparkSession, d.filter("trusted").select("text")
-    counts = store(good.mapInPandas(_word_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
-    top = counts.orderBy(F.desc("n"), "h").limit(VOCABULARY).select("h").toArrow().to_pandas()["h"].to_numpy(np.int64).view(_U)
-    size = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    shards = max(1, -(-(size[0] or 0) // SHARD_ROWS))
-    vocabulary = Vocabulary(top)
-    kind = "shard long, keys binary, counts binary"
-    pairs = good.mapInPandas(lambda it: _pair_counts(it, vocabulary, shards), kind)
-    pairs = store(pairs.groupBy("shard").applyInPandas(_sum_shard, kind))
-    names = ["c", "n1", "n2", "n3", "left"]
-    words = pairs.mapInPandas(_per_word, "word long, " + ", ".join(f"{c} long" for c in names))
-    words = words.groupBy("word").agg(*[F.sum(c).alias(c) for c in names]).toArrow().to_pandas()  # a row a class at most
-    shared = spark.sparkContext.broadcast(Model(vocabulary, words, size[1] - len(top)))
+    good = d.filter("trusted").select("text")
 
     def alone(it):
         for f in it:
-            n, total = np.zeros(len(f), np.int64), np.zeros(len(f))
+            n = np.zeros(len(f), np.int64)
             for begin, part in chunks(f["text"], lower=True):
-                context, word, doc = _bigrams(part, shared.value.vocabulary)
-                n[begin : begin + len(part)] = np.bincount(doc, minlength=len(part))
-                total[begin : begin + len(part)] = np.bincount(doc, shared.value.base(context, word), len(part))
-            yield f[["id", "lang", "key", "trusted"]].assign(n=n, base=total)
+                n[begin : begin + len(part)] = Words(part).count
+            yield f[["id", "lang", "key", "trusted"]].assign(n=n)
 
     key_type = docs.schema[id_col].dataType.simpleString()
-    each = store(d.mapInPandas(alone, f"id {key_type}, lang string, key long, trusted boolean, n long, base double"))
-    blocks = max(1, -(-(each.agg(F.sum("n")).first()[0] or 0) // (shards * BLOCK_ROWS)))
+    each = store(d.mapInPandas(alone, f"id {key_type}, lang string, key long, trusted boolean, n long"))
+    size = each.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("trusted"), F.col("n"))).alias("good")).first()
+    shards = max(1, -(-(size["good"] or 0) // SHARD_ROWS))
+    blocks = max(1, -(-(size["all"] or 0) // (shards * BLOCK_ROWS)))
+    table = good.mapInPandas(lambda it: _counts(it, order, shards), "shard long, data binary").groupBy("shard")
+    table = store(table.applyInPandas(lambda f: _merge(f, order), "shard long, data binary, " + ", ".join(f"{c} long" for c in _TYPES)))
+    of = table.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _TYPES]).first()
+    top, low = (_discounts(*(of[f"{t}{k}"] for k in (1, 2, 3, 4))) for t in ("top", "low"))
+    asked = table.select("shard", "data").mapInPandas(lambda it: _ask(it, order, shards, top, low), "owner long, kind int, asker long, data binary")
+    told = asked.groupBy("owner", "kind").applyInPandas(_tell, "shard long, kind int, data binary, words long, first double")
+    told = store(told)
+    whole = told.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("first"), F.lit(0.0)).alias("first")).first()
+    model = (order, top, low, of["bigrams"], whole["words"])
+    right = told.select("shard", "kind", "data").unionByName(table.select("shard", F.lit(0).alias("kind"), "data"))
+    right = right.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     sent = d.select("key", "text", "trusted").mapInPandas(
-        lambda it: _send(it, shared.value, shards, blocks),
-        "shard long, block long, chunk long, docs binary, trusted binary, lengths binary, keys binary",
+        lambda it: _send(it, order, shards, blocks), "shard long, block long, chunk long, data binary"
     )
-    table = pairs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    gains = sent.groupBy("shard", "block").cogroup(table.groupBy("shard", "block")).applyInPandas(
-        lambda a, b: _answer(shared.value, a, b), "chunk long, docs binary, gains binary"
+    gains = sent.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(
+        lambda a, b: _answer(a, b, *model), "chunk long, docs binary, gains binary"
     )
     gains = gains.groupBy("chunk").applyInPandas(_sum_chunk, "key long, gain double")
     gains = gains.groupBy("key").agg(F.sum("gain").alias("gain"))
     copies = each.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))  # equal rows were summed up together
     gains = gains.join(copies, "key").select("key", (F.col("gain") / F.col("copies")).alias("gain"))
     out = each.join(gains, "key", "left")
-    any_trusted = F.lit(bool(len(top)))
-    score = F.when((F.col("n") > 0) & any_trusted, -(F.col("base") + F.coalesce("gain", F.lit(0.0))) / F.col("n"))
+    any_trusted = F.lit(bool(whole["words"]))
+    score = F.when((F.col("n") > 0) & any_trusted, -(F.lit(float(whole["first"])) + F.coalesce("gain", F.lit(0.0))) / F.col("n"))
     return out.select(F.col("id").alias("doc_id"), "lang", F.col("n").alias("n_words"), "trusted", score.alias("log_perplexity"))
 
 
@@ -291,7 +421,7 @@ def quality_model(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     threshold is null and documents with words are kept; documents without words are not. A null language is one of its
     own; repeated rows each get their row; other columns are ignored.
     """
-    p = store(perplexity(docs, trusted, id_col, text_col, lang_col))
+    p = store(perplexity(docs, trusted, id_col, text_col, lang_col, ORDER))
     slack = SPREAD / F.sqrt(F.greatest("n_words", F.lit(1)))
     good = p.filter("trusted and log_perplexity is not null").withColumn("over", F.col("log_perplexity") - slack)
     limits = good.groupBy(row_key("lang").alias("_k")).agg((F.percentile_approx("over", QUANTILE, 10_000) + MARGIN).alias("limit"))

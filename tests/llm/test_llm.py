@@ -413,6 +413,69 @@ def test_kneser_ney(spark, none):
     assert quality_model.quality_model(docs, trusted.limit(0)).filter("kept").count() == len(texts) - 2
 
 
+def test_kneser_ney_trigrams_in_shards(spark, none, monkeypatch):
+    """The classifier's trigram model, spread over many shards and blocks, against a plain computation."""
+    monkeypatch.setattr(quality_model, "SHARD_ROWS", 90)
+    monkeypatch.setattr(quality_model, "BLOCK_ROWS", 60)
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(12)]
+    texts = [" ".join(rng.choices(words, range(12, 0, -1), k=rng.randrange(1, 60))) for _ in range(30)] + [None, "", "zz yy w1 w2", "w1"]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(20)], "doc_id long")
+    got = {r.doc_id: r.log_perplexity for r in quality_model.perplexity(docs, trusted, order=3).collect()}
+
+    def trigrams(t):
+        w = ["<s>", "<s>", *t.split()]
+        return list(zip(w, w[1:], w[2:], strict=False))
+
+    top = Counter(x for t in texts[:20] for x in trigrams(t))
+    low = Counter(x[1:] for x in top)
+    left = Counter(w for _, w in low)
+
+    def discounts(c):
+        n = [sum(1 for v in c.values() if v == k) for k in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
+        raw = [k - (k + 1) * y * n[k] / max(n[k - 1], 1) for k in (1, 2, 3)]
+        return [0, *[min(max(x, 0.1), k - 0.1) for k, x in enumerate(raw, 1)]]
+
+    def contexts(c, d):
+        total, mass = Counter(), Counter()
+        for x, v in c.items():
+            total[x[:-1]] += v
+            mass[x[:-1]] += d[min(v, 3)]
+        return total, mass
+
+    d3, d2 = discounts(top), discounts(low)
+    (t3, m3), (t2, m2) = contexts(top, d3), contexts(low, d2)
+    kept = lambda n, d: max(n - d[min(n, 3)], 0) if n > 0 else 0
+
+    def log_p(x, own3, own2):
+        p1 = (left[x[2]] + 0.5) / (len(low) + 0.5 * (len(left) + 2))
+        c, rest = x[1:2], m2[x[1:2]] * p1
+        p = (kept(low[x[1:]] - own2, d2) + rest) / t2[c] if t2[c] else p1
+        whole = (kept(low[x[1:]], d2) + rest) / t2[c] if t2[c] else p1
+        if t3[x[:2]]:
+            p *= m3[x[:2]] / t3[x[:2]] * (1 + kept(top[x] - own3, d3) / (m3[x[:2]] * whole))
+        return np.log(p)
+
+    for i, t in enumerate(texts):
+        own3 = Counter(trigrams(t or "")) if i < 20 else Counter()
+        own2 = Counter(x[1:] for x in own3)
+        want = [-log_p(x, own3[x], own2[x[1:]]) for x in trigrams(t or "")]
+        assert got[i] == (pytest.approx(np.mean(want), rel=1e-9) if want else None)
+    assert quality_model.perplexity(none, trusted, order=3).count() == 0
+
+
+def test_every_trusted_word_counts(spark):
+    """A word seen once in trusted text with many other words is told from one that never occurs."""
+    words = [f"r{i}" for i in range(70_000)]
+    rows = [(k, " ".join(words[k::50])) for k in range(50)] + [(1000 + i, w) for i, w in enumerate(words[:2000])] + [(-1, "qqq")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(50)], "doc_id long")
+    got = {r.doc_id: r.log_perplexity for r in quality_model.perplexity(docs, trusted).collect()}
+    assert all(got[1000 + i] < got[-1] - 0.5 for i in range(2000))
+
+
 def test_pipeline_stages(spark, odd, none):
     import corpus_pipeline as p
 

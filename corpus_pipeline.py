@@ -30,10 +30,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate group (five-word shingles, similarity 0.8); of repeated rows one stays."""
-    key, rows = fresh(docs, "_key"), fresh(docs, "_rows")
-    kept = near_duplicates(docs).filter("kept").groupBy(row_key("doc_id").alias(key)).agg(F.count(F.lit(1)).alias(rows))
-    d = lookup(docs.withColumn(key, row_key("doc_id")), store(kept), key, "inner")
-    once, again = d.filter(F.col(rows) == 1), d.filter(F.col(rows) > 1).dropDuplicates(["doc_id", "text"])
+    key, rows, who = (fresh(docs, c) for c in ("_key", "_rows", "_who"))
+    d = docs.withColumn(key, row_key("doc_id", "text"))
+    # A row's own name, as ids may be null or repeated; of a group the smallest stays, rows with an id first.
+    named = d.withColumn(who, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(key).alias("key")))
+    kept = near_duplicates(named, id_col=who).filter("kept").groupBy(F.col("doc_id.key").alias(key)).agg(F.count(F.lit(1)).alias(rows))
+    d = lookup(d, store(kept), key, "inner")
+    once, again = d.filter(F.col(rows) == 1), d.filter(F.col(rows) > 1).dropDuplicates([key])
     return once.unionByName(again).select(*docs.columns)
 
 

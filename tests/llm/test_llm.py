@@ -495,6 +495,30 @@ def test_pipeline_stages(spark, odd, none):
     assert p.run(spark, SF).count() > 0 and p.pack_sequences(spark, none, SF).count() == 0
 
 
+def test_pipeline_keeps_one_of_each_group(spark):
+    """Verdicts hold for rows, also where ids are null or repeated."""
+    import corpus_pipeline as p
+
+    rng = random.Random(4)
+    new = lambda: [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    near = lambda t: " ".join([*t[:-1], f"x{rng.randrange(10**6)}"])
+    a, b, c, d, e = (new() for _ in range(5))
+    texts = {k: " ".join(v) for k, v in zip("abcde", (a, b, c, d, e), strict=True)}
+    rows = [
+        (None, texts["a"]),  # alone, with no id
+        (None, texts["b"]), (None, near(b)), (3, near(b)), (None, texts["b"]),  # the one with an id stays
+        (None, texts["c"]), (None, near(c)), (None, near(c)),  # one of those without ids
+        (7, texts["d"]), (5, near(d)), (7, texts["e"]), (7, texts["e"]),  # id 7 alone stays, once; near to 5 it goes
+        (9, near(a) + " " + " ".join(new())), (9, near(e)), (None, None), (None, None), (9, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = bag(tuple(r) for r in p.drop_near_duplicates(spark, docs, SF).collect())
+    only_c = [r for r in got if r[1] and r[1].startswith(c[0] + " ")]
+    assert len(only_c) == 1 and got[only_c[0]] == 1
+    del got[only_c[0]]
+    assert got == bag([rows[0], rows[3], rows[9], rows[10], rows[12], (None, None), (9, None)])
+
+
 def test_url_sql(spark):
     import duckdb
 

@@ -26,7 +26,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _AFTER = r"(?s)^.*?://(.*)$"
 # A link element that names the page's canonical address, and a refresh that names where it redirects.
 _CANONICAL = r"""(?i)<link\b(?=[^<>]*\brel\s*=\s*["']?canonical\b)[^<>]*?\bhref\s*=\s*["']?([^"'\s<>]+)"""
-_REFRESH = r"""(?i)<meta\b(?=[^<>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^<>]*?\burl\s*=\s*['"]?([^"'\s<>;]+)"""
+_REFRESH = r"""(?i)<meta\b(?=[^<>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^<>]*?\burl\s*=\s*['"]?([^"'\s<>;]+(?:(?<=&amp|&#38|&#x26);[^"'\s<>;]*)*)"""
+# Entities in the two, ``&`` last: what it makes is not decoded again.
+_ENTITIES = [(r"(?i)&(quot|#34|#x22);", '"'), (r"(?i)&(apos|#39|#x27);", "'"), (r"(?i)&(sol|#47|#x2f);", "/"), (r"(?i)&(amp|#38|#x26);", "&")]
 
 
 def host_of(url: Column) -> Column:
@@ -55,15 +57,29 @@ def alias_of(url: Column) -> Column:
 
 
 def _absolute(link: Column, url: Column) -> Column:
-    """A link as an address: absolute, scheme-relative or from the root; others lead nowhere (null)."""
-    origin = F.concat(F.lit("http://"), host_of(url))
+    """A link as an address: absolute, scheme-relative, from the root, or relative to the page's path or query.
+
+    Null for fragments, schemes without ``//`` and relative links of pages without a host.
+    """
+    origin, path = F.concat(F.lit("http://"), host_of(url)), path_of(url)
+    folder = F.when(path == "", "/").otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    whole = F.when(link.startswith("/"), link).otherwise(F.concat(folder, link))
     return (
-        F.when(F.instr(link, "://") > 0, link)
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), link)
         .when(link.startswith("//"), F.concat(F.lit("http:"), link))
-        .when(link.startswith("/") & (host_of(url) != ""), F.concat(origin, link))
+        .when(link.startswith("#") | link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:") | (host_of(url) == ""), F.lit(None))
+        .when(link.startswith("?"), F.concat(origin, path, link))
+        .otherwise(F.concat(origin, _folded(F.regexp_extract(whole, r"^[^?#]*", 0)), F.regexp_extract(whole, r"^[^?#]*(.*)$", 1)))
     )
 
 
+def _folded(path: Column) -> Column:
+    """A path from the root without ``.`` and ``..``."""
+    up = lambda a: F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(1)))
+    step = lambda a, x: F.when(x == ".", a).when(x == "..", up(a)).otherwise(F.concat(a, F.array(x)))
+    return F.array_join(F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step), "/")
+
+
 def _rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
     """Longest fitting rule and its verdict; of equally long ones an allowing one."""
     order = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[0]))
@@ -78,7 +94,7 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     """``page_id, host, path, rule, verdict, component_rule`` for every page.
 
     A page with a fitting rule keeps that rule's verdict. Any other takes it from its redirect class: pages with the
-    same alias address, and addresses joined by canonical links and refreshes, over any number of steps. If a page of
+    same alias address, and addresses joined by all their canonical links and refreshes, over any number of steps. If a page of
     the class is allowed by a rule the class is allowed, else blocked if one is blocked, else allowed. ``rules`` is a
     short list (expressions of the plan). Null urls have empty host and path, belong to no class and are allowed unless
     a rule fits; null html has no links; repeated rows each get their row; other columns are ignored.
@@ -87,7 +103,8 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
     d = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     host, path = host_of(u), path_of(u)
     rule, verdict = _rule(F.col("host"), F.col("path"), rules)
-    links = F.filter(F.array(F.regexp_extract("html", _CANONICAL, 1), F.regexp_extract("html", _REFRESH, 1)), lambda x: x != "")
+    links = F.concat(*[F.regexp_extract_all("html", F.lit(p), 1) for p in (_CANONICAL, _REFRESH)])
+    links = F.transform(links, lambda x: reduce(lambda c, e: F.regexp_replace(c, *e), _ENTITIES, x))
     d = d.select("page_id", host.alias("host"), path.alias("path"), alias_of(u).alias("alias"),
                  F.transform(F.coalesce(links, F.array().cast("array<string>")), lambda x: alias_of(_absolute(x, u))).alias("to"))
     d = store(d.withColumns({"rule": rule, "own": verdict, "node": F.when(F.col("alias").isNotNull(), F.xxhash64("alias"))}).drop("alias"))

@@ -248,6 +248,27 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(pages).count() == len(rows) and url_filter.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_url_filter_resolves_links(spark):
+    """Relative links, entities and every link of a page, not the first alone."""
+    canon, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0;url={}">'
+    bad = "http://x.com/de/{}"
+    pairs = [  # page, its html, the blocked page whose decision it takes
+        ("http://x.com/a/p1", refresh.format("../de/1"), bad.format(1)), ("http://x.com/de2", canon.format("de/2"), bad.format(2)),
+        ("http://x.com/a/b/p3", canon.format("./.././../de/./3"), bad.format(3)), ("http://x.com", refresh.format("de/4"), bad.format(4)),
+        ("http://x.com/a/p5?q=1", canon.format("/a/../de/5"), bad.format(5)), ("http://x.com/p6", canon.format("../../de/6?k=a/../b"), bad.format("6?k=a/../b")),
+        ("http://x.com/p7", canon.format("/de/7?a=1&amp;b=2"), bad.format("7?a=1&b=2")),
+        ("http://x.com/p8", refresh.format("/de/8?a=1&amp;b=2&#38;c=3"), bad.format("8?a=1&b=2&c=3")),
+        ("http://x.com/p9", canon.format("http://y.com/") + canon.format(bad.format(9)), bad.format(9)),
+        ("http://x.com/p10", refresh.format("/y") + refresh.format("/de/10"), bad.format(10)),
+        ("http://x.com/p11?next=http://z.com/", canon.format("de/11?next=http://z.com/"), bad.format("11?next=http://z.com/")),
+        ("http://x.com/p12/?p=1", refresh.format("?p=2"), None), ("http://x.com/p12/?p=2", canon.format("../de/12"), bad.format(12)),
+    ]
+    rows = [(i, u, h) for i, (u, h, _) in enumerate(pairs)] + [(100 + i, b, None) for i, (_, _, b) in enumerate(pairs) if b]
+    rows += [(200, "http://x.com/q/1", canon.format("mailto:a@b.c") + canon.format("#de") + canon.format("x.html")), (201, "nowhere", canon.format("de/1"))]
+    got = {r.page_id: r.verdict for r in url_filter.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(v == ("allow" if i in (200, 201) else "block") for i, v in got.items()), got
+
+
 def test_source_mixing(spark, odd, none):
     docs = odd.unionByName(spark.read.parquet(f"{SF}/documents.parquet"), allowMissingColumns=True)
     size = Counter()

@@ -178,7 +178,7 @@ def penalised_segmentation(spark, sf):
 
 @query("optimal_partition")
 def optimal_partition(spark, sf):
-    return cp.optimal_partition(daily_signal(spark, sf), ["sensor"], penalty=5.0, min_size=3)
+    return cp.optimal_partition(signal(spark, sf), ["sensor"], penalty=5.0, min_size=3)
 
 
 @query(

@@ -7,6 +7,8 @@ table of cuts passes between rounds.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -169,44 +171,101 @@ def window_discrepancy(
     return peaks
 
 
+#: Positions of a series that one task searches before it passes on what is still open.
+RANGE_ROWS = 200_000
+
+
+class _Search:
+    """Optimal mean-shift partition, position by position; only starts that can still win are held.
+
+    A start that loses to position ``e`` can win until a segment from ``e`` is long enough.
+    """
+
+    def __init__(self, penalty: float, size: int):
+        self.penalty, self.size, self.e = penalty, size, 0
+        self.open = np.array([[0.0], [-penalty], [0.0], [0.0], [np.inf]])  # start, cost, sums below it, end of its life
+        self.wait: list[tuple] = []  # starts too near for a segment
+
+    def advance(self, t1: np.ndarray, t2: np.ndarray) -> np.ndarray:
+        """Best last start of each further position, given the sums of the series up to it."""
+        prev = np.zeros(len(t1), np.int64)
+        for j, (a, b) in enumerate(zip(t1.tolist(), t2.tolist(), strict=True)):
+            self.e = e = self.e + 1
+            if e < self.size:
+                continue
+            ready = [w for w in self.wait if w[0] <= e - self.size]
+            if ready:
+                self.open = np.concatenate([self.open, np.array(ready).T], axis=1)
+                self.wait = self.wait[len(ready) :]
+            if (self.open[4] <= e).any():
+                self.open = self.open[:, self.open[4] > e]
+            at, cost, s1, s2, life = self.open
+            total = cost + (b - s2) - (a - s1) ** 2 / (e - at) + self.penalty
+            k = int(np.argmin(total))
+            prev[j] = at[k]
+            lost = total > total[k] + self.penalty
+            life[lost] = np.minimum(life[lost], e + self.size)
+            self.wait.append((float(e), float(total[k]), a, b, np.inf))
+        return prev
+
+
 def _pelt(x: np.ndarray, penalty: float, min_size: int) -> list[int]:
-    """Optimal mean-shift partition with pruning of starts that can never win again."""
-    n = len(x)
-    s1 = np.concatenate([[0.0], np.cumsum(x - x.mean())])
-    s2 = np.concatenate([[0.0], np.cumsum((x - x.mean()) ** 2)])
-    best = np.full(n + 1, np.inf)
-    best[0] = -penalty
-    prev = np.zeros(n + 1, dtype=int)
-    starts = np.array([0])
-    for e in range(min_size, n + 1):
-        m = e - starts
-        cost = (s2[e] - s2[starts]) - (s1[e] - s1[starts]) ** 2 / m
-        total = best[starts] + cost + penalty
-        k = int(np.argmin(total))
-        best[e], prev[e] = total[k], starts[k]
-        keep = total <= best[e] + penalty
-        nxt = e + 1 - min_size
-        starts = starts[keep]
-        if nxt >= min_size and np.isfinite(best[nxt]):
-            starts = np.append(starts, nxt)
-    cuts, e = [], n
-    while e > 0 and prev[e] > 0:
-        e = int(prev[e])
+    """Optimal mean-shift partition of a short series."""
+    c = x - x.mean()
+    prev = _Search(penalty, min_size).advance(np.cumsum(c), np.cumsum(c * c))
+    cuts, e = [], len(x)
+    while e > 0 and prev[e - 1] > 0:
+        e = int(prev[e - 1])
         cuts.append(e)
     return cuts[::-1]
 
 
 def optimal_partition(signal: DataFrame, keys: list[str], penalty: float = 10.0, min_size: int = 2) -> DataFrame:
-    """Penalised optimum over all partitions; series run in parallel, each a signal of one point a day or so."""
-    fields = [signal.schema[k] for k in keys]
+    """Penalised optimum over all partitions of each whole series.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    Prefix sums are a table. A task searches ``RANGE_ROWS`` positions of a series and passes its open starts with their
+    costs to the next range; then the best starts are followed back, range by range. Series run in parallel, the ranges
+    of one series in turn.
+    """
+    fields = [signal.schema[k] for k in keys]
+    rows = _with_sums(signal, keys).withColumn("_r", F.floor(F.col("i") / RANGE_ROWS).cast("bigint"))
+    rows = cut_lineage(rows.select(*keys, "i", "step", "n", "_r", (F.col("s1") + F.col("c")).alias("t1"), (F.col("s2") + F.col("c") * F.col("c")).alias("t2")))
+    last = rows.agg(F.max("_r")).first()[0]
+    kind = T.StructType([*fields, *[T.StructField(c, T.LongType()) for c in ("e", "prev")], T.StructField("state", T.BinaryType())])
+    empty = signal.sparkSession.createDataFrame([], kind)
+
+    def forth(pdf: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return state.iloc[:0]
         pdf = pdf.sort_values("i")
-        size = max(2, int(min_size // pdf["step"].iloc[0]))
-        cuts = _pelt(pdf["x"].to_numpy(dtype=float), penalty, size) if len(pdf) >= 2 * size else []
-        return pdf.iloc[[0] * len(cuts)][keys].assign(k=np.array(cuts, dtype="int64"))
-
-    return signal.groupBy(*keys).applyInPandas(run, T.StructType([*fields, T.StructField("k", T.LongType())]))
+        search = pickle.loads(state["state"].iloc[0]) if len(state) else _Search(penalty, max(2, int(min_size // pdf["step"].iloc[0])))
+        prev = search.advance(pdf["t1"].to_numpy(), pdf["t2"].to_numpy())
+        out = pdf[keys].assign(e=pdf["i"].to_numpy() + 1, prev=prev, state=None)
+        more = pdf.iloc[[0]][keys].assign(e=-1, prev=-1, state=pickle.dumps(search)) if pdf["i"].iloc[-1] + 1 < pdf["n"].iloc[0] else out.iloc[:0]
+        return pd.concat([out, more]) if len(more) else out
+
+    def back(pdf: pd.DataFrame, at: pd.DataFrame) -> pd.DataFrame:
+        # prev is 0 for a place to go on from, 1 for a cut.
+        one = pdf if len(pdf) else at
+        e = int(at["e"].iloc[0]) if len(at) else int(pdf["e"].max())
+        prev, cuts = dict(zip(pdf["e"], pdf["prev"], strict=True)), []
+        while e in prev:
+            e = int(prev[e])
+            cuts += [e] if e > 0 else []
+        ks = [*cuts, e]
+        return one.iloc[[0] * len(ks)][keys].assign(e=ks, prev=[1] * len(cuts) + [0], state=None)
+
+    pointers, state = [], empty
+    for r in range(-1 if last is None else last + 1):
+        part = rows.filter(F.col("_r") == r).groupBy(*keys).cogroup(state.groupBy(*keys)).applyInPandas(forth, kind)
+        part = cut_lineage(part)
+        pointers.append(part.filter("e > 0"))
+        state = part.filter("e < 0")
+    found, at = empty, empty
+    for part in reversed(pointers):
+        step = cut_lineage(part.groupBy(*keys).cogroup(at.groupBy(*keys)).applyInPandas(back, kind))
+        found, at = found.unionByName(step.filter("prev = 1")), step.filter("prev = 0")
+    return found.select(*keys, F.col("e").alias("k"))
 
 
 def segment_table(signal: DataFrame, keys: list[str], breaks: DataFrame) -> DataFrame:

@@ -345,3 +345,22 @@ def test_number_rows(spark, split, request):
     p = number_rows(d.repartition(7), [F.col("v")], "n").toPandas()
     assert (p["n"] == p["v"] + 1).all()
     assert not math.isnan(pd.to_numeric(p["n"]).sum())
+
+
+def test_optimal_partition_over_ranges(spark, monkeypatch):
+    """Series longer than a range, and a whole series of readings, against brute force."""
+    monkeypatch.setattr(changepoints, "RANGE_ROWS", 17)
+    rng = np.random.default_rng(8)
+    series = {"a": rng.normal(size=90), "b": rng.normal(size=40) + np.repeat([0, 9], 20), None: rng.normal(size=2), "d": rng.normal(size=34)}
+    rows = [(s, i, float(i), float(v), 1) for s, x in series.items() for i, v in enumerate(x)]
+    signal = spark.createDataFrame(rows, "s string, i long, at double, x double, step long")
+    got = changepoints.optimal_partition(signal, ["s"], 3.0, 4).collect()
+    for s, x in series.items():
+        assert sorted(r["k"] for r in got if r["s"] == s) == (brute_partition(x, 3.0, 4) if len(x) >= 8 else []), s
+
+
+def test_optimal_partition_query_searches_readings(spark):
+    """Breaks lie inside days: positions are readings, not the thirty daily means."""
+    from respira.catalog.series_stats import optimal_partition
+
+    assert optimal_partition(spark, "/root/testdata/sf0.001").agg({"k": "max"}).first()[0] > 31

@@ -364,3 +364,15 @@ def test_optimal_partition_query_searches_readings(spark):
     from respira.catalog.series_stats import optimal_partition
 
     assert optimal_partition(spark, "/root/testdata/sf0.001").agg({"k": "max"}).first()[0] > 31
+
+
+def test_logger_with_given_names_line(spark, tmp_path):
+    from respira.sources.logger import read_logger
+
+    names = '"TIMESTAMP","RECORD","CO2"'
+    (tmp_path / "a.dat").write_text(f'"TOA5","x"\n{names}\n"TS","RN","ppm"\n"","","Avg"\n"2024-01-01 00:00:00",1,400.5\n"2024-01-01 00:00:30",2,"NAN"\n')
+    given, found = (read_logger(spark, str(tmp_path), names_line=n) for n in (names, None))
+    assert given.columns == ["TIMESTAMP", "RECORD", "CO2", "_file"]
+    got = [tuple(r) for r in given.orderBy("RECORD").collect()]
+    assert [r[1:3] for r in got] == [(1.0, 400.5), (2.0, None)]
+    assert got == [tuple(r) for r in found.select(*given.columns).orderBy("RECORD").collect()]

@@ -101,18 +101,18 @@ def _power(n: int) -> np.ndarray:
 
 
 class Words:
-    """Words of several texts, parted by ASCII white space, with 64-bit hashes.
+    """Words of several texts, parted by ``gap`` bytes (ASCII white space), with 64-bit hashes.
 
     ``doc`` is the text's number of each word, ``first`` the number of each text's first word (one more at the end).
     """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], gap: np.ndarray = SPACE):
         self.n_docs = len(texts)
         data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
         self.data = data
         lens = np.fromiter(map(len, texts), np.int64, len(texts))
         self.at = np.concatenate([[0], np.cumsum(lens + 1)])
-        self.space = SPACE[data]
+        self.space = gap[data]
         inside = ~self.space
         edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)

@@ -16,6 +16,9 @@ QUERIES = {
     "op8_quality_model": "quality_model",
     "op9_packing": "packing",
     "op10_quality_rules": "quality_rules",
+    "op11_merkle_manifest": "merkle_manifest",
+    "op12_ngram_join": "ngram_join",
+    "op13_collocations": "collocations",
 }
 
 

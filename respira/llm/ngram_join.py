@@ -10,6 +10,7 @@ bound on the symmetric difference that 1024 parity bits give. Whatever is left i
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections import OrderedDict
 from collections.abc import Iterator
@@ -122,22 +123,22 @@ class Join:
         return d
 
     def keys(self, nodes: DataFrame) -> DataFrame:
-        """``key, node`` for keys with two members or more: rare tokens, and pairs of frequent ones."""
+        """``key, node, size`` for keys with two members or more: rare tokens, and pairs of frequent ones."""
         tokens = nodes.select("node", F.explode("tokens").alias("h"))
         held = store(tokens.groupBy("h").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
         tokens = store(lookup(tokens, held, "h", "inner"))
-        rare = tokens.filter(F.col("size") <= RARE).select(F.col("h").alias("key"), "node")
+        rare = tokens.filter(F.col("size") <= RARE).select(F.col("h").alias("key"), "node", "size")
         frequent = tokens.filter(F.col("size") > RARE).groupBy("node").agg(F.sort_array(F.collect_list("h")).alias("f"))
         first = frequent.select("node", "f", F.posexplode("f").alias("i", "x"))
         both = first.select("node", "x", F.explode(F.slice("f", F.col("i") + 2, F.size("f"))).alias("y"))
         both = both.select(F.xxhash64("x", "y").alias("key"), "node")
-        several = store(both.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key"))
-        return store(rare.unionByName(lookup(both, several, "key", "left_semi")))
+        several = store(both.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
+        return store(rare.unionByName(lookup(both, several, "key", "inner")))
 
-    def possible(self, a: str, b: str) -> Column:
-        """Whether sizes and parity bits leave the threshold possible for two structs ``n, bits``."""
+    def possible(self, a: str, b: str, words: int) -> Column:
+        """Whether sizes and parity bits (so many words of them) leave the threshold possible for two structs ``n, bits``."""
         n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-        differ = sum(F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(PARITY))
+        differ = sum(F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(words))
         sizes = 100 * F.least(n, m) >= self.percent * F.greatest(n, m)
         return sizes & (differ * (100 + self.percent) <= (n + m) * (100 - self.percent))
 
@@ -145,7 +146,7 @@ class Join:
         """Distinct pairs ``a, b`` that are still possible."""
         info = nodes.select("node", F.struct("n", "bits").alias("i"))
         d = pairs.distinct().join(info.toDF("a", "ia"), "a").join(info.toDF("b", "ib"), "b")
-        return store(d.filter(self.possible("ia", "ib")).select("a", "b"))
+        return store(d.filter(self.possible("ia", "ib", PARITY)).select("a", "b"))
 
     def verified(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """Pairs whose full sets are similar enough."""
@@ -185,27 +186,33 @@ class Join:
         d = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
         return store(d.select("a", "b", _apply(check, "boolean", "a", "ta", "b", "tb").alias("ok")).filter("ok").select("a", "b"))
 
-    def hub_pairs(self, keys: DataFrame) -> DataFrame:
-        """Every member of a key with the key's hub, the member that shares its keys with most."""
-        sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-        sized = store(keys.join(sizes, "key"))
-        degree = sized.groupBy("node").agg(F.sum("size").alias("degree"))
-        hubs = sized.join(degree, "node").groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
-        d = sized.join(hubs, "key").filter("node <> hub")
-        return d.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-
-    def far_pairs(self, keys: DataFrame, comp: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Possible pairs of different components under one key; a key of many members is dealt over several rows."""
-        m = self.label(keys, comp)
-        open_ = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
-        open_ = open_.filter("lo < hi").select("key", F.ceil(F.col("size") / MEET).cast("int").alias("ways"))
-        info = nodes.select("node", F.struct("n", "bits").alias("i"))
-        m = store(m.join(open_, "key").join(info, "node"))
+    @staticmethod
+    def members(keys: DataFrame) -> DataFrame:
+        """``key, node, size, hub``: members of each key but its hub, the one that shares its keys with most."""
+        degree = keys.groupBy("node").agg(F.sum("size").alias("degree"))
+        hubs = keys.join(degree, "node").groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
+        return store(keys.join(hubs, "key").filter("node <> hub"))
+
+    def far_pairs(self, members: DataFrame, comp: DataFrame, nodes: DataFrame) -> DataFrame:
+        """Possible pairs of different components under one key, hubs aside; a key of many members is dealt over rows.
+
+        The parity bits travel folded to a quarter of their places, which bound the difference as well; survivors are
+        held against the full bits.
+        """
+        m = self.label(members.filter("size > 2").select("key", "node", "size"), comp)
+        open_ = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+        quarter = PARITY // 4
+        folded = F.array(*[functools.reduce(Column.bitwiseXOR, [F.col("bits")[i + j] for j in range(0, PARITY, quarter)]) for i in range(quarter)])
+        m = m.join(open_, "key", "left_semi").join(nodes.select("node", "n", folded.alias("bits")), "node")
+        m = store(m.withColumn("ways", F.ceil(F.col("size") / MEET).cast("int")))
         left = m.withColumn("way", F.pmod(F.xxhash64("node"), F.col("ways")).cast("int"))
         right = m.withColumn("way", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)))
-        x, y = (d.select("key", "way", *[F.col(c).alias(f"{c}{s}") for c in ("node", "comp", "i")]) for d, s in ((left, "x"), (right, "y")))
-        d = x.join(y, ["key", "way"]).filter("nodex < nodey and compx <> compy").filter(self.possible("ix", "iy"))
-        return store(d.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")).distinct())
+        x, y = (
+            d.select("key", "way", F.col("node").alias(f"node{s}"), F.col("comp").alias(f"comp{s}"), F.struct("n", "bits").alias(f"i{s}"))
+            for d, s in ((left, "x"), (right, "y"))
+        )
+        d = x.join(y, ["key", "way"]).filter("nodex < nodey and compx <> compy").filter(self.possible("ix", "iy", quarter))
+        return self.filtered(d.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")), nodes)
 
     @staticmethod
     def label(rows: DataFrame, comp: DataFrame) -> DataFrame:
@@ -215,10 +222,11 @@ class Join:
         d = self.sketch()
         one = [F.first(c).alias(c) for c in ("n", "bits", "tokens")]
         nodes = store(d.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"), F.min("fetch").alias("fetch"), *one))
-        keys = self.keys(nodes)
-        links = self.verified(self.filtered(self.hub_pairs(keys), nodes), nodes)
+        members = self.members(self.keys(nodes))
+        hub_pairs = members.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+        links = self.verified(self.filtered(hub_pairs, nodes), nodes)
         comp = store(components(links))
-        far = self.far_pairs(keys, comp, nodes)
+        far = self.far_pairs(members, comp, nodes)
         if not far.isEmpty():
             links = store(links.union(self.verified(far, nodes)))
             comp = store(components(links))

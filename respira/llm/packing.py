@@ -149,13 +149,12 @@ def _pack(frames: Iterator[pd.DataFrame], path: str, capacity: int) -> Iterator[
     tok, bins = _tokenizer(path), Bins(TaskContext.get().partitionId() << 40, capacity)
     names = ["doc_id", *[c.split()[0] for c in SCHEMA.split(", ")]]
     end = np.array([END_ID], "<u4").tobytes()
-    frame = lambda rows: pd.DataFrame(rows, columns=names).astype({"doc_id": object})
+    frame = lambda rows: pd.DataFrame(rows, columns=names)
     for f in frames:
         for a in range(0, len(f), 256):
             part, out = f.iloc[a : a + 256], []
             texts = [t.encode() if isinstance(t, str) else b"" for t in part["text"]]
-            keys = [None if k is None or k != k else k for k in part["doc_id"]]
-            for key, ids in zip(keys, tok.encode(texts), strict=True):
+            for key, ids in zip(part["doc_id"], tok.encode(texts), strict=True):
                 ids += end
                 n, start = len(ids) // 4, 0
                 for length in cut_lengths(n, capacity):
@@ -178,9 +177,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     other columns are ignored.
     """
     path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
-    key = docs.schema[id_col].dataType.simpleString()
-    d = bounded_batches(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return d.mapInPandas(lambda it: _pack(it, path, capacity), f"doc_id {key}, {SCHEMA}")
+    # Ids travel as text: next to a null pandas would keep large integers as rounded floats.
+    d = bounded_batches(docs).select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    d = d.mapInPandas(lambda it: _pack(it, path, capacity), f"doc_id string, {SCHEMA}")
+    return d.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 
 def digests(packed: DataFrame) -> DataFrame:

@@ -374,15 +374,12 @@ def perplexity(
     d = lookup(d.withColumn("key", row_key("id", "text")), ids, "id").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
     good = d.filter("trusted").select("text")
 
-    def alone(it):
-        for f in it:
-            n = np.zeros(len(f), np.int64)
-            for begin, part in chunks(f["text"], lower=True):
-                n[begin : begin + len(part)] = Words(part).count
-            yield f[["id", "lang", "key", "trusted"]].assign(n=n)
-
-    key_type = docs.schema[id_col].dataType.simpleString()
-    each = store(d.mapInPandas(alone, f"id {key_type}, lang string, key long, trusted boolean, n long"))
+    def n_words(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in it:
+            yield pd.Series([n for _, part in chunks(texts, lower=True) for n in Words(part).count.tolist()], dtype="int64")
+
+    n_words.__annotations__ = {"it": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    each = store(d.select("id", "lang", "key", "trusted", F.pandas_udf(n_words, "long")("text").alias("n")))
     size = each.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("trusted"), F.col("n"))).alias("good")).first()
     shards = max(1, -(-(size["good"] or 0) // SHARD_ROWS))
     blocks = max(1, -(-(size["all"] or 0) // (shards * BLOCK_ROWS)))

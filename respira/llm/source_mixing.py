@@ -121,9 +121,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.select("src", "id", "size", F.col("copy").cast("long"), F.lit(0.0).alias("whole") + whole, (F.col("q") - whole).alias("p"))
     rows = rows.withColumn("order", F.xxhash64("id", "size", "copy", F.lit(SEED)))
     rows = rows.withColumn("p", F.when(F.col("size") == 0, 0.0).when(F.col("p") < _EPS, 0.0).otherwise(F.col("p")))
-    base = store(rows)
-    kind = dict(base.dtypes)["id"]
-    schema = f"src long, id {kind}, size long, copy long, order long, p double"
+    # Ids travel as text: next to a null pandas would keep large integers as rounded floats.
+    kind = rows.schema["id"].dataType
+    base = store(rows.withColumn("id", F.col("id").cast("string")))
+    schema = "src long, id string, size long, copy long, order long, p double"
     done: list[DataFrame] = [base.filter("p = 0").select("src", "id", "size", "copy", "p")]
     open_, level = base.filter("p > 0").select("src", "id", "size", "copy", "order", "p"), 0
     while True:
@@ -143,7 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     out = lookup(out, store(info), "src")
     times = F.when(F.col("size") == 0, 0).otherwise(F.floor("q") + F.col("p")).cast("long")
     return out.withColumn("times", times).select(
-        F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "times",
+        F.col("id").cast(kind).alias("doc_id"), "source", "size", "source_size", "target", "times",
         (F.col("times") * F.col("size")).alias("taken"),
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from respira.functions.grading import status_at_least, status_in_range
 from respira.functions.numeric import clip
 from respira.functions.special import correlation_p_value
+from respira.operators.curve_fit import Parameter, fit_curve
 from respira.plans.quantiles import exact_quantiles
 from respira.plans.series import join_few, null_safe_join
 from respira.plans.sizing import cut_lineage
@@ -36,108 +37,46 @@ SETTINGS = {
     "Amax_max": 50.0,
     "Rd_max": 15.0,
 }
-_GRID = 21
-# Saturating term of the response for grid offset o, and the sums the linear part needs.
-_LIGHT_TERM = "1 - 1 / (1 + exp(_c + ({o}) * _w) * _p)"
-_LIGHT_SUMS = "named_struct('u', sum({u}), 'uu', sum({u} * {u}), 'uy', sum({u} * _y))"
-_PASSES = 5
 
 
-def _box_fit(d: DataFrame, cfg: dict) -> DataFrame:
-    """Add ``_b``: the best (rss, lk, a, r) of ``y = a * u - r`` inside its box, from the sums in the row.
-
-    The optimum of a quadratic over a box is the free one if inside, else the best point of an edge.
-    """
-    n, y, yy, u, uu, uy = (F.col(c) for c in ("_n", "_sy", "_syy", "u", "uu", "uy"))
-    a_max, r_max, zero = F.col("_am"), F.lit(cfg["Rd_max"]), F.lit(0.0)
-
-    def best_a(r: Column) -> Column:
-        return F.least(F.greatest(F.coalesce(F.try_divide(uy + r * u, uu), zero), zero), a_max)
-
-    def best_r(a: Column) -> Column:
-        return F.least(F.greatest((a * u - y) / n, zero), r_max)
-
-    d = d.withColumn("_am", F.least(F.lit(cfg["Amax_max"]), F.try_divide(F.lit(cfg["alpha_max"]), F.exp("lk"))))
-    d = d.withColumn("_fa", F.try_divide(n * uy - u * y, n * uu - u * u))
-    d = d.withColumn("_fr", (F.col("_fa") * u - y) / n)
-    spots = {"0": (best_a(zero), zero), "1": (best_a(r_max), r_max), "2": (zero, best_r(zero)), "3": (a_max, best_r(a_max))}
-    d = d.withColumns({f"_a{k}": a for k, (a, _) in spots.items()} | {f"_r{k}": r for k, (_, r) in spots.items()})
-
-    def point(a: Column, r: Column) -> Column:
-        rss = yy - 2 * a * uy + 2 * r * y + a * a * uu - 2 * a * r * u + r * r * n
-        return F.struct(rss.alias("rss"), F.col("lk"), a.alias("a"), r.alias("r"))
-
-    fa, fr = F.col("_fa"), F.col("_fr")
-    inside = (fa >= 0) & (fa <= a_max) & (fr >= 0) & (fr <= r_max)
-    edges = F.least(*[point(F.col(f"_a{k}"), F.col(f"_r{k}")) for k in spots])
-    return d.withColumn("_b", F.when(inside, point(fa, fr)).otherwise(edges))
+# Where the search for alpha, Amax and Rd starts.
+LIGHT_START = (0.04, 12.0, 2.0)
 
 
 def light_response(cycles: DataFrame, chamber: str, flux: str, radiation: str, day: str, cfg: dict = SETTINGS) -> DataFrame:
     """Rectangular hyperbola ``alpha I Amax / (alpha I + Amax) - Rd`` per chamber, by least squares within bounds.
 
-    For a fixed ratio k = alpha / Amax the model is linear in Amax and Rd, so only k is searched: each pass evaluates a
-    grid of k for all chambers in one aggregation and the next pass narrows it. Uptake counts positive.
+    Uptake counts positive. A chamber with too few points or too little spread of light is not fitted.
     """
     d = cycles.filter(F.col(day) & F.col(flux).isNotNull() & (F.col(radiation) >= 0))
     d = d.select(chamber, (F.col(radiation) * cfg["rad_to_par"]).alias("_p"), (-F.col(flux)).alias("_y"))
-    d = cut_lineage(d)  # read by the gate, every pass and the errors
+    d = cut_lineage(d)  # read by the gate and every round
     q = exact_quantiles(d, [chamber], "_p", {"_q1": 0.25, "_q3": 0.75})
     all_chambers = cycles.select(chamber).filter(F.col(chamber).isNotNull()).distinct()
     gate = null_safe_join(all_chambers, q, [chamber]).withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
-    gate = gate.select(chamber, "n", (F.col("_q3") - F.col("_q1")).alias("par_iqr"))
+    gate = cut_lineage(gate.select(chamber, "n", (F.col("_q3") - F.col("_q1")).alias("par_iqr")))
     fit_ok = (F.col("n") >= cfg["light_min_n"]) & (F.col("par_iqr") >= cfg["light_par_iqr_min"])
-    center = gate.filter(fit_ok).select(chamber, F.lit(-6.9).alias("_c"), F.lit(6.9 / (_GRID // 2)).alias("_w"))
-    # Grid centre and step are columns, so all passes share one compiled aggregation.
-    for _ in range(_PASSES):
-        j = join_few(d, center, [chamber], "inner")
-        j = j.select("*", *[F.expr(_LIGHT_TERM.format(o=i - _GRID // 2)).alias(f"u{i}") for i in range(_GRID)])
-        sums = ", ".join(_LIGHT_SUMS.format(u=f"u{i}") for i in range(_GRID))
-        g = j.groupBy(chamber, "_c", "_w").agg(
-            F.count(F.lit(1)).cast("double").alias("_n"),
-            F.sum("_y").alias("_sy"),
-            F.sum(F.col("_y") * F.col("_y")).alias("_syy"),
-            F.expr(f"array({sums})").alias("_s"),
-        )
-        spread = g.select(chamber, "_c", "_w", "_n", "_sy", "_syy", F.posexplode("_s").alias("_i", "_u"))
-        spread = spread.withColumn("lk", F.col("_c") + (F.col("_i") - _GRID // 2) * F.col("_w")).select("*", "_u.*")
-        best = _box_fit(spread, cfg).groupBy(chamber, "_w", "_n", "_sy", "_syy").agg(F.min("_b").alias("_b"))
-        fitted = cut_lineage(best.select(chamber, "_w", "_b", "_n", "_sy", "_syy"))
-        center = fitted.select(chamber, F.col("_b.lk").alias("_c"), (F.col("_w") / (_GRID // 2)).alias("_w"))
-    a, r, k = F.col("_b.a"), F.col("_b.r"), F.exp("_b.lk")
-    fitted = fitted.select(
-        chamber, (k * a).alias("alpha"), a.alias("Amax"), r.alias("Rd"), F.col("_b.rss").alias("_rss"),
-        (1 - F.try_divide(F.col("_b.rss"), F.col("_syy") - F.col("_sy") * F.col("_sy") / F.col("_n"))).alias("r2"),
-    )
-    fitted = null_safe_join(fitted, _light_errors(d, fitted, chamber), [chamber])
+    light, p = join_few(d, gate.filter(fit_ok).select(chamber), [chamber], "left_semi"), F.col("_p")
+
+    def uptake(alpha: Column, a_max: Column, rd: Column) -> Column:
+        return F.coalesce(F.try_divide(alpha * p * a_max, alpha * p + a_max), F.lit(0.0)) - rd
+
+    def slopes(alpha: Column, a_max: Column, rd: Column) -> list[Column]:
+        low = alpha * p + a_max
+        part = F.coalesce(F.try_divide(alpha * p, low), F.lit(0.0))
+        rest = F.coalesce(F.try_divide(a_max, low), F.lit(0.0))
+        return [p * rest * rest, part * part, F.lit(-1.0)]
+
+    names = (("alpha", "alpha_max"), ("Amax", "Amax_max"), ("Rd", "Rd_max"))
+    wanted = [Parameter(c, start, 0.0, cfg[most]) for (c, most), start in zip(names, LIGHT_START, strict=True)]
+    fitted = fit_curve(light, [chamber], "_y", uptake, slopes, wanted).drop("n", "rss", "converged", "Rd_se")
     out = null_safe_join(gate, fitted, [chamber])
     out = out.withColumn("Amax_status", status_in_range(F.col("Amax"), *cfg["Amax_range"]))
     out = out.withColumn("alpha_status", status_in_range(F.col("alpha"), *cfg["alpha_range"]))
     good = (F.col("Amax_status") == "PASS") & (F.col("alpha_status") == "PASS") & (F.col("Rd") > 0)
     bad = (F.col("Amax_status") == "FAIL") | (F.col("alpha_status") == "FAIL")
     status = F.when(F.col("Amax").isNull(), "N/A").when(good, "PASS").when(bad, "FAIL").otherwise("BORDERLINE")
-    return out.withColumn("status", status).drop("_rss")
-
-
-def _light_errors(d: DataFrame, fitted: DataFrame, chamber: str) -> DataFrame:
-    """Standard errors of alpha and Amax from the Jacobian at the solution."""
-    j = null_safe_join(d, fitted.select(chamber, "alpha", "Amax", "_rss"), [chamber], "inner")
-    low = F.col("alpha") * F.col("_p") + F.col("Amax")
-    ga = F.try_divide(F.col("_p") * F.col("Amax") * F.col("Amax"), low * low)
-    gm = F.try_divide(F.col("alpha") * F.col("_p") * F.col("alpha") * F.col("_p"), low * low)
-    g = j.groupBy(chamber).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.first("_rss").alias("rss"), F.sum(ga * ga).alias("aa"),
-        F.sum(gm * gm).alias("mm"), F.sum(ga * gm).alias("am"), F.sum(-ga).alias("ar"), F.sum(-gm).alias("mr"),
-    )
-    n, aa, mm, am, ar, mr = (F.col(c) for c in ("n", "aa", "mm", "am", "ar", "mr"))
-    det = aa * (mm * n - mr * mr) - am * (am * n - mr * ar) + ar * (am * mr - mm * ar)
-    s2 = F.try_divide(F.col("rss"), n - 3)
-
-    def se(minor: Column) -> Column:
-        v = s2 * F.try_divide(minor, det)
-        return F.when(v >= 0, F.sqrt(v))
-
-    return g.select(chamber, se(mm * n - mr * mr).alias("alpha_se"), se(aa * n - ar * ar).alias("Amax_se"))
+    return out.withColumn("status", status)
 
 
 def q10_response(cycles: DataFrame, by: list[str], flux: str, temp: str, day: str, cfg: dict = SETTINGS) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from respira.session import checkpoint_dir
@@ -52,6 +54,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def write_once(df: DataFrame) -> DataFrame:
+    """Store ``df`` as a table in the shared folder and read it back: unlike a checkpoint it is computed only once."""
+    folder = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 _COSTLY = ("Join ", "Aggregate ", "Window ", "Sort ", "Generate ", "Repartition", "MapInPandas", "FlatMapGroups")
 
 

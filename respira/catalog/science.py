@@ -92,10 +92,32 @@ def threshold_sensitivity_sweep(spark, sf):
     return d.select("conf_min", "day_score_min", "n", *[r(c, k).alias(c) for c, k in Q10_NUM.items()])
 
 
-@query("light_response_fit")
+# Damped Gauss-Newton with a fixed small damping, one recursion a round; the optimum lies inside the bounds.
+_MINORS = "b * c - f * f AS m11, e * f - d * c AS m12, d * f - b * e AS m13, a * c - e * e AS m22, d * e - a * f AS m23, a * b - d * d AS m33"
+LIGHT = f"""WITH RECURSIVE {CYC}, pts AS (SELECT chamber, rad * 2.02 AS p, -flux AS y FROM cyc WHERE is_daytime AND flux IS NOT NULL AND rad >= 0),
+ gate AS (SELECT chamber, count(p) AS n, quantile_cont(p, 0.75) - quantile_cont(p, 0.25) AS par_iqr
+   FROM (SELECT DISTINCT chamber FROM cyc) LEFT JOIN pts USING (chamber) WHERE chamber IS NOT NULL GROUP BY chamber),
+ fit(it, chamber, al, am, rd) AS (SELECT 0, chamber, 0.04::DOUBLE, 12::DOUBLE, 2::DOUBLE FROM gate WHERE n >= 20 AND par_iqr >= 100
+  UNION ALL SELECT it + 1, chamber, least(greatest(al + (m11 * u + m12 * v + m13 * w) / det, 1e-6), 0.2), least(greatest(am + (m12 * u + m22 * v + m23 * w) / det, 1e-3), 50),
+    least(greatest(rd + (m13 * u + m23 * v + m33 * w) / det, 0), 15)
+   FROM (SELECT *, a * m11 + d * m12 + e * m13 AS det FROM (SELECT *, {_MINORS}
+    FROM (SELECT it, chamber, al, am, rd, sum(g * g) * 1.001 AS a, sum(h * h) * 1.001 AS b, count(*) * 1.001 AS c, sum(g * h) AS d, sum(-g) AS e, sum(-h) AS f, sum(g * z) AS u, sum(h * z) AS v, sum(-z) AS w
+     FROM (SELECT *, p * am * am / ((al * p + am) * (al * p + am)) AS g, al * p * al * p / ((al * p + am) * (al * p + am)) AS h, y - (al * p * am / (al * p + am) - rd) AS z
+      FROM fit JOIN pts USING (chamber) WHERE it < 60) GROUP BY it, chamber, al, am, rd)))),
+ fin AS (SELECT chamber, al, am, rd, rss, (b * c - f * f) / det * rss / (c - 3) AS va, (a * c - e * e) / det * rss / (c - 3) AS vm, 1 - rss / syy AS r2 FROM (
+  SELECT *, a * (b * c - f * f) - d * (d * c - f * e) + e * (d * f - b * e) AS det FROM (
+   SELECT chamber, al, am, rd, sum(g * g) AS a, sum(h * h) AS b, count(*) AS c, sum(g * h) AS d, sum(-g) AS e, sum(-h) AS f, sum(z * z) AS rss, var_pop(y) * count(*) AS syy
+   FROM (SELECT *, p * am * am / ((al * p + am) * (al * p + am)) AS g, al * p * al * p / ((al * p + am) * (al * p + am)) AS h, y - (al * p * am / (al * p + am) - rd) AS z
+    FROM fit JOIN pts USING (chamber) WHERE it = 60) GROUP BY chamber, al, am, rd)))
+SELECT chamber, n, {sr('par_iqr')} AS par_iqr, {sr('al', 5)} AS alpha, {sr('am', 4)} AS Amax, {sr('rd', 4)} AS Rd, {sr('sqrt(va)', 5)} AS alpha_se, {sr('sqrt(vm)', 3)} AS Amax_se, {sr('r2', 5)} AS r2
+ FROM gate LEFT JOIN fin USING (chamber)"""
+
+
+@query("light_response_fit", LIGHT)
 def light_response_fit(spark, sf):
     d = va.light_response(cyc(spark, sf), "chamber", "flux", "rad", "is_daytime", CFG)
-    return d.select("chamber", "n", "par_iqr", "alpha", "Amax", "Rd", "alpha_se", "Amax_se", "r2", "status")
+    digits = {"par_iqr": 6, "alpha": 5, "Amax": 4, "Rd": 4, "alpha_se": 5, "Amax_se": 3, "r2": 5}
+    return d.select("chamber", "n", *[r(c, k).alias(c) for c, k in digits.items()])
 
 
 @query("science_scorecard")

@@ -167,7 +167,7 @@ def features(spark, sf):
 
 @query("isolation_forest_and_mcd_flags")
 def isolation_forest_and_mcd_flags(spark, sf):
-    d = anomaly_flags(features(spark, sf), ["l_orderkey"], trees=100, max_samples=256)
+    d = anomaly_flags(features(spark, sf), ["l_orderkey"])
     return d.select("l_orderkey", "ml_if_score", "ml_mcd_dist", "ml_anomaly_flag")
 
 

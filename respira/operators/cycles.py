@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -180,22 +180,21 @@ def _spread(df: DataFrame, by: list[str]) -> DataFrame:
 
 def _map_cycles(grouped: DataFrame, schema: T.StructType, fn: Callable) -> DataFrame:
     """Apply ``fn(t, y) -> dict | None`` to the arrays of every cycle, whole Arrow batches at a time."""
-    rest = [f for f in grouped.schema.fields if f.name not in ("_ts", "_ys")]
-    names, rest_names = schema.names, [f.name for f in rest]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            hits, rows = [], []
-            for i, (us, y) in enumerate(zip(b["_ts"], b["_ys"], strict=True)):
-                us = np.asarray(us, dtype=np.int64)
-                m = fn((us - us[0]) / SECOND, np.asarray(y, dtype=float)) if len(us) else None
-                if m is not None:
-                    hits.append(i)
-                    rows.append(tuple(m[c] for c in names))
-            part = b.iloc[hits][rest_names].reset_index(drop=True)
-            yield pd.concat([part, pd.DataFrame(rows, columns=names)], axis=1)
-
-    raw = grouped.mapInPandas(run, T.StructType(rest + schema.fields))
+    names = schema.names
+
+    def run(ts: pd.Series, ys: pd.Series) -> pd.DataFrame:
+        rows = []
+        for us, y in zip(ts, ys, strict=True):
+            us = np.asarray(us, dtype=np.int64)
+            m = fn((us - us[0]) / SECOND, np.asarray(y, dtype=float)) if len(us) else None
+            rows.append((m is not None, *(m[c] if m is not None else None for c in names)))
+        out = pd.DataFrame(rows, columns=["_known", *names])
+        return out.astype({f.name: "Int64" if f.dataType in (T.LongType(), T.IntegerType()) else object for f in schema.fields})
+
+    # Only the points go to Python: keys and all other columns stay as they are. Not to be run twice by the optimizer.
+    kernel = F.pandas_udf(run, T.StructType([T.StructField("_known", T.BooleanType()), *schema.fields])).asNondeterministic()
+    raw = grouped.withColumn("_m", kernel("_ts", "_ys")).filter("_m._known").drop("_ts", "_ys")
+    raw = raw.select(*[c for c in raw.columns if c != "_m"], *[F.col("_m")[c].alias(c) for c in names])
     return raw.withColumns({f.name: numeric(f.name) for f in schema.fields if f.dataType == T.DoubleType()})
 
 

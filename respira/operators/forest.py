@@ -1,7 +1,7 @@
 """Isolation forest: trees grown in parallel on seeded samples, scored in slices of bounded size.
 
-Each tree sees at most ``max_samples`` rows, chosen by a hash of row and tree, so the data is read once and no tree
-depends on how rows are partitioned.
+Each tree sees at most ``max_samples`` rows, chosen by a hash of row and tree, so no tree depends on how rows are
+partitioned; a row finds its trees by skip lengths, so the work is that of the drawn rows.
 """
 
 from __future__ import annotations
@@ -38,23 +38,57 @@ def average_path(n):
     return np.where(n > 2, big, np.where(n == 2, 1.0, 0.0))
 
 
-def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
-    """Nodes ``(node, feature, split, left, right, length)`` of one tree; leaves have feature -1."""
-    nodes, todo, made = [], [(0, np.arange(len(x)), 0)], 1
-    while todo:
-        me, idx, depth = todo.pop()
-        lo, hi = x[idx].min(axis=0), x[idx].max(axis=0)
-        open_features = np.flatnonzero(hi > lo)
-        if depth >= limit or len(idx) <= 1 or len(open_features) == 0:
-            nodes.append((me, -1, 0.0, -1, -1, depth + float(average_path(len(idx)))))
-            continue
-        f = int(rng.choice(open_features))
-        at = min(float(rng.uniform(lo[f], hi[f])), float(np.nextafter(hi[f], lo[f])))
-        below = x[idx, f] <= at
-        nodes.append((me, f, at, made, made + 1, 0.0))
-        todo += [(made, idx[below], depth + 1), (made + 1, idx[~below], depth + 1)]
-        made += 2
-    return nodes
+def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> pd.DataFrame:
+    """``node, feature, split, left, right, length`` of one tree, all nodes of a level at once; leaves have feature -1."""
+    levels, node, first, depth = [], np.zeros(len(x), int), 0, 0
+    while len(x):
+        order = np.argsort(node, kind="stable")
+        x, node = x[order], node[order]
+        at = np.flatnonzero(np.diff(node, prepend=-1))
+        lo, hi = np.minimum.reduceat(x, at), np.maximum.reduceat(x, at)
+        count = np.diff(np.append(at, len(x)))
+        open_ = hi > lo
+        inner = open_.any(axis=1) & (depth < limit)
+        feature = np.where(open_, rng.random(open_.shape), -1.0).argmax(axis=1)
+        every = np.arange(len(at))
+        low, high = lo[every, feature], hi[every, feature]
+        split = np.minimum(low + rng.random(len(at)) * (high - low), np.nextafter(high, low))
+        left = np.where(inner, first + len(at) + 2 * (np.cumsum(inner) - 1), -1)
+        levels.append(pd.DataFrame({
+            "node": first + every, "feature": np.where(inner, feature, -1), "split": np.where(inner, split, 0.0), "left": left,
+            "right": np.where(inner, left + 1, -1), "length": np.where(inner, 0.0, depth + average_path(count)),
+        }))
+        mine = np.repeat(every, count)
+        goes = inner[mine]
+        x, mine = x[goes], mine[goes]
+        first, depth = first + len(at), depth + 1
+        node = left[mine] + (x[np.arange(len(x)), feature[mine]] > split[mine]) if len(x) else mine
+    return pd.concat(levels)
+
+
+def _uniform(ids: np.ndarray, k: int) -> np.ndarray:
+    """The ``k``-th number in (0, 1) that belongs to each 64-bit id."""
+    with np.errstate(over="ignore"):
+        h = ids.view(np.uint64) + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(times)
+        h ^= h >> np.uint64(31)
+    return ((h >> np.uint64(11)).astype(float) + 0.5) / 2**53
+
+
+def draws(ids: np.ndarray, trees: int, p: float) -> list[np.ndarray]:
+    """Which trees draw each id, every tree with chance ``p``: from one drawn tree to the next by a skip length."""
+    at, live, row, tree, k = np.full(len(ids), -1.0), np.arange(len(ids)), [], [], 0
+    while len(live):
+        skip = np.floor(np.log(_uniform(ids[live], k)) / np.log1p(-p)) if p < 1 else 0.0
+        at[live] += 1 + skip
+        live = live[at[live] < trees]
+        row.append(live)
+        tree.append(at[live].astype(int))
+        k += 1
+    row, tree = np.concatenate(row or [live]), np.concatenate(tree or [live])
+    tree = tree[np.argsort(row, kind="stable")]
+    return np.split(tree, np.cumsum(np.bincount(row, minlength=len(ids)))[:-1]) if len(ids) else []
 
 
 def fit_forest(
@@ -63,20 +97,22 @@ def fit_forest(
     """Node table of the forest and the sample size per tree."""
     n = rows.count()
     size = min(max_samples, n)
-    # Slightly more than needed by a hash threshold, then the lowest hashes: exact size without sorting the data.
+    # Slightly more than needed, then the lowest hashes: exact size without sorting the data or pairing rows and trees.
     p = min(1.0, (size + 6 * size**0.5 + 10) / max(n, 1))
-    top = int(p * 2_000_000_000)
-    ids = F.sequence(F.lit(0), F.lit(trees - 1))
-    draw = rows.select(*cols, F.xxhash64(*id_cols).alias("_id")).withColumn("tree", F.explode(ids))
-    draw = draw.withColumn("_r", F.xxhash64("_id", "tree", F.lit(seed)))
-    draw = draw.filter(F.pmod("_r", F.lit(2_000_000_000)) < top)
+
+    def which(ids: pd.Series) -> pd.Series:
+        return pd.Series(draws(ids.to_numpy(np.int64), trees, p))
+
+    draw = rows.select(*cols, F.xxhash64(*id_cols, F.lit(seed)).alias("_id"))
+    draw = draw.withColumn("tree", F.explode(F.pandas_udf(which, "array<int>")("_id")))
+    draw = draw.withColumn("_r", F.xxhash64("_id", "tree"))
     limit = max(1, int(np.ceil(np.log2(max(size, 2)))))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        pdf = pdf.assign(_o=pdf["_r"] % 2_000_000_000).sort_values(["_o", "_id"]).head(size)
+        pdf = pdf.sort_values(["_r", "_id"]).head(size)
         nodes = _grow(pdf[cols].to_numpy(dtype=float), np.random.default_rng([seed, tree]), limit)
-        return pd.DataFrame([(tree, *v) for v in nodes], columns=_NODES.names)
+        return nodes.assign(tree=tree)[_NODES.names]
 
     return cut_lineage(draw.groupBy("tree").applyInPandas(build, _NODES)), size
 
@@ -120,10 +156,10 @@ def _add_paths(df: DataFrame, cols: list[str], nodes: DataFrame) -> DataFrame:
         packed.append(tuple(t[c].to_numpy() for c in ("feature", "split", "left", "right", "length")))
     shared = df.sparkSession.sparkContext.broadcast(packed)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         trees = shared.value
         for b in batches:
-            x = b[cols].to_numpy(dtype=float)
+            x = b.to_numpy(dtype=float)
             total = np.zeros(len(x))
             for feature, split, left, right, length in trees:
                 at = np.zeros(len(x), dtype=int)
@@ -135,9 +171,11 @@ def _add_paths(df: DataFrame, cols: list[str], nodes: DataFrame) -> DataFrame:
                     go_left = x[live, f] <= split[here]
                     at[live] = np.where(go_left, left[here], right[here])
                 total += length[at]
-            yield b.assign(_paths=b["_paths"] + total)
+            yield pd.Series(total)
 
-    return df.mapInPandas(run, df.schema)
+    run.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.Series]}
+    # The features alone go to Python: ids and all other columns stay as they are.
+    return df.withColumn("_paths", F.col("_paths") + F.pandas_udf(run, "double")(F.struct(*cols)))
 
 
 def flag_lowest(df: DataFrame, score: str, train: str, contamination: float = 0.05) -> DataFrame:

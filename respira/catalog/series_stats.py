@@ -176,9 +176,22 @@ def penalised_segmentation(spark, sf):
     return cp.binary_segmentation(signal(spark, sf), ["sensor"], penalty=12_000.0, min_size=10, jump=5)
 
 
-@query("optimal_partition")
+# The optimum position by position: cost of the best partition of everything before, and where its last segment starts.
+_ALL_STARTS = """list_transform(range(0, e + 2 - 10), lambda j: f[j + 1] + p2[e + 2] - p2[j + 1] - (p1[e + 2] - p1[j + 1]) * (p1[e + 2] - p1[j + 1]) / (e + 1 - j) + 12000)"""
+OPTIMAL = f"""WITH RECURSIVE {READINGS}, {SIGNAL}, mid AS (SELECT sensor, avg(x) AS m FROM sig GROUP BY 1),
+ cum AS (SELECT sensor, i, sum(x - m) OVER w AS t1, sum((x - m) * (x - m)) OVER w AS t2 FROM sig JOIN mid USING (sensor) WINDOW w AS (PARTITION BY sensor ORDER BY i ROWS UNBOUNDED PRECEDING)),
+ s AS (SELECT sensor, list_prepend(0.0, list(t1 ORDER BY i)) AS p1, list_prepend(0.0, list(t2 ORDER BY i)) AS p2, count(*) AS n FROM cum GROUP BY 1),
+ dp(sensor, e, f, prev) AS (SELECT sensor, 0, [-12000.0::DOUBLE], [0::BIGINT] FROM s
+  UNION ALL SELECT sensor, e + 1, list_append(f, coalesce(list_min(t), 1e300)), list_append(prev, coalesce(list_position(t, list_min(t)) - 1, 0))
+  FROM (SELECT dp.*, CASE WHEN e + 1 >= 10 THEN {_ALL_STARTS} END AS t FROM dp JOIN s USING (sensor) WHERE e < n)),
+ cut(sensor, k, prev) AS (SELECT sensor, prev[e + 1], prev FROM dp JOIN s USING (sensor) WHERE e = n
+  UNION ALL SELECT sensor, prev[k + 1], prev FROM cut WHERE k > 0)
+SELECT sensor, CAST(k AS BIGINT) AS k FROM cut WHERE k > 0"""
+
+
+@query("optimal_partition", OPTIMAL)
 def optimal_partition(spark, sf):
-    return cp.optimal_partition(signal(spark, sf), ["sensor"], penalty=5.0, min_size=3)
+    return cp.optimal_partition(signal(spark, sf), ["sensor"], penalty=12_000.0, min_size=10)
 
 
 @query(

@@ -5,7 +5,7 @@ are similar enough share two tokens inside their extended prefixes. A token that
 tokens that many hold are keys in pairs. Should one of the two shared tokens be rare the first kind of key meets, else the
 second, so no link is lost. Only components are asked for: a key's members first meet its hub, a linear number of pairs;
 afterwards only members of keys that still hold several components meet each other, across components alone, under a
-bound on the symmetric difference that 1024 parity bits give. Whatever is left is verified on full sets.
+bound on the symmetric difference that 1024 parity bits give (a key of two members has only one pair to look at). Whatever is left is verified on full sets.
 """
 
 from __future__ import annotations
@@ -199,7 +199,7 @@ class Join:
         The parity bits travel folded to a quarter of their places, which bound the difference as well; survivors are
         held against the full bits.
         """
-        m = self.label(members.filter("size > 2").select("key", "node", "size"), comp)
+        m = self.label(members.select("key", "node", "size"), comp)
         open_ = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
         quarter = PARITY // 4
         folded = F.array(*[functools.reduce(Column.bitwiseXOR, [F.col("bits")[i + j] for j in range(0, PARITY, quarter)]) for i in range(quarter)])
@@ -222,9 +222,11 @@ class Join:
         d = self.sketch()
         one = [F.first(c).alias(c) for c in ("n", "bits", "tokens")]
         nodes = store(d.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"), F.min("fetch").alias("fetch"), *one))
-        members = self.members(self.keys(nodes))
+        keys = self.keys(nodes)
+        twos = keys.filter("size = 2").groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).select("a", "b")
+        members = self.members(keys.filter("size > 2"))
         hub_pairs = members.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        links = self.verified(self.filtered(hub_pairs, nodes), nodes)
+        links = self.verified(self.filtered(hub_pairs.union(twos), nodes), nodes)
         comp = store(components(links))
         far = self.far_pairs(members, comp, nodes)
         if not far.isEmpty():

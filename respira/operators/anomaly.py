@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from respira.functions.numeric import true
 from respira.operators.drift import centred, full_frame
 from respira.operators.integrate import HOUR_US, attach_nearest_hour, interpolate, time_grid
+from respira.operators.robust import robust_covariance
 from respira.plans.quantiles import exact_medians, exact_quantiles
 from respira.plans.series import Series, join_few, micros, null_safe_join
-from respira.plans.sizing import cut_lineage
 
 # Detector column and whether high values are the odd ones; None means both ends are.
 DETECTORS = {
@@ -146,82 +146,21 @@ def _distance(cols: list[str], mean: np.ndarray, precision: np.ndarray) -> Colum
     return out
 
 
-def _moments(rows: DataFrame, cols: list[str]) -> tuple[int, np.ndarray, np.ndarray]:
-    """Count, mean and covariance of the columns from one aggregation (k + k(k+1)/2 numbers)."""
-    k = len(cols)
-    means = [F.avg(c) for c in cols]
-    covs = [F.covar_pop(cols[i], cols[j]) for i in range(k) for j in range(i, k)]
-    row = rows.agg(F.count(F.lit(1)), *means, *covs).first()
-    mean, cov, at = np.array(row[1 : k + 1], dtype=float), np.zeros((k, k)), k + 1
-    for i in range(k):
-        for j in range(i, k):
-            cov[i, j] = cov[j, i] = row[at]
-            at += 1
-    return int(row[0]), mean, cov
-
-
-def concentrate(x: np.ndarray, support: float = 0.75, max_steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
-    """Location and precision of a small sample by concentration steps, as :func:`robust_covariance` does on tables."""
-    mean, cov, last = x.mean(axis=0), np.cov(x.T, bias=True), np.inf
-    for _ in range(max_steps):
-        d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.pinv(cov), x - mean)
-        kept = x[d <= np.quantile(d, support)]
-        mean, cov = kept.mean(axis=0), np.cov(kept.T, bias=True)
-        det = float(np.linalg.slogdet(cov + 1e-12 * np.eye(len(mean)))[1])
-        if abs(last - det) < 1e-9:
-            break
-        last = det
-    d = np.einsum("ij,jk,ik->i", x - mean, np.linalg.pinv(cov), x - mean)
-    scale = float(np.median(d)) / _chi2_median(len(mean))
-    return mean, np.linalg.pinv(cov * max(scale, 1e-12))
-
-
-def robust_covariance(
-    rows: DataFrame, cols: list[str], support: float = 0.75, max_steps: int = 15
-) -> tuple[np.ndarray, np.ndarray]:
-    """Location and precision from concentration steps: keep the nearest share of rows, refit, until it settles.
-
-    Starts from all rows. Each step is two aggregations over the fit rows: the distance quantile and the moments.
-    """
-    rows = cut_lineage(rows.select(*cols).withColumn("_all", F.lit(1)))
-    _, mean, cov = _moments(rows, cols)
-    last = np.inf
-    for _ in range(max_steps):
-        precision = np.linalg.pinv(cov)
-        d = rows.withColumn("_d", _distance(cols, mean, precision))
-        cut = exact_quantiles(d, ["_all"], "_d", {"q": support}).first()["q"]
-        _, mean, cov = _moments(d.filter(F.col("_d") <= cut), cols)
-        det = float(np.linalg.slogdet(cov + 1e-12 * np.eye(len(cols)))[1])
-        if abs(last - det) < 1e-9:
-            break
-        last = det
-    d = rows.withColumn("_d", _distance(cols, mean, np.linalg.pinv(cov)))
-    med = exact_quantiles(d, ["_all"], "_d", {"q": 0.5}).first()["q"]
-    scale = med / _chi2_median(len(cols))
-    return mean, np.linalg.pinv(cov * max(scale, 1e-12))
-
-
-def _chi2_median(k: int) -> float:
-    """Median of chi-square with ``k`` degrees of freedom (Wilson and Hilferty)."""
-    return k * (1 - 2 / (9 * k)) ** 3
-
-
 def mahalanobis_scores(
     df: DataFrame, cols: list[str], train: str = "_train", support: float = 0.75, percentile: float = 0.95,
     max_fit_rows: int | None = None, id_cols: tuple[str, ...] = (),
 ) -> DataFrame:
     """``ml_mcd_dist`` for all rows and ``mcd_flag`` above the training percentile.
 
-    The fit uses all training rows, or ``max_fit_rows`` of them in a fixed hash order where that is given.
+    The fit uses all training rows, or ``max_fit_rows`` of them in a fixed hash order where that is given. A row with an
+    unknown column has no distance and no flag.
     """
     base = df.filter(train)
     if max_fit_rows is not None:
-        fit = base.orderBy(F.xxhash64(*(id_cols or cols))).limit(max_fit_rows)
-        # At most this many rows by definition of the method, whatever the size of the table.
-        mean, precision = concentrate(fit.select(*cols).toPandas().to_numpy(dtype=float), support)
-    else:
-        mean, precision = robust_covariance(base, cols, support)
-    d = df.withColumn("ml_mcd_dist", F.sqrt(F.greatest(F.lit(0.0), _distance(cols, mean, precision))))
+        base = base.orderBy(F.xxhash64(*(id_cols or cols))).limit(max_fit_rows)
+    mean, precision = robust_covariance(base, cols, support)
+    square = _distance(cols, mean, precision)
+    d = df.withColumn("ml_mcd_dist", F.when(square < float("inf"), F.sqrt(F.greatest(F.lit(0.0), square))))
     cut = exact_quantiles(d.filter(train).withColumn("_all", F.lit(1)), ["_all"], "ml_mcd_dist", {"_cut": percentile})
     d = d.withColumn("_all", F.lit(1)).join(cut.drop("n"), "_all", "left")
     return d.withColumn("mcd_flag", true(F.col("ml_mcd_dist") > F.col("_cut")).cast("int")).drop("_all", "_cut")
@@ -229,5 +168,5 @@ def mahalanobis_scores(
 
 __all__ = [
     "rolling_zscore", "seasonal_residuals", "seasonal_residual_scores", "rank_share", "ensemble_score",
-    "impute_features", "concentrate", "robust_covariance", "mahalanobis_scores",
+    "impute_features", "mahalanobis_scores",
 ]

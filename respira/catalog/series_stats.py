@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from respira.catalog.base import READINGS, r, readings, registry, sr, table
@@ -171,6 +173,36 @@ def breakpoint_pruning(spark, sf):
     return cp.prune_breaks(cp.segment_table(s, ["sensor"], b), ["sensor"], 0.08)
 
 
+# The kernel's features as columns, their prefix sums with one row after the last reading, and the best splits of both rounds.
+GAMMA = 0.0002
+_WAVES = range(2 * cp.FREQUENCIES)
+_TURN = [(2 * GAMMA) ** 0.5 * NormalDist().inv_cdf(0.5 + (j + 0.5) / (2 * cp.FREQUENCIES)) for j in range(cp.FREQUENCIES)]
+_FEATURES = ", ".join(f"{cp.FREQUENCIES ** -0.5!r}::DOUBLE * {'sin' if j % 2 else 'cos'}({_TURN[j // 2]!r}::DOUBLE * x) AS f{j}" for j in _WAVES)
+
+
+def _square(a: str, b: str) -> str:
+    return "(" + " + ".join(f"({a}.s{j} - {b}.s{j}) * ({a}.s{j} - {b}.s{j})" for j in _WAVES) + ")"
+
+
+_KERNEL_SPLIT = f"""kg{{t}} AS (SELECT p.sensor, c.lo, c.hi, p.i AS k,
+   {_square('p', 'a')} / (p.i - c.lo) + {_square('b', 'p')} / (c.hi - p.i) - {_square('b', 'a')} / (c.hi - c.lo) AS gain
+  FROM kpre p JOIN kseg{{s}} c ON p.sensor = c.sensor AND p.i - c.lo >= 20 AND c.hi - p.i >= 20
+  JOIN kpre a ON a.sensor = p.sensor AND a.i = c.lo JOIN kpre b ON b.sensor = p.sensor AND b.i = c.hi),
+ kb{{t}} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sensor ORDER BY gain DESC, k DESC) AS rn FROM kg{{t}}) WHERE rn = 1 AND gain > 0)"""
+KERNEL = f"""WITH {READINGS}, {SIGNAL}, kf AS (SELECT sensor, i, {_FEATURES} FROM sig),
+ kpre AS (SELECT sensor, i, {', '.join(f'sum(f{j}) OVER w - f{j} AS s{j}' for j in _WAVES)} FROM kf WINDOW w AS (PARTITION BY sensor ORDER BY i ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT sensor, count(*), {', '.join(f'sum(f{j})' for j in _WAVES)} FROM kf GROUP BY 1),
+ kseg0 AS (SELECT sensor, 0 AS lo, count(*) AS hi FROM sig GROUP BY 1), {_KERNEL_SPLIT.format(t=1, s=0)},
+ kseg1 AS (SELECT sensor, lo, k AS hi FROM kb1 UNION ALL SELECT sensor, k, hi FROM kb1), {_KERNEL_SPLIT.format(t=2, s=1)}
+SELECT sensor, CAST(k AS BIGINT) AS k, {sr('gain', 3)} AS gain, 1 AS "round" FROM kb1 UNION ALL SELECT sensor, CAST(k AS BIGINT), {sr('gain', 3)}, 2 FROM kb2"""
+
+
+@query("kernel_segmentation", KERNEL)
+def kernel_segmentation(spark, sf):
+    d = cp.binary_segmentation(signal(spark, sf), ["sensor"], n_breaks=2, min_size=20, model="rbf", gamma=GAMMA)
+    return d.select("sensor", "k", r("gain", 3).alias("gain"), "round")
+
+
 @query("penalised_segmentation")
 def penalised_segmentation(spark, sf):
     return cp.binary_segmentation(signal(spark, sf), ["sensor"], penalty=12_000.0, min_size=10, jump=5)

@@ -1,4 +1,4 @@
-"""Mean-shift change points of many series at once.
+"""Change points of many series at once, in the mean or (binary segmentation, ``model="rbf"``) in the whole distribution.
 
 A series is taken whole (or averaged per group, or thinned where ``max_samples`` asks for it). Segment costs come from prefix sums, so
 binary segmentation evaluates every split of every segment of every series in one aggregation per round; only the small
@@ -8,6 +8,7 @@ table of cuts passes between rounds.
 from __future__ import annotations
 
 import pickle
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,11 @@ from respira.plans.series import Series, _position, join_few, null_safe_join
 from respira.plans.sizing import cut_lineage
 
 
+#: Frequencies that stand for the Gaussian kernel, and quantiles that its width is taken from.
+FREQUENCIES = 16
+GRID = 64
+
+
 def prepare_signal(
     df: DataFrame,
     keys: list[str],
@@ -70,7 +76,44 @@ def _cost(s1: Column, s2: Column, n: Column) -> Column:
     return s2 - F.try_divide(s1 * s1, n.cast("double"))
 
 
-def _split_gains(rows: DataFrame, ends: DataFrame, keys: list[str], min_size: int, jump: int) -> DataFrame:
+def _kernel_sums(signal: DataFrame, keys: list[str], gamma: float | None) -> DataFrame:
+    """Prefix sums ``s1`` of the kernel's features of each reading (an array) and ``s2``, their squared length.
+
+    The Gaussian kernel of one variable is a mean of cosines over normally spread frequencies; ``FREQUENCIES`` of them, at
+    even steps of probability, give a cosine and a sine each. Squares of these features are what the kernel cost counts,
+    so sums replace the table of all pairs. Without ``gamma`` it is one over the median squared distance of two readings,
+    taken over a grid of quantiles (1 where that is 0).
+    """
+    d = signal.withColumn("_g", F.lit(gamma))
+    if gamma is None:
+        share = [(q + 0.5) / GRID for q in range(GRID)]
+        grid = signal.groupBy(*keys).agg(F.percentile_approx("x", F.array(*map(F.lit, share)), F.lit(10_000)).alias("_q"))
+        gaps = F.transform("_q", lambda a: F.transform("_q", lambda b: (a - b) * (a - b)))
+        middle = F.try_element_at(F.array_sort(F.flatten(gaps)), F.lit(GRID * GRID // 2))
+        grid = grid.select(*keys, F.when(middle > 0, F.try_divide(F.lit(1.0), middle)).otherwise(1.0).alias("_g"))
+        d = join_few(signal, grid, keys)
+    unit, size = NormalDist(), (1 / FREQUENCIES) ** 0.5
+    turns = [F.sqrt(2 * F.col("_g")) * unit.inv_cdf(0.5 + (j + 0.5) / (2 * FREQUENCIES)) * F.col("x") for j in range(FREQUENCIES)]
+    names = [f"_f{j}" for j in range(2 * FREQUENCIES)]
+    parts = [size * wave(t) for t in turns for wave in (F.cos, F.sin)]
+    d = d.withColumns(dict(zip(names, parts, strict=True)))
+    s = Series.of(d, keys, ["i"]).running_sum({f"_s{n}": F.col(n) for n in names})
+    below = F.array(*[F.col(f"_s{n}") - F.col(n) for n in names])
+    return s.df.select(
+        *keys, "i", "at", "x", "step", below.alias("s1"), F.col("i").cast("double").alias("s2"), F.array(*names).alias("c")
+    )
+
+
+def _kernel_cost(s1: list[Column], s2: Column, n: Column) -> Column:
+    square = F.lit(0.0)
+    for s in s1:
+        square = square + s * s
+    return s2 - F.try_divide(square, n.cast("double"))
+
+
+def _split_gains(
+    rows: DataFrame, ends: DataFrame, keys: list[str], min_size: int, jump: int, kernel: bool = False
+) -> DataFrame:
     """Best split ``(gain, k)`` of every segment, with the prefix sums at ``k``.
 
     ``ends`` holds per series the sorted cuts ``(k, s1, s2)``, 0 and n included, so one aggregation scores all splits.
@@ -82,7 +125,13 @@ def _split_gains(rows: DataFrame, ends: DataFrame, keys: list[str], min_size: in
     lo, a1, a2 = (F.col("_a")[c] for c in ("k", "s1", "s2"))
     hi, b1, b2 = (F.col("_b")[c] for c in ("k", "s1", "s2"))
     i, s1, s2 = F.col("i"), F.col("s1"), F.col("s2")
-    gain = _cost(b1 - a1, b2 - a2, hi - lo) - _cost(s1 - a1, s2 - a2, i - lo) - _cost(b1 - s1, b2 - s2, hi - i)
+    if kernel:
+        minus = lambda p, q: [p[j] - q[j] for j in range(2 * FREQUENCIES)]
+        parts = (minus(b1, a1), b2 - a2, hi - lo), (minus(s1, a1), s2 - a2, i - lo), (minus(b1, s1), b2 - s2, hi - i)
+        whole, left, right = (_kernel_cost(*p) for p in parts)
+        gain = whole - left - right
+    else:
+        gain = _cost(b1 - a1, b2 - a2, hi - lo) - _cost(s1 - a1, s2 - a2, i - lo) - _cost(b1 - s1, b2 - s2, hi - i)
     size = _min_size(min_size)
     ok = (i - lo >= size) & (hi - i >= size) & ((i - lo) % jump == 0)
     hit = F.struct(gain.alias("gain"), i.alias("k"), "s1", "s2")
@@ -97,20 +146,32 @@ def binary_segmentation(
     n_breaks: int | None = None,
     min_size: int = 2,
     jump: int = 1,
+    model: str = "l2",
+    gamma: float | None = None,
 ) -> DataFrame:
     """Break positions ``keys, k, gain, round``; a break at ``k`` starts a new segment at position ``k``.
 
     With ``n_breaks`` each round splits the most profitable segment of a series; otherwise all segments whose gain
-    exceeds ``penalty`` are split at once, which gives the same breaks as one at a time.
+    exceeds ``penalty`` are split at once, which gives the same breaks as one at a time. ``model`` is ``l2`` (squares,
+    shifts of the mean) or ``rbf`` (Gaussian kernel ``exp(-gamma * d * d)``, any change of distribution).
     """
-    rows = cut_lineage(_with_sums(signal, keys).drop("n"))
+    if model not in ("l2", "rbf"):
+        raise ValueError(f"model must be l2 or rbf, not {model}")
+    kernel = model == "rbf"
+    rows = cut_lineage(_kernel_sums(signal, keys, gamma) if kernel else _with_sums(signal, keys).drop("n"))
     zero = F.struct(F.lit(0).cast("bigint").alias("k"), F.lit(0.0).alias("s1"), F.lit(0.0).alias("s2"))
     total = F.struct(F.count(F.lit(1)).alias("k"), F.sum("c").alias("s1"), F.sum(F.col("c") * F.col("c")).alias("s2"))
+    if kernel:
+        none = F.array(*[F.lit(0.0)] * 2 * FREQUENCIES)
+        zero = F.struct(F.lit(0).cast("bigint").alias("k"), none.alias("s1"), F.lit(0.0).alias("s2"))
+        sums = F.array(*[F.sum(F.col("c")[j]) for j in range(2 * FREQUENCIES)])
+        count = F.count(F.lit(1))
+        total = F.struct(count.alias("k"), sums.alias("s1"), count.cast("double").alias("s2"))
     base = rows.groupBy(*keys).agg(F.array(zero, total).alias("_cuts"))
     ends, found, rnd = base, None, 0
     while n_breaks is None or rnd < n_breaks:
         rnd += 1
-        best = _split_gains(rows, ends, keys, min_size, jump)
+        best = _split_gains(rows, ends, keys, min_size, jump, kernel)
         if n_breaks is not None:
             w = Window.partitionBy(*keys).orderBy(F.desc("gain"), F.desc("k"))
             best = best.withColumn("_r", F.row_number().over(w)).filter("_r = 1 AND gain > 0").drop("_r")

@@ -1,4 +1,4 @@
-"""Change points of many series at once, in the mean or (binary segmentation, ``model="rbf"``) in the whole distribution.
+"""Change points of many series at once, in the mean or (``model="rbf"``) in the whole distribution.
 
 A series is taken whole (or averaged per group, or thinned where ``max_samples`` asks for it). Segment costs come from prefix sums, so
 binary segmentation evaluates every split of every segment of every series in one aggregation per round; only the small
@@ -201,13 +201,25 @@ def binary_segmentation(
 
 
 def window_discrepancy(
-    signal: DataFrame, keys: list[str], width: int = 100, penalty: float = 10.0, n_breaks: int | None = None
+    signal: DataFrame,
+    keys: list[str],
+    width: int = 100,
+    penalty: float = 10.0,
+    n_breaks: int | None = None,
+    model: str = "l2",
+    gamma: float | None = None,
 ) -> DataFrame:
     """Breaks where the two half windows around a position differ most: local maxima of the discrepancy.
 
     ``width`` is halved for series shorter than two widths. Maxima above ``penalty`` (or the ``n_breaks`` highest) count.
+    ``model`` and ``gamma`` as for :func:`binary_segmentation`.
     """
-    rows = _with_sums(signal, keys)
+    if model not in ("l2", "rbf"):
+        raise ValueError(f"model must be l2 or rbf, not {model}")
+    if model == "rbf":
+        rows = join_few(_kernel_sums(signal, keys, gamma), signal.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys)
+    else:
+        rows = _with_sums(signal, keys)
     small = F.when(F.col("n") < 2 * width, F.floor(F.col("n") / 2)).otherwise(width)
     rows = rows.withColumn("_h", F.floor(small / 2))
     back, here = rows.select(*keys, "i", "s1", "s2", "_h", "n"), rows.select(*keys, "i", "s1", "s2")
@@ -216,11 +228,14 @@ def window_discrepancy(
         other = here.select(*keys, F.col("i").alias("_o"), F.col("s1").alias(f"{tag}1"), F.col("s2").alias(f"{tag}2"))
         j = null_safe_join(j.withColumn("_o", F.col("i") + shift * F.col("_h")), other, [*keys, "_o"], "inner").drop("_o")
     s1, s2, h = F.col("s1"), F.col("s2"), F.col("_h")
-    score = (
-        _cost(F.col("b1") - F.col("a1"), F.col("b2") - F.col("a2"), 2 * h)
-        - _cost(s1 - F.col("a1"), s2 - F.col("a2"), h)
-        - _cost(F.col("b1") - s1, F.col("b2") - s2, h)
-    )
+    a1, a2, b1, b2 = (F.col(c) for c in ("a1", "a2", "b1", "b2"))
+    if model == "rbf":
+        minus = lambda p, q: [p[c] - q[c] for c in range(2 * FREQUENCIES)]
+        parts = (minus(b1, a1), b2 - a2, 2 * h), (minus(s1, a1), s2 - a2, h), (minus(b1, s1), b2 - s2, h)
+        whole, left, right = (_kernel_cost(*p) for p in parts)
+        score = whole - left - right
+    else:
+        score = _cost(b1 - a1, b2 - a2, 2 * h) - _cost(s1 - a1, s2 - a2, h) - _cost(b1 - s1, b2 - s2, h)
     j = j.withColumn("gain", score)
     half = width // 2
     s = Series.of(j, keys, ["i"]).rows_frame(half, half, {"_top": lambda w: F.max("gain").over(w)})

@@ -63,6 +63,18 @@ def test_split_series_give_the_same(spark, series, cut_series):
         assert cut[g] == pytest.approx(whole[g])
 
 
+def test_sliding_window_finds_variance(spark, series):
+    one = {2**60 + 1: series[2**60 + 1]}
+    x, h = one[2**60 + 1], 40
+    d = cp.window_discrepancy(signals(spark, one), ["g"], 2 * h, n_breaks=1, model="rbf", gamma=0.05)
+    (top,) = d.collect()
+    k = np.exp(-0.05 * (x[:, None] - x[None, :]) ** 2)
+    cost = lambda a, b: (b - a) - k[a:b, a:b].sum() / (b - a)
+    gains = {i: cost(i - h, i + h) - cost(i - h, i) - cost(i, i + h) for i in range(h, len(x) - h)}
+    assert abs(top["k"] - max(gains, key=gains.get)) <= 2 and abs(top["k"] - 150) <= 10
+    assert top["gain"] == pytest.approx(max(gains.values()), rel=0.05)
+
+
 def test_unknown_model(spark, series):
     with pytest.raises(ValueError, match="l2 or rbf"):
         cp.binary_segmentation(signals(spark, series), ["g"], model="l1")

@@ -8,6 +8,7 @@ from __future__ import annotations
 import numpy as np
 
 from respira.functions.special import t_two_sided
+from respira.operators import slopes
 
 BLOCK = 2_000_000
 Z95 = 1.959963984540054
@@ -128,25 +129,22 @@ def best_window(t, y, cfg):
 
 
 def theil_sen(t, y):
-    """Median pairwise slope, matching intercept and 95 % rank interval."""
-    i, j = np.triu_indices(len(t), 1)
-    dt = t[j] - t[i]
-    keep = dt > 0
-    s = np.sort((y[j] - y[i])[keep] / dt[keep])
-    if len(s) == 0:
+    """Median pairwise slope, matching intercept and 95 % rank interval; points in order of time."""
+    s = slopes.PairSlopes(t, y)
+    if s.count == 0:
         return np.nan, np.nan, np.nan, np.nan
-    mid = float(np.median(s))
+    mid = float((s.at((s.count - 1) // 2) + s.at(s.count // 2)) / 2)
 
     def ties(v):
-        k = np.unique(v, return_counts=True)[1]
+        k = np.unique(v, return_counts=True)[1].astype(float)
         return np.sum(k * (k - 1) * (2 * k + 5))
 
     n = len(y)
     var = (n * (n - 1) * (2 * n + 5) - ties(t) - ties(y)) / 18.0
     sd = np.sqrt(max(var, 0.0))
-    hi = min(int(np.round((len(s) + Z95 * sd) / 2.0)), len(s) - 1)
-    lo = max(int(np.round((len(s) - Z95 * sd) / 2.0)) - 1, 0)
-    return mid, float(np.median(y) - mid * np.median(t)), float(s[lo]), float(s[hi])
+    hi = min(int(np.round((s.count + Z95 * sd) / 2.0)), s.count - 1)
+    lo = max(int(np.round((s.count - Z95 * sd) / 2.0)) - 1, 0)
+    return mid, float(np.median(y) - mid * np.median(t)), float(s.at(lo)), float(s.at(hi))
 
 
 def quadratic_aicc(t, y):

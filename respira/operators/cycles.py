@@ -15,9 +15,11 @@ from respira.functions import thresholds as TH
 from respira.functions.numeric import numeric, true
 from respira.functions.units import absolute_flux, dilution_columns, valid_h2o
 from respira.operators import kernels
+from respira.operators.long_slopes import long_theil_sen
 from respira.operators.sessions import add_cycles
-from respira.plans.quantiles import exact_quantiles
+from respira.plans.quantiles import exact_medians, exact_quantiles
 from respira.plans.series import Series, join_few, micros, null_safe_join
+from respira.plans.sizing import cut_lineage, is_small, store_if_costly, target_rows
 
 SECOND = 1_000_000.0
 _CHAMBER = re.compile(r"^CO2_(C\d+)$")
@@ -269,12 +271,35 @@ def evaluate_h2o_cycles(
 
 
 def theil_sen_by_group(df: DataFrame, by: list[str], t: str, y: str) -> DataFrame:
-    """Median pairwise slope with intercept and 95 % interval per group; ``t`` in microseconds gives per-second slopes."""
+    """Median pairwise slope with intercept and 95 % interval per group; ``t`` in microseconds gives per-second slopes.
+
+    A group of up to ``respira.series.rows`` points is one task's work, n log n in its points; longer ones are counted in
+    blocks by all tasks, where NaN values count as missing.
+    """
+    d = df.filter(F.col(t).isNotNull() & F.col(y).isNotNull()).select(*by, F.col(t).alias("_us"), F.col(y).cast("double").alias("_y"))
+    if is_small(d):
+        return _theil_sen_in_tasks(d, by)
+    d, rows = store_if_costly(d), target_rows(d)
+    size = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_us0")).filter(F.col("_n") > rows)
+    long = cut_lineage(size.withColumn("_g", F.monotonically_increasing_id()))
+    if long.isEmpty():
+        return _theil_sen_in_tasks(d, by)
+    d = cut_lineage(join_few(d, long, by))
+    points = d.filter("_g is not null and not isnan(_y)").select("_g", ((F.col("_us") - F.col("_us0")) / SECOND).alias("_x"), "_y")
+    s = long_theil_sen(points, rows).toDF("_s", "slope_ts", "slope_ts_low", "slope_ts_high")
+    mid = exact_medians(points, ["_g"], {"_mx": F.col("_x"), "_my": F.col("_y")}, small=False).toDF("_m", "_mx", "_my")
+    out = long.join(s, F.col("_g") == F.col("_s"), "left").join(mid, F.col("_g") == F.col("_m"), "left")
+    icpt = (F.col("_my") - F.col("slope_ts") * F.col("_mx")).alias("intercept_ts")
+    out = out.select(*by, F.col("_n").alias("n_points"), "slope_ts", icpt, "slope_ts_low", "slope_ts_high")
+    return _theil_sen_in_tasks(d.filter("_g is null").select(*by, "_us", "_y"), by).unionByName(out)
+
+
+def _theil_sen_in_tasks(d: DataFrame, by: list[str]) -> DataFrame:
+    """Groups as arrays of times and values, a task's batch at a time."""
     schema = T.StructType(
         [T.StructField(c, T.DoubleType()) for c in ("slope_ts", "intercept_ts", "slope_ts_low", "slope_ts_high")]
     )
-    d = df.filter(F.col(t).isNotNull() & F.col(y).isNotNull())
-    pts = F.array_sort(F.collect_list(F.struct(F.col(t).alias("_us"), F.col(y).cast("double").alias("_y"))))
+    pts = F.array_sort(F.collect_list(F.struct("_us", "_y")))
     g = _spread(d, by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_points"),
         F.transform(pts, lambda p: p["_us"]).alias("_ts"),

@@ -3,7 +3,8 @@
 import numpy as np
 import pytest
 
-from respira.operators import kernels, slopes
+from respira.operators import kernels, long_slopes, slopes
+from respira.operators.cycles import theil_sen_by_group
 from respira.operators.slopes import PairSlopes, inversions, inverted_pairs
 
 
@@ -51,3 +52,21 @@ def test_theil_sen_of_a_long_group():
     mid, icpt, lo, hi = kernels.theil_sen(t, y)
     assert lo < mid < hi and abs(mid - 0.25) < 1e-3
     assert np.isnan(kernels.theil_sen(np.zeros(3), np.arange(3.0))).all()
+
+
+def test_groups_beyond_a_task(spark, cut_series, monkeypatch):
+    """Blocks of 60 points: a noisy line, coarse values with repeated times and mass ties, a short group, a null key."""
+    monkeypatch.setattr(long_slopes, "EVENLY", 48)
+    monkeypatch.setattr(long_slopes, "NARROW", 1e-7)
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for key, n in (("line", 300), (None, 240), ("short", 30)):
+        t = np.sort(rng.integers(0, 2 * n, n)).astype(float)
+        y = 0.02 * t + rng.normal(size=n) if key == "line" else np.round(rng.normal(size=n), 0)
+        rows += [(key, int(a * 1_000_000), float(b)) for a, b in zip(t, y, strict=True)]
+        want[key] = (n, *kernels.theil_sen(t - t.min(), y))
+    d = spark.createDataFrame(rows, "k string, us long, y double")
+    got = {r[0]: tuple(r)[1:] for r in theil_sen_by_group(d, ["k"], "us", "y").collect()}
+    assert got.keys() == want.keys()
+    for key, w in want.items():
+        assert got[key] == pytest.approx(w, rel=1e-5, abs=1e-5)

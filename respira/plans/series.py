@@ -58,7 +58,8 @@ def _grid_cuts(df: DataFrame, hot: DataFrame, keys: list[str], order: str, rows:
     """Cut points of the groups in ``hot`` (with their counts ``_n``), at most the grid's size for each."""
     n_grid = 1 << _GRID_BITS
     grid = ",".join(f"{i / n_grid}D" for i in range(1, n_grid))
-    step = F.greatest(F.lit(1), F.floor(F.lit(rows) * n_grid / F.col("_n")).cast("int"))
+    # Multiplied in Python: the product of the usual two million rows and the grid passes 32 bits.
+    step = F.greatest(F.lit(1), F.floor(F.lit(rows * n_grid) / F.col("_n")).cast("int"))
     return (
         null_safe_join(df, F.broadcast(hot), keys, "inner")
         .groupBy(*keys)

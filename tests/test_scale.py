@@ -44,3 +44,11 @@ def test_nan_is_missing_on_both_paths(spark, cut_series):
         assert (q["a"].n, q["a"].lo, q["a"].hi) == (3, 1.0, float("inf")) and (q["b"].n, q["b"].lo) == (0, None)
         m = {r.k: r.m for r in exact_medians(d, ["k"], {"m": F.col("v")}, small=small).collect()}
         assert m == {"a": 2.0, "b": None}
+
+
+def test_cuts_of_usual_rows(spark):
+    # The product of two million rows and the grid passes 32 bits.
+    d = spark.range(2000).select(F.lit("a").alias("k"), F.col("id").alias("t"))
+    hot = d.groupBy("k").agg(F.lit(12_000_000).cast("bigint").alias("_n"))
+    cuts = series._grid_cuts(d, hot, ["k"], "t", 2_000_000).first()["_cuts"]
+    assert len(cuts) == 6 and 300 < cuts[0] < 360

@@ -57,9 +57,17 @@ def value_by_age(
 def cumulative_by_month(
     df: DataFrame, keys: list[str], ts: str, value: str, origin: Column, tie: str | None = None
 ) -> DataFrame:
-    """Running sum per series against the months since ``origin``."""
-    s = Series.of(df.withColumn("_us", micros(ts)), keys, ["_us", tie] if tie else ["_us"])
-    return s.running_sum({"cumulative": F.col(value)}).df.withColumn("months", months_after(ts, origin)).drop("_us")
+    """Running sum per series against the months since ``origin``.
+
+    Values below a million are summed as whole 1024ths in 64 bits and a small rest, so a sum over millions of rows loses no
+    digits on the way.
+    """
+    v = F.col(value).cast("double")
+    whole = F.when(v.isNull(), None).when(F.abs(v) < 1e6, F.rint(v * 1024).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    d = df.withColumn("_us", micros(ts)).withColumn("_whole", whole).withColumn("_rest", v - F.col("_whole") / 1024)
+    s = Series.of(d, keys, ["_us", tie] if tie else ["_us"]).running_sum({"_w": F.col("_whole"), "_r": F.col("_rest")})
+    d = s.df.withColumn("cumulative", F.col("_w") / 1024 + F.col("_r")).withColumn("months", months_after(ts, origin))
+    return d.drop("_us", "_whole", "_rest", "_w", "_r")
 
 
 def box_statistics(df: DataFrame, by: list[str], value: str) -> DataFrame:

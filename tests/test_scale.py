@@ -52,3 +52,17 @@ def test_cuts_of_usual_rows(spark):
     hot = d.groupBy("k").agg(F.lit(12_000_000).cast("bigint").alias("_n"))
     cuts = series._grid_cuts(d, hot, ["k"], "t", 2_000_000).first()["_cuts"]
     assert len(cuts) == 6 and 300 < cuts[0] < 360
+
+
+def test_running_sum_keeps_its_digits(spark):
+    from respira.operators.summaries import cumulative_by_month
+
+    n = 300_000
+    d = spark.range(n).select(
+        F.lit("a").alias("k"), F.timestamp_seconds("id").alias("ts"), F.lit(99_999.99899).alias("v"), "id"
+    )
+    out = cumulative_by_month(d, ["k"], "ts", "v", F.lit("1970-01-01").cast("timestamp"), "id")
+    got = out.filter(f"id = {n - 1}").first()["cumulative"]
+    assert abs(got - n * 9_999_999_899 / 100_000) < 1e-5
+    none = cumulative_by_month(d.withColumn("v", F.lit(None).cast("double")).limit(2), ["k"], "ts", "v", F.lit("1970-01-01").cast("timestamp"))
+    assert [r["cumulative"] for r in none.collect()] == [None, None]

@@ -125,10 +125,12 @@ def later_source_wins(spark, sf):
     return _named(logger.merge_sources([main, update], ["RECORD"]))
 
 
+# One reading per sensor and time: the update folder's before the main one's, then the highest record number.
 @query(
     "sensor_tree_scan",
-    f"""WITH {READINGS} SELECT CASE sensor WHEN 'click' THEN 'chamber_1' WHEN 'view' THEN 'chamber_2' WHEN 'error' THEN 'climate' ELSE 'soil_sensor' END AS sensor, ts AS "TIMESTAMP",
- CAST(event_id AS DOUBLE) AS "RECORD", {sr("CASE WHEN sensor = 'click' THEN CASE WHEN aux >= 50 THEN 777.5 ELSE value END END")} AS "CO2_C1", {sr("CASE WHEN sensor = 'signup' THEN value END")} AS "AirTC_Avg_Soil" FROM readings WHERE sensor <> 'purchase'""",
+    f"""WITH {LINES}, one AS (SELECT *, row_number() OVER (PARTITION BY sensor, ts ORDER BY again DESC, event_id DESC) AS rn FROM lines WHERE sensor <> 'purchase')
+SELECT CASE sensor WHEN 'click' THEN 'chamber_1' WHEN 'view' THEN 'chamber_2' WHEN 'error' THEN 'climate' ELSE 'soil_sensor' END AS sensor, ts AS "TIMESTAMP",
+ CAST(event_id AS DOUBLE) AS "RECORD", {_of("click", sr("value"), "CO2_C1")}, {_of("signup", sr("value"), "AirTC_Avg_Soil")} FROM one WHERE rn = 1""",
 )
 def sensor_tree_scan(spark, sf):
     folder = fresh_folder(spark)

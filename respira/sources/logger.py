@@ -99,7 +99,9 @@ def merge_sources(frames: list[DataFrame], keys: list[str], ts: str = "TIMESTAMP
 
 
 def latest_source(df: DataFrame, keys: list[str], ts: str = "TIMESTAMP", rank: str = "_rank") -> DataFrame:
-    w = Window.partitionBy(*keys, ts).orderBy(F.desc(rank))
+    """One row per key and time, from the highest ``rank``; rows of one source go by their other columns, largest first."""
+    rest = [c for c in df.columns if c not in (*keys, ts, rank)]
+    w = Window.partitionBy(*keys, ts).orderBy(F.desc(rank), *[F.desc(c) for c in rest])
     return df.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", rank)
 
 
@@ -119,7 +121,10 @@ def source_rank(file: Column) -> Column:
 
 
 def read_sensor_tree(spark: SparkSession, base: str, **kwargs) -> DataFrame:
-    """Everything under ``main`` and ``update_*`` with its ``sensor``; later updates override earlier readings."""
+    """One reading per sensor and time of everything under ``main`` and ``update_*``; later updates override earlier ones.
+
+    Where one file repeats a time, the row with the largest columns in file order counts, so the highest record number.
+    """
     d = read_logger(spark, base, **kwargs)
     d = d.withColumn("sensor", sensor_of(F.col("_file"))).filter(F.col("sensor").isNotNull())
     d = d.withColumn("_rank", F.struct(source_rank(F.col("_file")), "_file"))

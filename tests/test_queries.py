@@ -55,6 +55,17 @@ def test_partition_count_does_not_matter(spark, con, name, parts):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def test_sensor_tree_with_repeated_times(spark, tmp_path):
+    e = spark.read.parquet(f"{SF}/events.parquet")
+    more = [e.withColumn("event_id", e.event_id + i * 10_000).withColumn("value", e.value + i) for i in range(3)]
+    more[0].unionByName(more[1]).unionByName(more[2]).write.parquet(str(tmp_path / "events.parquet"))
+    fn, sql = ALL["sensor_tree_scan"]
+    sql = sql.replace("FROM events", f"FROM '{tmp_path}/events.parquet/*.parquet'")
+    got = fn(spark, str(tmp_path)).toPandas()
+    assert not got.duplicated(["sensor", "TIMESTAMP"]).any()
+    assert compare(got, duck(SF).execute(sql).df()) == ""
+
+
 def test_entry_runs(spark):
     from __spark_entry__ import entry, oracle_sql, queries
 

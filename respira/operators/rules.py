@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from respira.functions.numeric import any_of, numeric, true
 from respira.plans.quantiles import exact_quantiles
-from respira.plans.series import Series, join_few, micros
+from respira.plans.series import Series, join_few, micros, trailing_range
 
 HOUR_US = 3_600_000_000
 
@@ -66,13 +66,10 @@ def persistence_flags(
 
     The first reading after a pause is alone in its frame and is flagged too.
     """
-    s = Series.of(df.withColumn("_us", micros(ts)), keys, ["_us"])
     back = int(hours * HOUR_US) - 1
-    s = s.range_frame(
-        back, 0, {"_hi": lambda w: F.max(value).over(w), "_lo": lambda w: F.min(value).over(w)}
-    )
+    d = trailing_range(df.withColumn("_us", micros(ts)), keys, "_us", back, {"_hi": ("max", value), "_lo": ("min", value)})
     flat = F.col(value).isNotNull() & true(F.col("_hi") - F.col("_lo") <= epsilon)
-    return s.df.withColumn(out, flat.cast("int")).drop("_us", "_hi", "_lo")
+    return d.withColumn(out, flat.cast("int")).drop("_us", "_hi", "_lo")
 
 
 def combine_flags(bounds: Column, others: list[Column]) -> Column:
@@ -159,17 +156,17 @@ def flag_readings(
     if skip_persistence:
         d = d.withColumn("persistence_flag", F.lit(0))
     else:
-        s = Series.of(d.withColumn("_us", micros(ts)), keys, ["_us"])
+        d = d.withColumn("_us", micros(ts))
         hours = [r[0] for r in config.select("window_hours").distinct().collect() if r[0] is not None]
         flat = F.lit(0)
         for h in hours:
             back = int(h * HOUR_US) - 1
-            s = s.range_frame(back, 0, {"_hi": lambda w: F.max(value).over(w), "_lo": lambda w: F.min(value).over(w)})
+            d = trailing_range(d, keys, "_us", back, {"_hi": ("max", value), "_lo": ("min", value)})
             hit = (F.col("window_hours") == h) & F.col(value).isNotNull()
             hit = hit & true(F.col("_hi") - F.col("_lo") <= F.col("epsilon"))
-            s = s.with_columns({"persistence_flag": F.when(true(hit), 1).otherwise(flat)})
+            d = d.withColumn("persistence_flag", F.when(true(hit), 1).otherwise(flat)).drop("_hi", "_lo")
             flat = F.col("persistence_flag")
-        d = s.df.withColumn("persistence_flag", flat).drop("_us", "_hi", "_lo")
+        d = d.withColumn("persistence_flag", flat).drop("_us")
     if windows is not None:
         d = exclusion_flags(d, windows, variable, ts)
     else:
@@ -242,14 +239,10 @@ def gradient_anomaly(
     df: DataFrame, keys: list[str], ts: str, shallow: str, deep: str, factor: float = 1.5
 ) -> DataFrame:
     """True where the deep sensor varied more than ``factor`` x the shallow one over the last day (open start)."""
-    s = Series.of(df.withColumn("_us", micros(ts)), keys, ["_us"])
-    s = s.range_frame(
-        24 * HOUR_US - 1,
-        0,
-        {"_sh": lambda w: F.stddev_samp(shallow).over(w), "_de": lambda w: F.stddev_samp(deep).over(w)},
-    )
+    d = df.withColumn("_us", micros(ts))
+    d = trailing_range(d, keys, "_us", 24 * HOUR_US - 1, {"_sh": ("stddev_samp", shallow), "_de": ("stddev_samp", deep)})
     hit = true(F.col("_de") > F.col("_sh") * factor)
-    return s.df.withColumn("soil_gradient_anomaly", hit).drop("_us", "_sh", "_de")
+    return d.withColumn("soil_gradient_anomaly", hit).drop("_us", "_sh", "_de")
 
 
 def exclusion_recommendations(audit: DataFrame, threshold: float = 0.3) -> DataFrame:

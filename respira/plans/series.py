@@ -243,7 +243,10 @@ class Series:
         return self._with(d.drop("_rn", "_own", "_blk"))
 
     def range_frame(self, before: int, after: int, cols: dict[str, Callable]) -> Series:
-        """``out -> fn(window)`` over rows whose order value lies in [x - before, x + after]."""
+        """``out -> fn(window)`` over rows whose order value lies in [x - before, x + after].
+
+        Costs the rows of a frame for every row; ``trailing_range`` does not.
+        """
         x = self.order[0]
         if not self.split:
             w = Window.partitionBy(*self.keys).orderBy(x).rangeBetween(-before, after)
@@ -254,3 +257,57 @@ class Series:
         w = Window.partitionBy(*self.keys, "_blk").orderBy(x).rangeBetween(-before, after)
         d = d.withColumns({o: fn(w) for o, fn in cols.items()}).filter(F.col("_blk") == F.col(SEG))
         return self._with(d.drop("_blk"))
+
+
+def _running(pairs: list[tuple[str, Column]], w) -> Column:
+    """What the values of a running frame come to, one entry for each (kind, value); deviations as count, mean and square."""
+    parts = []
+    for kind, v in pairs:
+        if kind == "stddev_samp":
+            v = v.cast("double")
+            parts.append(F.struct(F.count(v).over(w).alias("n"), F.avg(v).over(w).alias("m"), F.var_pop(v).over(w).alias("q")))
+        else:
+            parts.append({"min": F.min, "max": F.max}[kind](v).over(w))
+    return F.struct(*[p.alias(f"p{i}") for i, p in enumerate(parts)])
+
+
+def _merged(kind: str, a: Column, b: Column) -> Column:
+    """One value from those of two frames without a common row (a common row does no harm to ``min`` and ``max``)."""
+    if kind != "stddev_samp":
+        return {"min": F.least, "max": F.greatest}[kind](a, b)
+    na, nb = F.coalesce(a["n"], F.lit(0)), F.coalesce(b["n"], F.lit(0))
+    n, gap = na + nb, F.coalesce(b["m"] - a["m"], F.lit(0.0))
+    square = F.coalesce(a["q"] * na, F.lit(0.0)) + F.coalesce(b["q"] * nb, F.lit(0.0)) + gap * gap * F.try_divide(na * nb, n)
+    return F.when(n > 1, F.sqrt(square / (n - 1)))
+
+
+def trailing_range(df: DataFrame, keys: list[str], x: str, span: int, cols: dict[str, tuple[str, str]]) -> DataFrame:
+    """``out -> (kind, column)``: ``min``, ``max`` or ``stddev_samp`` of the rows of the key with ``x`` in [x - span, x].
+
+    A sliding frame costs its own length for every row, which grows with the density of readings. Here time is cut into
+    blocks of ``span + 1``: a frame is the end of one block and the beginning of the next, both running aggregates, so the
+    work is three rows sorted for every row. Blocks spread over tasks by themselves; a task holds whole blocks.
+    """
+    block, back, columns = span + 1, F.col(x) - span, df.columns
+    used = list(dict.fromkeys(c for _, c in cols.values()))
+    row = F.struct(*[F.col(c) for c in columns])
+    none = F.lit(None)
+    reading = F.struct(
+        F.floor(F.col(x) / block).alias("blk"), F.col(x).alias("u"), F.struct(*[F.col(c) for c in used]).alias("v"),
+        none.cast(df.select(row.alias("r")).schema["r"].dataType).alias("row"),
+    )
+    asked = F.struct(
+        F.floor(back / block).alias("blk"), back.alias("u"),
+        F.struct(*[none.cast(df.schema[c].dataType).alias(c) for c in used]).alias("v"), row.alias("row"),
+    )
+    at = Window.partitionBy(*keys, "_at.blk").orderBy(F.desc("_at.u")).rangeBetween(Window.unboundedPreceding, 0)
+    d = df.select(*keys, F.explode(F.array(reading, asked)).alias("_at"))
+    d = d.withColumn("_end", _running([(kind, F.col("_at")["v"][c]) for kind, c in cols.values()], at))
+    d = d.filter("_at.row IS NOT NULL").select("_at.row.*", F.col("_at.blk").alias("_from"), "_end")
+    d = d.withColumn("_blk", F.floor(F.col(x) / block))
+    w = Window.partitionBy(*keys, "_blk").orderBy(x).rangeBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_begin", _running([(kind, F.col(c)) for kind, c in cols.values()], w))
+    # At the last instant of a block the frame is that block, which its beginning alone covers; so is that of unknown times.
+    end = F.when(F.col("_from") < F.col("_blk"), F.col("_end"))
+    out = {o: _merged(kind, end[f"p{i}"], F.col("_begin")[f"p{i}"]) for i, (o, (kind, _)) in enumerate(cols.items())}
+    return d.select(*columns, *[c.alias(o) for o, c in out.items()])

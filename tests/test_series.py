@@ -3,10 +3,11 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from respira.plans.quantiles import exact_quantiles
-from respira.plans.series import Series, micros
+from respira.plans.series import Series, micros, trailing_range
 from respira.plans.timejoin import asof_join, interval_join
 
 
@@ -84,3 +85,24 @@ def test_interval_join_matches_brute_force(events):
     assert set(map(tuple, got.select("event_id", "sid").toPandas().values)) == set(
         map(tuple, want[["event_id", "sid"]].values)
     )
+
+
+def test_trailing_range_equals_a_sliding_frame(spark, events):
+    hour = 3_600_000_000
+    d = _base(events).unionByName(_base(events).withColumn("event_id", F.col("event_id") + 10_000))
+    d = d.withColumn("us", F.when(F.col("event_id") % 3 == 0, F.floor(F.col("us") / hour) * hour - 1).otherwise(F.col("us")))
+    d = d.withColumn("us", F.when(F.col("event_id") % 50 > 0, F.col("us")))
+    w = Window.partitionBy("event_type").orderBy("us").rangeBetween(-(6 * hour - 1), 0)
+    want = d.withColumns({"a": F.max("value").over(w), "b": F.min("value").over(w), "c": F.stddev_samp("value").over(w)})
+    cols = {"a": ("max", "value"), "b": ("min", "value"), "c": ("stddev_samp", "value")}
+    got = trailing_range(d, ["event_type"], "us", 6 * hour - 1, cols)
+    a, b = (x.toPandas().sort_values("event_id").reset_index(drop=True) for x in (want, got))
+    pd.testing.assert_frame_equal(a, b[a.columns], rtol=1e-9)
+
+
+@pytest.mark.parametrize("name", ["persistence_flags", "qc_summary", "soil_gradient_anomaly"])
+def test_no_query_slides_a_range(spark, name):
+    from respira.catalog import load
+
+    plan = load()[name][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "specifiedwindowframe(RangeFrame, -" not in plan

@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from respira.plans.series import Series, _position, join_few, null_safe_join
-from respira.plans.sizing import cut_lineage
+from respira.plans.sizing import cut_lineage, store_if_costly
 
 
 #: Frequencies that stand for the Gaussian kernel, and quantiles that its width is taken from.
 FREQUENCIES = 16
 GRID = 64
+#: Positions whose kernel features are summed by one window, and such blocks that a task takes.
+BLOCK = 100_000
+TASK_BLOCKS = 4
 
 
 def prepare_signal(
@@ -76,13 +79,17 @@ def _cost(s1: Column, s2: Column, n: Column) -> Column:
     return s2 - F.try_divide(s1 * s1, n.cast("double"))
 
 
-def _kernel_sums(signal: DataFrame, keys: list[str], gamma: float | None) -> DataFrame:
-    """Prefix sums ``s1`` of the kernel's features of each reading (an array) and ``s2``, their squared length.
+def _kernel_sums(signal: DataFrame, keys: list[str], gamma: float | None) -> tuple[DataFrame, DataFrame]:
+    """Prefix sums ``s1`` of the kernel's features of each reading (an array) and ``s2``, their squared length; the sums
+    ``n, s1`` of whole series.
 
     The Gaussian kernel of one variable is a mean of cosines over normally spread frequencies; ``FREQUENCIES`` of them, at
     even steps of probability, give a cosine and a sine each. Squares of these features are what the kernel cost counts,
     so sums replace the table of all pairs. Without ``gamma`` it is one over the median squared distance of two readings,
     taken over a grid of quantiles (1 where that is 0).
+
+    Positions are dense, so blocks of ``BLOCK`` of them are cut without a look at the data. Readings are dealt to tasks by
+    block and get their many features only there; between blocks go their sums, a row each.
     """
     d = signal.withColumn("_g", F.lit(gamma))
     if gamma is None:
@@ -96,12 +103,21 @@ def _kernel_sums(signal: DataFrame, keys: list[str], gamma: float | None) -> Dat
     turns = [F.sqrt(2 * F.col("_g")) * unit.inv_cdf(0.5 + (j + 0.5) / (2 * FREQUENCIES)) * F.col("x") for j in range(FREQUENCIES)]
     names = [f"_f{j}" for j in range(2 * FREQUENCIES)]
     parts = [size * wave(t) for t in turns for wave in (F.cos, F.sin)]
-    d = d.withColumns(dict(zip(names, parts, strict=True)))
-    s = Series.of(d, keys, ["i"]).running_sum({f"_s{n}": F.col(n) for n in names})
-    below = F.array(*[F.col(f"_s{n}") - F.col(n) for n in names])
-    return s.df.select(
-        *keys, "i", "at", "x", "step", below.alias("s1"), F.col("i").cast("double").alias("s2"), F.array(*names).alias("c")
-    )
+    d = d.withColumn("_blk", F.floor(F.col("i") / BLOCK))
+    features = dict(zip(names, parts, strict=True))
+    sums = d.withColumns(features).groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(n).alias(n) for n in names])
+    sums = cut_lineage(sums)
+    whole = sums.groupBy(*keys).agg(F.sum("_n").alias("n"), F.array(*[F.sum(n) for n in names]).alias("s1"))
+    before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(*keys, "_blk", F.array(*[F.coalesce(F.sum(n).over(before), F.lit(0.0)) for n in names]).alias("_carry"))
+    tasks = max(int(signal.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-sums.count() // TASK_BLOCKS))
+    # Dealt and sorted before the features are there, so neither carries them.
+    d = d.repartition(tasks, *keys, "_blk").sortWithinPartitions(*keys, "_blk", "i").withColumns(features)
+    w = Window.partitionBy(*keys, "_blk").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("_own", F.array(*[F.sum(n).over(w) - F.col(n) for n in names])).drop(*names)
+    d = join_few(d, carry, [*keys, "_blk"])
+    below = F.array(*[F.col("_carry")[j] + F.col("_own")[j] for j in range(2 * FREQUENCIES)])
+    return d.select(*keys, "i", "at", "x", "step", below.alias("s1"), F.col("i").cast("double").alias("s2")), whole
 
 
 def _kernel_cost(s1: list[Column], s2: Column, n: Column) -> Column:
@@ -158,16 +174,17 @@ def binary_segmentation(
     if model not in ("l2", "rbf"):
         raise ValueError(f"model must be l2 or rbf, not {model}")
     kernel = model == "rbf"
-    rows = cut_lineage(_kernel_sums(signal, keys, gamma) if kernel else _with_sums(signal, keys).drop("n"))
+    rows, whole = _kernel_sums(signal, keys, gamma) if kernel else (_with_sums(signal, keys).drop("n"), None)
+    rows = cut_lineage(rows)
     zero = F.struct(F.lit(0).cast("bigint").alias("k"), F.lit(0.0).alias("s1"), F.lit(0.0).alias("s2"))
     total = F.struct(F.count(F.lit(1)).alias("k"), F.sum("c").alias("s1"), F.sum(F.col("c") * F.col("c")).alias("s2"))
     if kernel:
         none = F.array(*[F.lit(0.0)] * 2 * FREQUENCIES)
         zero = F.struct(F.lit(0).cast("bigint").alias("k"), none.alias("s1"), F.lit(0.0).alias("s2"))
-        sums = F.array(*[F.sum(F.col("c")[j]) for j in range(2 * FREQUENCIES)])
-        count = F.count(F.lit(1))
-        total = F.struct(count.alias("k"), sums.alias("s1"), count.cast("double").alias("s2"))
-    base = rows.groupBy(*keys).agg(F.array(zero, total).alias("_cuts"))
+        total = F.struct(F.col("n").alias("k"), "s1", F.col("n").cast("double").alias("s2"))
+        base = whole.select(*keys, F.array(zero, total).alias("_cuts"))
+    else:
+        base = rows.groupBy(*keys).agg(F.array(zero, total).alias("_cuts"))
     ends, found, rnd = base, None, 0
     while n_breaks is None or rnd < n_breaks:
         rnd += 1
@@ -217,7 +234,7 @@ def window_discrepancy(
     if model not in ("l2", "rbf"):
         raise ValueError(f"model must be l2 or rbf, not {model}")
     if model == "rbf":
-        rows = join_few(_kernel_sums(signal, keys, gamma), signal.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys)
+        rows = join_few(_kernel_sums(signal, keys, gamma)[0], signal.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys)
     else:
         rows = _with_sums(signal, keys)
     small = F.when(F.col("n") < 2 * width, F.floor(F.col("n") / 2)).otherwise(width)

@@ -78,3 +78,20 @@ def test_sliding_window_finds_variance(spark, series):
 def test_unknown_model(spark, series):
     with pytest.raises(ValueError, match="l2 or rbf"):
         cp.binary_segmentation(signals(spark, series), ["g"], model="l1")
+
+
+def test_features_are_made_after_the_shuffle_and_blocks_add_up(spark, monkeypatch):
+    d = spark.range(1000).selectExpr("IF(id % 2 = 0, 'a', 'b') AS k", "id DIV 2 AS i", "id AS at", "CAST(id % 7 AS DOUBLE) AS x", "1L AS step")
+    whole = cp._kernel_sums(d, ["k"], 0.1)[0].orderBy("k", "i").collect()
+    monkeypatch.setattr(cp, "BLOCK", 60)
+    rows, total = cp._kernel_sums(d, ["k"], 0.1)
+    got = rows.orderBy("k", "i").collect()
+    assert len(got) == 1000 and got[0].s1 == [0.0] * 2 * cp.FREQUENCIES and got[999].i == 499
+    assert all(abs(p - q) < 1e-9 for a, b in zip(whole, got, strict=True) for p, q in zip(a.s1, b.s1, strict=True))
+    last = {r.k: r for r in got if r.i == 499}
+    for r in total.collect():
+        assert r.n == 500 and all(abs(p - q) <= 1 / 4 + 1e-9 for p, q in zip(r.s1, last[r.k].s1, strict=True))
+    # The exchange of readings carries no features: they are projected above it.
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    deal = plan.index("RepartitionByExpression")
+    assert "COS(" in plan[:deal] and "COS(" not in plan[deal:]

@@ -1,9 +1,12 @@
-"""Minimum covariance determinant: concentration steps of many starts in one aggregation a round."""
+"""Minimum covariance determinant: concentration steps of many starts at once, from sums that tasks make of their rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,13 +14,12 @@ from respira.plans.sizing import cut_lineage
 
 #: Share of a column's squared scale added to each variance, so that repeated or collinear rows keep an inverse.
 RIDGE = 1e-9
-_START = T.StructType(
-    [
-        T.StructField("s", T.IntegerType()),
-        T.StructField("mean", T.ArrayType(T.DoubleType())),
-        T.StructField("weight", T.ArrayType(T.DoubleType())),
-        T.StructField("cut", T.DoubleType()),
-    ]
+#: Leading bits of a distance's fraction that the first and the second count of distances tell apart.
+FIRST_BITS = 6
+SECOND_BITS = 20
+_LOW, _HIGH = 2.0**-64, 2.0**64
+_PART = T.StructType(
+    [T.StructField("s", T.IntegerType()), T.StructField("j", T.LongType()), T.StructField("v", T.DoubleType())]
 )
 
 
@@ -30,47 +32,81 @@ def _precision(cov: np.ndarray) -> np.ndarray:
     return np.linalg.inv(cov + RIDGE * np.eye(len(cov)))
 
 
-def _pairs(k: int) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(k) for j in range(i, k)]
+def _sum_parts(rows: DataFrame, cols: list[str], fits: dict[int, tuple], part: Callable) -> dict[int, dict[int, float]]:
+    """Sums over all rows, by fit and number, of what ``part(fit, differences, squared distances)`` adds up for a batch.
+
+    Differences from a fit's mean are made in place, a batch and a fit at a time; only a task's sums are shuffled.
+    """
+    known = {s: (np.array(mean, dtype=float), _precision(cov)) for s, (mean, cov) in fits.items()}
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple[int, int], float] = {}
+        for batch in batches:
+            x = batch.to_numpy(dtype=float)
+            for s, (mean, precision) in known.items():
+                diff = x - mean
+                d = np.maximum(np.einsum("ij,ij->i", diff @ precision, diff), 0.0)
+                for j, v in zip(*part(s, diff, d), strict=True):
+                    held[s, int(j)] = held.get((s, int(j)), 0.0) + float(v)
+        yield pd.DataFrame([(s, j, v) for (s, j), v in held.items()], columns=["s", "j", "v"])
+
+    out: dict[int, dict[int, float]] = {s: {} for s in fits}
+    for s, j, v in rows.select(*cols).mapInPandas(run, _PART).groupBy("s", "j").agg(F.sum("v")).collect():
+        out[s][j] = v
+    return out
 
 
-def _distances(rows: DataFrame, cols: list[str], fits: dict[int, tuple], cuts: dict[int, float] | None = None) -> DataFrame:
-    """Rows once per fit with their squared distance ``_d`` to it; within ``cuts`` only, where given.
+def _bits(d: np.ndarray, keep: int) -> np.ndarray:
+    """Distances as whole numbers in the same order: exponent and the first ``keep`` bits of the fraction."""
+    return np.clip(d, _LOW, _HIGH).view(np.int64) >> (52 - keep)
 
-    The fits travel as one small row, starts x (columns + columns squared) numbers whatever the table.
+
+def _cuts(rows: DataFrame, cols: list[str], fits: dict[int, tuple], share: float, keep: int = SECOND_BITS) -> dict[int, float]:
+    """Distance of every fit that at least ``share`` of the rows do not pass, rounded up to ``keep`` bits of its fraction.
+
+    One count of all distances by their leading bits finds where the rank lies, a second tells apart what lies there.
     """
-    k, packed = len(cols), []
-    for s, (mean, cov) in fits.items():
-        p = _precision(cov)
-        weight = [float(p[i, j]) * (1 if i == j else 2) for i, j in _pairs(k)]
-        packed.append((s, [float(m) for m in mean], weight, float(cuts[s]) if cuts else None))
-    kind = T.StructType([T.StructField("_all", T.IntegerType()), T.StructField("_fits", T.ArrayType(_START))])
-    table = rows.sparkSession.createDataFrame([(1, packed)], kind)
-    d = rows.join(F.broadcast(table), "_all").select("_all", *cols, F.explode("_fits").alias("_f"))
-    diff = [F.col(c) - F.col("_f")["mean"][i] for i, c in enumerate(cols)]
-    out: Column = F.lit(0.0)
-    for at, (i, j) in enumerate(_pairs(k)):
-        out = out + F.col("_f")["weight"][at] * diff[i] * diff[j]
-    d = d.select(F.col("_f")["s"].alias("_s"), F.col("_f")["cut"].alias("_cut"), *cols, out.alias("_d"))
-    return d.filter(F.col("_d") <= F.col("_cut")) if cuts else d
-
-
-def _cuts(rows: DataFrame, cols: list[str], fits: dict[int, tuple], share: float, accuracy: int = 100_000) -> dict[int, float]:
-    """Distance of every fit that ``share`` of the rows stay below, exact up to ``accuracy`` rows and to 1/accuracy beyond."""
-    d = _distances(rows, cols, fits).groupBy("_s").agg(F.percentile_approx("_d", F.lit(share), F.lit(accuracy)))
-    return {s: cut for s, cut in d.collect()}
-
-
-def _moments(d: DataFrame, cols: list[str]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Mean and covariance of every fit's rows, from one aggregation with one result row for each fit."""
+    first = _sum_parts(rows, cols, fits, lambda s, diff, d: np.unique(_bits(d, FIRST_BITS), return_counts=True))
+    place, rest = {}, {}
+    for s, counts in first.items():
+        want, below = share * sum(counts.values()), 0.0
+        for j in sorted(counts):
+            if below + counts[j] >= want * (1 - 1e-12):
+                break
+            below += counts[j]
+        place[s], rest[s] = j, want - below
+
+    def inside(s: int, diff: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        fine = _bits(d, keep)
+        return np.unique(fine[fine >> (keep - FIRST_BITS) == place[s]], return_counts=True)
+
+    out = {}
+    for s, counts in _sum_parts(rows, cols, fits, inside).items():
+        below = 0.0
+        for j in sorted(counts):
+            below += counts[j]
+            if below >= rest[s] * (1 - 1e-12):
+                break
+        out[s] = float(np.array([(j + 1 << (52 - keep)) - 1], dtype=np.int64).view(float)[0])
+    return out
+
+
+def _near(
+    rows: DataFrame, cols: list[str], fits: dict[int, tuple], cuts: dict[int, float] | None = None
+) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Mean and covariance of each fit's rows, those within its cut where given, from one pass over the rows."""
     k = len(cols)
-    covs = [F.covar_pop(cols[i], cols[j]) for i, j in _pairs(k)]
+
+    def part(s: int, diff: np.ndarray, d: np.ndarray) -> tuple[range, np.ndarray]:
+        y = diff[d <= cuts[s]] if cuts else diff
+        return range(1 + k + k * k), np.concatenate([[len(y)], y.sum(axis=0), (y.T @ y).ravel()])
+
     out = {}
-    for row in d.groupBy("_s").agg(*[F.avg(c) for c in cols], *covs).collect():
-        cov = np.zeros((k, k))
-        for at, (i, j) in enumerate(_pairs(k)):
-            cov[i, j] = cov[j, i] = row[1 + k + at]
-        out[row[0]] = (np.array(row[1 : k + 1], dtype=float), cov)
+    for s, v in _sum_parts(rows, cols, fits, part).items():
+        if v.get(0):
+            sums = np.array([v[j] for j in range(1 + k + k * k)])
+            off, square = sums[1 : k + 1] / sums[0], sums[k + 1 :].reshape(k, k) / sums[0]
+            out[s] = (np.asarray(fits[s][0], dtype=float) + off, square - np.outer(off, off))
     return out
 
 
@@ -107,8 +143,8 @@ def robust_covariance(
         known = known.filter(F.abs(F.col(c)) < float("inf"))
     centre, width = _scales(known, cols)
     z = [((F.col(c) - float(m)) / float(w)).alias(c) for c, m, w in zip(cols, centre, width, strict=True)]
-    rows = cut_lineage(known.select(*z, F.lit(1).alias("_all")))
-    fits = _moments(rows.withColumn("_s", F.lit(0)), cols)
+    rows = cut_lineage(known.select(*z))
+    fits = _near(rows, cols, {0: (np.zeros(k), np.eye(k))})
     # A few hundred rows by the parameters alone.
     drawn = rows.select(*cols).distinct().orderBy(F.xxhash64(F.lit(seed), *cols), *cols).limit(starts * (k + 1)).collect()
     x = np.array([list(r) for r in drawn], dtype=float)
@@ -117,11 +153,11 @@ def robust_covariance(
         fits[s + 1] = (part.mean(axis=0), np.cov(part.T, bias=True).reshape(k, k))
 
     for _ in range(2):
-        fits = _moments(_distances(rows, cols, fits, _cuts(rows, cols, fits, support, 10_000)), cols)
+        fits = _near(rows, cols, fits, _cuts(rows, cols, fits, support, 14))
     best = sorted(fits, key=lambda s: (round(_spread(fits[s][1]), 9), s))[:keep]
     fits, done = {s: fits[s] for s in best}, {}
     for _ in range(max_steps):
-        new = _moments(_distances(rows, cols, fits, _cuts(rows, cols, fits, support)), cols)
+        new = _near(rows, cols, fits, _cuts(rows, cols, fits, support))
         settled = {s for s in new if abs(_spread(new[s][1]) - _spread(fits[s][1])) < 1e-6}
         done |= {s: new[s] for s in settled}
         fits = {s: f for s, f in new.items() if s not in settled}
@@ -132,6 +168,5 @@ def robust_covariance(
 
     med = _cuts(rows, cols, {0: (mean, cov)}, 0.5)[0]
     cov = cov * max(med / chi2_quantile(k, 0.0), 1e-12)
-    inner = _distances(rows, cols, {0: (mean, cov)}, {0: chi2_quantile(k, 1.959964)})
-    mean, cov = _moments(inner, cols).get(0, (mean, cov))
+    mean, cov = _near(rows, cols, {0: (mean, cov)}, {0: chi2_quantile(k, 1.959964)}).get(0, (mean, cov))
     return mean * width + centre, _precision(cov) / np.outer(width, width)

@@ -208,8 +208,8 @@ def _slices(phrases: DataFrame) -> list[DataFrame]:
     return [d.filter(F.col("slice") == i) for i in range(n)]
 
 
-def _found(blocks: DataFrame, trie: DataFrame, depth: int, last: bool) -> DataFrame:
-    """Blocks with the phrases of one more slice, or (of the last) the sums of candidates one word longer; stored."""
+def _found(blocks: DataFrame, trie: DataFrame, depth: int, last: bool, least: int) -> DataFrame:
+    """Blocks with the phrases of one more slice, or (of the last) the candidates one word longer whose sums reach ``least``; stored."""
     row = trie.select("data").toArrow().to_pandas()["data"]  # one slice: bounded
     sent = blocks.sparkSession.sparkContext.broadcast(row.iloc[0] if len(row) else None)
 
@@ -240,7 +240,8 @@ def _found(blocks: DataFrame, trie: DataFrame, depth: int, last: bool) -> DataFr
                 yield pd.DataFrame({"head": kinds[a], "tail": words[w - 1], "f": np.bincount(which)})
 
     if last:
-        out = store(blocks.mapInPandas(count, "head long, tail long, f long").groupBy("head", "tail").agg(F.sum("f").alias("f")))
+        sums = blocks.mapInPandas(count, "head long, tail long, f long").groupBy("head", "tail").agg(F.sum("f").alias("f"))
+        out = store(sums.filter(F.col("f") >= least))
     else:
         out = store(blocks.mapInPandas(more, blocks.schema))
     sent.destroy()
@@ -264,8 +265,8 @@ def phrase_counts(docs: DataFrame, text_col: str, lang_col: str, least: int) ->
     for depth in range(1, LONGEST):
         tries, now = _slices(level.select("number", "words")), text
         for t in tries[:-1]:
-            now = _found(now, t, depth, False)
-        grown = _found(now, tries[-1], depth, True).filter(F.col("f") >= least)
+            now = _found(now, t, depth, False, least)
+        grown = _found(now, tries[-1], depth, True, least)
         grown = lookup(grown, names, "tail", "inner")
         heads = level.select(F.col("number").alias("head"), "lang", "words", "phrase")
         level = lookup(grown, heads, "head", "inner").select(

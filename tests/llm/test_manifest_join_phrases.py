@@ -204,6 +204,18 @@ def test_collocations(spark, odd, none, monkeypatch, least, most, small):
     assert collocations.collocations(none).count() == 0
 
 
+def test_rare_candidates_are_not_stored(spark, monkeypatch):
+    """Most candidates are rare; only those that reach ``least`` take disk."""
+    held, store = [], collocations.store
+    monkeypatch.setattr(collocations, "store", lambda d: held.append(store(d)) or held[-1])
+    rng = random.Random(3)
+    docs = [(" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(300)) + " x y" * 20, "en") for _ in range(4)]
+    counts, _ = collocations.phrase_counts(spark.createDataFrame(docs, "text string, lang string"), "text", "lang", 20)
+    found = [d for d in held if "head" in d.columns]
+    assert len(found) == collocations.LONGEST - 1 and counts.count()
+    assert all(d.filter("f < 20").isEmpty() for d in found) and not found[0].isEmpty()
+
+
 def test_scores_pass_64_bits(spark):
     """Products of counts are exact beyond 64 bits, as the query's expression computes them."""
     f, n, x, y = 9_876_543_211, 98_765_432_109_877, 9_876_543_299, 12_345_678_901

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,11 +22,23 @@ BATCH_ROWS = 1000
 _U = np.uint64
 
 
+#: Lets Spark delete the shuffle files of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def store(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back: survives lost executors and cuts the lineage."""
+    """Write ``df`` to the shared checkpoint folder and read it back: survives lost executors and cuts the lineage.
+
+    The files of the shuffles that led to it are deleted with the write, as nothing reads them any more.
+    """
     spark = df.sparkSession
     folder = f"{checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -37,6 +51,16 @@ def bounded_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def released(out: Iterator) -> Iterator:
+    """``out``; at its end the memory that its batches needed goes back to the system, as workers live on when idle."""
+    try:
+        yield from out
+    finally:
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether a stored table has at most ``rows`` rows; counted, not estimated."""
     return df.limit(rows + 1).count() <= rows

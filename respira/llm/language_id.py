@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from respira.llm.common import bounded_batches, chunks, mix, store
+from respira.llm.common import bounded_batches, chunks, mix, released, store
 
 #: The classifier is fitted on at most about this many labelled documents, drawn by a hash of their id and text.
 MAX_TRAIN_DOCS = 20_000
@@ -182,7 +182,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     n = d.count()
     key = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
     d = d.filter(key < int((1 << 30) * min(1.0, max_docs / max(n, 1)))).select("lang", "text")
-    c = d.mapInPandas(_count, "lang string, size int, item long, n long")
+    c = d.mapInPandas(lambda it: released(_count(it)), "lang string, size int, item long, n long")
     c = store(c.groupBy("lang", "size", "item").agg(F.sum("n").alias("n")))
     langs = sorted(r[0] for r in c.select("lang").distinct().collect())
     if not langs:
@@ -195,13 +195,16 @@ def predictions(spark, model: Model):
     """Column function: struct ``lang_pred, score`` of a text column."""
     handle = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def predict(batches):
         p = Predictor(handle.value)
         for b in batches:
             texts = [t if isinstance(t, str) else None for t in b]
             out = [x for a, part in chunks(b) for x in p.predict(texts[a : a + len(part)])]
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
 
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        return released(predict(batches))
+
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(run, "lang_pred string, score double")
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from respira.llm.common import Words, chunks, grams, lookup, mix, store
+from respira.llm.common import Words, chunks, grams, lookup, mix, released, store
 from respira.llm.components import components
 
 #: Chance that banding misses a pair exactly at the threshold; higher similarities are missed far less.
@@ -96,8 +96,12 @@ def bayes_filter(left: np.ndarray, right: np.ndarray, t: float) -> np.ndarray:
 def _udf(fn, kind: str, *args: str):
     """Iterator pandas UDF of a closure, whose types are given as names."""
     one = Iterator[pd.Series] if len(args) == 1 else Iterator[tuple[(pd.Series,) * len(args)]]
-    fn.__annotations__ = {"it": one, "return": Iterator[pd.DataFrame] if " " in kind else Iterator[pd.Series]}
-    return F.pandas_udf(fn, kind)(*[F.col(a) for a in args])
+
+    def run(it):
+        return released(fn(it))
+
+    run.__annotations__ = {"it": one, "return": Iterator[pd.DataFrame] if " " in kind else Iterator[pd.Series]}
+    return F.pandas_udf(run, kind)(*[F.col(a) for a in args])
 
 
 class Dedup:
@@ -197,7 +201,7 @@ class Dedup:
             slot = np.flatnonzero(total)
             yield pd.DataFrame({"slot": slot, "c": total[slot]})
 
-        c = texts.select("text").mapInPandas(count, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow().to_pandas()
+        c = texts.select("text").mapInPandas(lambda it: released(count(it)), "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).toArrow().to_pandas()
         freq = np.zeros(SLOTS, np.int32)
         freq[c["slot"]] = np.minimum(c["c"], 2**31 - 1)
         shared = texts.sparkSession.sparkContext.broadcast(freq)  # SLOTS * 4 bytes whatever the data
@@ -215,7 +219,7 @@ class Dedup:
                     yield pd.concat(out)
 
         d = texts.join(nodes, "node").select("node", "comp", "text")
-        return d.mapInPandas(run, "h long, node long, comp long, n long, at long")
+        return d.mapInPandas(lambda it: released(run(it)), "h long, node long, comp long, n long, at long")
 
     def far_pairs(self, nodes: DataFrame, texts: DataFrame) -> DataFrame:
         """Candidate pairs of different components by the prefix filter, with its bound on what can still match."""

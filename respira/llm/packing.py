@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from respira.llm.common import LOWER, bounded_batches
+from respira.llm.common import LOWER, bounded_batches, released
 
 CAPACITY = 2048
 #: Share of a piece's place in its bin that may stay empty before the piece is cut.
@@ -179,7 +179,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
     # Ids travel as text: next to a null pandas would keep large integers as rounded floats.
     d = bounded_batches(docs).select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    d = d.mapInPandas(lambda it: _pack(it, path, capacity), f"doc_id string, {SCHEMA}")
+    d = d.mapInPandas(lambda it: released(_pack(it, path, capacity)), f"doc_id string, {SCHEMA}")
     return d.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
 
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from respira.llm.common import bounded_batches, fresh, row_key, small, store
+from respira.llm.common import bounded_batches, fresh, released, row_key, small, store
 
 # Patterns of the base kinds, in order. Length limits stand in the quantifier where that is the same.
 BASE = {
@@ -53,8 +53,7 @@ def candidates(text: str | None) -> list[tuple[int, int, int, int, bool]]:
 
 def _found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     names = [x.split()[0] for x in _CANDIDATE.split(", ")]
-    for b in batches:
-        yield pd.Series([[dict(zip(names, c, strict=True)) for c in candidates(t if isinstance(t, str) else None)] for t in b])
+    return released(pd.Series([[dict(zip(names, c, strict=True)) for c in candidates(t if isinstance(t, str) else None)] for t in b]) for b in batches)
 
 
 def _found_column(text: Column) -> Column:

@@ -2,11 +2,16 @@
 
 import math
 import random
+import time
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from respira.llm import language_id, packing, quality_model, source_mixing
+from respira.llm.common import released, store
 
 BIG = [2**60 + 1, None, 2**60 + 3]
 
@@ -64,3 +69,35 @@ def test_ids_stay_intact(spark, kind):
     for out in (packing.pack(docs), source_mixing.mix(docs), quality_model.quality_model(docs, trusted), language_id.language_id(docs)):
         assert dict(out.dtypes)["doc_id"] == docs.dtypes[0][1]
         assert {None if r.doc_id is None else str(r.doc_id) for r in out.select("doc_id").collect()} == want
+
+
+def test_store_deletes_shuffle_files(spark):
+    """What a stored table was shuffled by goes with the write; the session's own setting stays."""
+
+    def files():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    before, name = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    out = store(spark.range(100_000).groupBy((F.col("id") % 1000).alias("k")).count())
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before
+    assert out.count() == 1000 and spark.conf.get(name) == "false"
+
+
+def test_memory_goes_back_at_the_end():
+    """A worker that used much small memory is as small as before, once its batches have ended."""
+
+    def batches():
+        held = [np.zeros(2000) for _ in range(20_000)]
+        yield len(held)
+
+    def rss():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * 4096 / 1e6
+
+    keep, before = [], rss()
+    for _ in released(batches()):
+        keep.append([np.zeros(2000) for _ in range(10)])  # lies above the batch, which alone can't shrink the heap then
+    assert rss() - before < 100

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from respira.llm.common import lookup, mix, store
+from respira.llm.common import lookup, mix, released, store
 from respira.llm.components import components
 from respira.llm.minhash_dedup import shingle_sets
 
@@ -34,6 +34,8 @@ SLOTS = 1 << 20
 PIECES = 64
 #: 64-bit words of a node's parity bits.
 PARITY = 16
+#: Tokens from which on a node's parity bits are not folded: on fewer places too many of them cancel out.
+LONG = 512
 #: Members of a key that one task row meets at most; larger keys are dealt over several.
 MEET = 1000
 
@@ -43,8 +45,12 @@ _U = np.uint64
 def _apply(fn, kind: str, *cols: str) -> Column:
     """Iterator pandas UDF of a closure, whose types are given as names."""
     one = Iterator[pd.Series] if len(cols) == 1 else Iterator[tuple[(pd.Series,) * len(cols)]]
-    fn.__annotations__ = {"it": one, "return": Iterator[pd.DataFrame] if " " in kind else Iterator[pd.Series]}
-    return F.pandas_udf(fn, kind)(*[F.col(c) for c in cols])
+
+    def run(it):
+        return released(fn(it))
+
+    run.__annotations__ = {"it": one, "return": Iterator[pd.DataFrame] if " " in kind else Iterator[pd.Series]}
+    return F.pandas_udf(run, kind)(*[F.col(c) for c in cols])
 
 
 def slot(x: np.ndarray) -> np.ndarray:
@@ -84,7 +90,7 @@ def frequencies(texts: DataFrame, k: int) -> np.ndarray:
         total = sum(np.frombuffer(zlib.decompress(b), np.int64) for b in f["data"])
         return pd.DataFrame({"piece": f["piece"].iloc[:1], "data": [zlib.compress(total.tobytes(), 1)]})
 
-    d = texts.mapInPandas(count, "piece long, data binary").groupBy("piece").applyInPandas(add, "piece long, data binary")
+    d = texts.mapInPandas(lambda it: released(count(it)), "piece long, data binary").groupBy("piece").applyInPandas(add, "piece long, data binary")
     out = np.zeros(SLOTS, np.int64)
     for piece, data in zip(*(d.toArrow().to_pandas()[c] for c in ("piece", "data")), strict=True):
         n = SLOTS // PIECES
@@ -135,10 +141,10 @@ class Join:
         several = store(both.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
         return store(rare.unionByName(lookup(both, several, "key", "inner")))
 
-    def possible(self, a: str, b: str, words: int) -> Column:
+    def possible(self, a: str, b: str, words: int, bits: str = "bits") -> Column:
         """Whether sizes and parity bits (so many words of them) leave the threshold possible for two structs ``n, bits``."""
         n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-        differ = sum(F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(words))
+        differ = sum(F.bit_count(F.col(f"{a}.{bits}")[i].bitwiseXOR(F.col(f"{b}.{bits}")[i])) for i in range(words))
         sizes = 100 * F.least(n, m) >= self.percent * F.greatest(n, m)
         return sizes & (differ * (100 + self.percent) <= (n + m) * (100 - self.percent))
 
@@ -193,26 +199,29 @@ class Join:
         hubs = keys.join(degree, "node").groupBy("key").agg(F.max_by("node", F.struct("degree", "node")).alias("hub"))
         return store(keys.join(hubs, "key").filter("node <> hub"))
 
-    def far_pairs(self, members: DataFrame, comp: DataFrame, nodes: DataFrame) -> DataFrame:
+    def candidates(self, members: DataFrame, comp: DataFrame, nodes: DataFrame) -> DataFrame:
         """Possible pairs of different components under one key, hubs aside; a key of many members is dealt over rows.
 
-        The parity bits travel folded to a quarter of their places, which bound the difference as well; survivors are
-        held against the full bits.
+        Of keys with the same members one is enough. The parity bits of short nodes travel folded to a quarter of their
+        places, which bound the difference as well; long nodes are held against each other's full bits.
         """
         m = self.label(members.select("key", "node", "size"), comp)
-        open_ = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+        who = F.bit_xor(F.xxhash64("node")).alias("who")
+        open_ = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), who, F.count(F.lit(1)).alias("many"))
+        open_ = open_.filter("lo < hi").groupBy("who", "many").agg(F.min("key").alias("key")).select("key")
         quarter = PARITY // 4
         folded = F.array(*[functools.reduce(Column.bitwiseXOR, [F.col("bits")[i + j] for j in range(0, PARITY, quarter)]) for i in range(quarter)])
-        m = m.join(open_, "key", "left_semi").join(nodes.select("node", "n", folded.alias("bits")), "node")
+        m = m.join(open_, "key", "left_semi").join(nodes.select("node", "n", folded.alias("bits"), F.when(F.col("n") >= LONG, F.col("bits")).alias("full")), "node")
         m = store(m.withColumn("ways", F.ceil(F.col("size") / MEET).cast("int")))
         left = m.withColumn("way", F.pmod(F.xxhash64("node"), F.col("ways")).cast("int"))
         right = m.withColumn("way", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)))
         x, y = (
-            d.select("key", "way", F.col("node").alias(f"node{s}"), F.col("comp").alias(f"comp{s}"), F.struct("n", "bits").alias(f"i{s}"))
+            d.select("key", "way", F.col("node").alias(f"node{s}"), F.col("comp").alias(f"comp{s}"), F.struct("n", "bits", "full").alias(f"i{s}"))
             for d, s in ((left, "x"), (right, "y"))
         )
-        d = x.join(y, ["key", "way"]).filter("nodex < nodey and compx <> compy").filter(self.possible("ix", "iy", quarter))
-        return self.filtered(d.select(F.col("nodex").alias("a"), F.col("nodey").alias("b")), nodes)
+        long = F.coalesce(self.possible("ix", "iy", PARITY, "full"), F.lit(True))  # null where either node is short
+        d = x.join(y, ["key", "way"]).filter("nodex < nodey and compx <> compy").filter(self.possible("ix", "iy", quarter) & long)
+        return d.select(F.col("nodex").alias("a"), F.col("nodey").alias("b"))
 
     @staticmethod
     def label(rows: DataFrame, comp: DataFrame) -> DataFrame:
@@ -228,7 +237,7 @@ class Join:
         hub_pairs = members.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         links = self.verified(self.filtered(hub_pairs.union(twos), nodes), nodes)
         comp = store(components(links))
-        far = self.far_pairs(members, comp, nodes)
+        far = self.filtered(self.candidates(members, comp, nodes), nodes)
         if not far.isEmpty():
             links = store(links.union(self.verified(far, nodes)))
             comp = store(components(links))

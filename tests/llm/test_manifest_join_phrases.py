@@ -154,6 +154,20 @@ def test_parity_bits_bound_the_difference():
         assert differ <= len(np.setxor1d(x, y))
 
 
+def test_candidates_of_long_texts_and_equal_keys(spark, none):
+    """Long texts pass on full bits only; keys with the same members give each pair once."""
+    rng = np.random.default_rng(2)
+    common = rng.integers(0, 2**63, 1600).astype(np.uint64)
+    sets = [np.unique(np.append(common, rng.integers(0, 2**63, 400).astype(np.uint64))) for _ in range(2)]
+    sets += [common[:100], common[:99]]
+    rows = [(i, len(x), ngram_join.parity(x).tolist()) for i, x in enumerate(sets)]
+    nodes = spark.createDataFrame(rows, "node long, n long, bits array<long>")
+    members = spark.createDataFrame([(k, i, 3) for k in range(20) for i in range(2 * (k % 2), 2 * (k % 2) + 2)], "key long, node long, size long")
+    comp = spark.createDataFrame([], "node long, component long")
+    join = ngram_join.Join(none, "doc_id", "text", 3, 90)
+    assert [tuple(r) for r in join.candidates(members, comp, nodes).collect()] == [(2, 3)]
+
+
 def test_join_percent(spark, none):
     with pytest.raises(ValueError):
         ngram_join.ngram_join(none, percent=50)

@@ -42,6 +42,15 @@ def store(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def drop(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_batches(df: DataFrame) -> DataFrame:
     """``df``, with its session sending texts to Python a thousand rows at a time: a batch of whole texts stays small."""
     conf = df.sparkSession.conf

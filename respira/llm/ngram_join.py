@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from respira.llm.common import lookup, mix, released, store
+from respira.llm.common import drop, lookup, mix, released, store
 from respira.llm.components import components
 from respira.llm.minhash_dedup import shingle_sets
 
@@ -139,7 +139,9 @@ class Join:
         both = first.select("node", "x", F.explode(F.slice("f", F.col("i") + 2, F.size("f"))).alias("y"))
         both = both.select(F.xxhash64("x", "y").alias("key"), "node")
         several = store(both.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
-        return store(rare.unionByName(lookup(both, several, "key", "inner")))
+        out = store(rare.unionByName(lookup(both, several, "key", "inner")))
+        drop(held, tokens, several)
+        return out
 
     def possible(self, a: str, b: str, words: int, bits: str = "bits") -> Column:
         """Whether sizes and parity bits (so many words of them) leave the threshold possible for two structs ``n, bits``."""
@@ -190,7 +192,9 @@ class Join:
                 yield pd.Series(ok, dtype=bool)
 
         d = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-        return store(d.select("a", "b", _apply(check, "boolean", "a", "ta", "b", "tb").alias("ok")).filter("ok").select("a", "b"))
+        out = store(d.select("a", "b", _apply(check, "boolean", "a", "ta", "b", "tb").alias("ok")).filter("ok").select("a", "b"))
+        drop(ends, need, texts)
+        return out
 
     @staticmethod
     def members(keys: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -168,6 +169,17 @@ def test_candidates_of_long_texts_and_equal_keys(spark, none):
     assert [tuple(r) for r in join.candidates(members, comp, nodes).collect()] == [(2, 3)]
 
 
+def test_inner_tables_are_deleted(spark):
+    """Tokens and texts that only lead to keys and links leave the disk with them."""
+    held, store = [], ngram_join.store
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ngram_join, "store", lambda d: held.append(store(d)) or held[-1])
+        docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g h")], "doc_id long, text string")
+        assert [r.component_id for r in ngram_join.ngram_join(docs, words=1, percent=80).collect()] == [1, 1]
+    gone = [d for d in held if d.columns == ["node", "text"]]
+    assert gone and not any(Path(d.inputFiles()[0].removeprefix("file://")).exists() for d in gone)
+
+
 def test_join_percent(spark, none):
     with pytest.raises(ValueError):
         ngram_join.ngram_join(none, percent=50)

@@ -1,7 +1,9 @@
 """Language scores against a plain restatement; ids beyond doubles beside nulls."""
 
 import math
+import os
 import random
+import threading
 import time
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -11,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from respira.llm import language_id, packing, quality_model, source_mixing
-from respira.llm.common import released, store
+from respira.llm.common import checkpoint_dir, released, store
 
 BIG = [2**60 + 1, None, 2**60 + 3]
 
@@ -71,6 +73,45 @@ def test_ids_stay_intact(spark, kind):
         assert {None if r.doc_id is None else str(r.doc_id) for r in out.select("doc_id").collect()} == want
 
 
+def test_quality_model_on_disk(spark, monkeypatch):
+    """Shuffle files and stored tables of the classifier stay small beside its words, at every moment."""
+    monkeypatch.setattr(quality_model, "SHARD_ROWS", 25_000)
+    rng = np.random.default_rng(8)
+    words = np.array([f"word{i}" for i in range(60_000)])
+    texts = [" ".join(words[np.minimum(rng.zipf(1.2, 500), 60_000) - 1]) for _ in range(800)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    docs = store(spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(2))
+    trusted = spark.createDataFrame([(i,) for i in range(0, 800, 3)], "doc_id long")
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    folders = [*local, checkpoint_dir(spark).removeprefix("file:")]
+
+    def used():
+        total = 0
+        for f in folders:
+            for at, _, files in os.walk(f):
+                for name in files:
+                    try:
+                        total += os.path.getsize(os.path.join(at, name))
+                    except OSError:
+                        pass
+        return total
+
+    before, peak, ended = used(), [0], threading.Event()
+
+    def watch():
+        while not ended.wait(0.02):
+            peak[0] = max(peak[0], used())
+
+    thread = threading.Thread(target=watch)
+    thread.start()
+    try:
+        assert quality_model.perplexity(docs, trusted, order=3).filter("log_perplexity > 0").count() == 800
+    finally:
+        ended.set()
+        thread.join()
+    assert peak[0] - before < 12 * 500 * 800
+
+
 def test_store_deletes_shuffle_files(spark):
     """What a stored table was shuffled by goes with the write; the session's own setting stays."""
 

@@ -31,7 +31,7 @@ BLOCK_ROWS = 8_000_000
 #: N-grams gathered before a worker sends them on.
 SEND_ROWS = 1_000_000
 #: Rounds in which documents' n-grams go to the shards; each sends those of its own shards only.
-ROUNDS = 5
+ROUNDS = 4
 #: Rounds in which shards ask the owners of their contexts and words.
 ASKS = 2
 #: Bits of the filter of one round's trusted bigrams, over all its shards: at most, and for each bigram.
@@ -530,6 +530,12 @@ def _sum_chunk(f: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": key, "gain": gain})
 
 
+def _freed(fn, *args) -> pd.DataFrame:
+    """A group's result; the memory that it took goes back to the system."""
+    (out,) = released(fn(*a) for a in [args])
+    return out
+
+
 def perplexity(
     docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = 2
 ) -> DataFrame:
@@ -558,7 +564,7 @@ def perplexity(
     most = FILTER_BITS * rounds // shards
     blocks = max(1, -(-(size["all"] or 0) // (shards * BLOCK_ROWS)))
     table = good.mapInPandas(lambda it: released(_counts(it, order, shards)), "shard long, data binary").groupBy("shard")
-    table = store(table.applyInPandas(lambda f: _merge(f, order, most), "shard long, data binary, known binary, " + ", ".join(f"{c} long" for c in _TYPES)))
+    table = store(table.applyInPandas(lambda f: _freed(_merge, f, order, most), "shard long, data binary, known binary, " + ", ".join(f"{c} long" for c in _TYPES)))
     of = table.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _TYPES]).first()
     top, low = (_discounts(*(of[f"{t}{k}"] for k in (1, 2, 3, 4))) for t in ("top", "low"))
     told, asks = [], min(ASKS, shards)
@@ -566,7 +572,7 @@ def perplexity(
         asked = table.select("shard", "data").mapInPandas(
             lambda it, turn=turn: released(_ask(it, order, shards, top, low, turn, asks)), "owner long, kind int, asker long, data binary"
         )
-        answers = asked.groupBy("owner", "kind").applyInPandas(_tell, "shard long, kind int, owner long, data binary, words long, first double")
+        answers = asked.groupBy("owner", "kind").applyInPandas(lambda f: _freed(_tell, f), "shard long, kind int, owner long, data binary, words long, first double")
         told.append(store(answers))
     tables, told = [table, *told], reduce(DataFrame.unionByName, told)
     whole = told.agg(F.coalesce(F.sum("words"), F.lit(0)).alias("words"), F.coalesce(F.sum("first"), F.lit(0.0)).alias("first")).first()
@@ -586,7 +592,7 @@ def perplexity(
         )
         own = right.filter(mine)
         gains = sent.groupBy("shard", "block").cogroup(own.groupBy("shard", "block")).applyInPandas(
-            lambda a, b: _answer(a, b, *model), "chunk long, docs binary, gains binary, keys binary"
+            lambda a, b: _freed(_answer, a, b, *model), "chunk long, docs binary, gains binary, keys binary"
         )
         gains = gains.groupBy("chunk").applyInPandas(_sum_chunk, "key long, gain double")
         parts.append(store(gains.groupBy("key").agg(F.sum("gain").alias("gain"))))

@@ -12,6 +12,7 @@ from respira.operators.integrate import HOUR_US, attach_nearest_hour, interpolat
 from respira.operators.robust import robust_covariance
 from respira.plans.quantiles import exact_medians, exact_quantiles
 from respira.plans.series import Series, join_few, micros, null_safe_join
+from respira.plans.sizing import cut_lineage
 
 # Detector column and whether high values are the odd ones; None means both ends are.
 DETECTORS = {
@@ -129,8 +130,9 @@ def ensemble_score(
 def impute_features(df: DataFrame, features: list[str], train: Column) -> tuple[DataFrame, list[str]]:
     """Replace unknown features by the median of the training rows; adds ``_train``."""
     d = df.withColumn("_train", true(train)).withColumn("_all", F.lit(1))
-    med = exact_medians(d.filter("_train"), ["_all"], {f"_md_{f}": F.col(f) for f in features})
-    d = d.join(med, "_all", "left")
+    # One row, stored: its quantiles are not searched again by every reader of the result.
+    med = cut_lineage(exact_medians(d.filter("_train"), ["_all"], {f"_md_{f}": F.col(f) for f in features}))
+    d = d.join(F.broadcast(med), "_all", "left")
     cols = {f"_x_{f}": F.coalesce(F.col(f).cast("double"), F.col(f"_md_{f}")) for f in features}
     return d.withColumns(cols).drop("_all", *[f"_md_{f}" for f in features]), list(cols)
 
@@ -162,7 +164,7 @@ def mahalanobis_scores(
     square = _distance(cols, mean, precision)
     d = df.withColumn("ml_mcd_dist", F.when(square < float("inf"), F.sqrt(F.greatest(F.lit(0.0), square))))
     cut = exact_quantiles(d.filter(train).withColumn("_all", F.lit(1)), ["_all"], "ml_mcd_dist", {"_cut": percentile})
-    d = d.withColumn("_all", F.lit(1)).join(cut.drop("n"), "_all", "left")
+    d = d.withColumn("_all", F.lit(1)).join(F.broadcast(cut_lineage(cut.drop("n"))), "_all", "left")
     return d.withColumn("mcd_flag", true(F.col("ml_mcd_dist") > F.col("_cut")).cast("int")).drop("_all", "_cut")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from respira.operators.anomaly import impute_features, mahalanobis_scores
 from respira.operators.forest import fit_forest, flag_lowest, score_forest
-from respira.plans.sizing import cut_lineage
+from respira.plans.sizing import write_once
 
 # Measurement-quality features (never the flux itself) and their names in exported tables.
 FEATURES = [
@@ -60,17 +60,19 @@ def anomaly_flags(
         d = d.withColumn("_completeness", F.try_divide(F.col("n_points_used"), F.col("n_points_total")))
         have.append("_completeness")
     train = F.col(qc) <= max_qc if qc and qc in d.columns else F.lit(True)
-    d, cols = impute_features(d, have, train)
-    d = cut_lineage(d)
-    parts = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if d.rdd.getNumPartitions() < parts:
-        # Scoring is heavy for its bytes; coalesced storage must not put it into a few tasks.
-        d = d.repartition(parts)
+    # Stored in columns: medians and models read a few of them many times.
+    d, cols = impute_features(write_once(d), have, train)
     n_train = d.filter("_train").count()
     if n_train < max(50, len(cols) + 1):
         raise ValueError(f"too few rows to learn from: {n_train}")
     nodes, size = fit_forest(d.filter("_train"), cols, id_cols, trees, max_samples, seed)
-    d = flag_lowest(score_forest(d, cols, nodes, size), "ml_if_score", "_train", contamination)
+    spark = d.sparkSession
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    if d.rdd.getNumPartitions() < parts:
+        # Scoring is heavy for its bytes; coalesced storage must not put it into a few tasks.
+        d = d.repartition(parts)
+    # Every row goes through the forest once; both cuts and the result read the stored scores.
+    d = flag_lowest(write_once(score_forest(d, cols, nodes, size)), "ml_if_score", "_train", contamination)
     d = mahalanobis_scores(d, cols, "_train", id_cols=tuple(id_cols))
     a, b = F.col("if_flag"), F.col("mcd_flag")
     d = d.withColumn("ml_anomaly_flag", F.least(a, b) if mode.upper() == "AND" else F.greatest(a, b))

@@ -18,6 +18,9 @@ RIDGE = 1e-9
 FIRST_BITS = 6
 SECOND_BITS = 20
 _LOW, _HIGH = 2.0**-64, 2.0**64
+#: Rows that one block holds, and the schema of a table of blocks.
+BLOCK_ROWS = 10_000
+_BLOCKS = T.StructType([T.StructField("block", T.BinaryType())])
 _PART = T.StructType(
     [T.StructField("s", T.IntegerType()), T.StructField("j", T.LongType()), T.StructField("v", T.DoubleType())]
 )
@@ -32,17 +35,37 @@ def _precision(cov: np.ndarray) -> np.ndarray:
     return np.linalg.inv(cov + RIDGE * np.eye(len(cov)))
 
 
+def _blocks(rows: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows as blocks of doubles, stored: a step then moves one value for many rows, which costs more than its sums."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = batch.to_numpy(dtype=float)
+            parts = [x[at : at + BLOCK_ROWS].tobytes() for at in range(0, len(x), BLOCK_ROWS)]
+            yield pd.DataFrame({"block": parts})
+
+    return cut_lineage(rows.select(*cols).mapInPandas(run, _BLOCKS))
+
+
 def _sum_parts(rows: DataFrame, cols: list[str], fits: dict[int, tuple], part: Callable) -> dict[int, dict[int, float]]:
     """Sums over all rows, by fit and number, of what ``part(fit, differences, squared distances)`` adds up for a batch.
 
-    Differences from a fit's mean are made in place, a batch and a fit at a time; only a task's sums are shuffled.
+    ``rows`` has the columns or blocks of them. Differences from a fit's mean are made in place, a batch and a fit at a
+    time; only a task's sums are shuffled.
     """
     known = {s: (np.array(mean, dtype=float), _precision(cov)) for s, (mean, cov) in fits.items()}
+    packed, k = rows.schema == _BLOCKS, len(cols)
+
+    def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            if packed:
+                yield from (np.frombuffer(b).reshape(-1, k) for b in batch["block"])
+            else:
+                yield batch.to_numpy(dtype=float)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple[int, int], float] = {}
-        for batch in batches:
-            x = batch.to_numpy(dtype=float)
+        for x in arrays(batches):
             for s, (mean, precision) in known.items():
                 diff = x - mean
                 d = np.maximum(np.einsum("ij,ij->i", diff @ precision, diff), 0.0)
@@ -51,7 +74,8 @@ def _sum_parts(rows: DataFrame, cols: list[str], fits: dict[int, tuple], part: C
         yield pd.DataFrame([(s, j, v) for (s, j), v in held.items()], columns=["s", "j", "v"])
 
     out: dict[int, dict[int, float]] = {s: {} for s in fits}
-    for s, j, v in rows.select(*cols).mapInPandas(run, _PART).groupBy("s", "j").agg(F.sum("v")).collect():
+    sums = (rows if packed else rows.select(*cols)).mapInPandas(run, _PART)
+    for s, j, v in sums.groupBy("s", "j").agg(F.sum("v")).collect():
         out[s][j] = v
     return out
 
@@ -144,7 +168,8 @@ def robust_covariance(
     centre, width = _scales(known, cols)
     z = [((F.col(c) - float(m)) / float(w)).alias(c) for c, m, w in zip(cols, centre, width, strict=True)]
     rows = cut_lineage(known.select(*z))
-    fits = _near(rows, cols, {0: (np.zeros(k), np.eye(k))})
+    blocks = _blocks(rows, cols)
+    fits = _near(blocks, cols, {0: (np.zeros(k), np.eye(k))})
     # A few hundred rows by the parameters alone.
     drawn = rows.select(*cols).distinct().orderBy(F.xxhash64(F.lit(seed), *cols), *cols).limit(starts * (k + 1)).collect()
     x = np.array([list(r) for r in drawn], dtype=float)
@@ -153,11 +178,11 @@ def robust_covariance(
         fits[s + 1] = (part.mean(axis=0), np.cov(part.T, bias=True).reshape(k, k))
 
     for _ in range(2):
-        fits = _near(rows, cols, fits, _cuts(rows, cols, fits, support, 14))
+        fits = _near(blocks, cols, fits, _cuts(blocks, cols, fits, support, 14))
     best = sorted(fits, key=lambda s: (round(_spread(fits[s][1]), 9), s))[:keep]
     fits, done = {s: fits[s] for s in best}, {}
     for _ in range(max_steps):
-        new = _near(rows, cols, fits, _cuts(rows, cols, fits, support))
+        new = _near(blocks, cols, fits, _cuts(blocks, cols, fits, support))
         settled = {s for s in new if abs(_spread(new[s][1]) - _spread(fits[s][1])) < 1e-6}
         done |= {s: new[s] for s in settled}
         fits = {s: f for s, f in new.items() if s not in settled}
@@ -166,7 +191,7 @@ def robust_covariance(
     done |= fits
     mean, cov = done[min(done, key=lambda s: (round(_spread(done[s][1]), 9), s))]
 
-    med = _cuts(rows, cols, {0: (mean, cov)}, 0.5)[0]
+    med = _cuts(blocks, cols, {0: (mean, cov)}, 0.5)[0]
     cov = cov * max(med / chi2_quantile(k, 0.0), 1e-12)
-    mean, cov = _near(rows, cols, {0: (mean, cov)}, {0: chi2_quantile(k, 1.959964)}).get(0, (mean, cov))
+    mean, cov = _near(blocks, cols, {0: (mean, cov)}, {0: chi2_quantile(k, 1.959964)}).get(0, (mean, cov))
     return mean * width + centre, _precision(cov) / np.outer(width, width)
